@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablesync.functions.times import at
 from tablesync.operators.columns import all_non_zero
 from tablesync.plans import SPECS, delta, next_state
-from tablesync.plans.runner import enriched, masked, settled
+from tablesync.plans.runner import changed_rows, enriched, masked, settled
 from tablesync.sources.catalog import FrameCatalog
 
 from . import sqltext as s
@@ -35,7 +35,7 @@ def _run(name: str, verbatim: bool):
         older = all_non_zero(catalog.scan(spec.source), spec.non_zero).filter(F.col("updated_at") < at(MIDDLE))
         older = older.withColumn("updated_at", F.timestamp_add("DAY", F.lit(-30), F.col("updated_at")))
         prior = settled(spec, masked(spec, enriched(spec, older, catalog)), catalog)
-        return next_state(spec, prior, rows)
+        return next_state(spec, prior, rows, changed_rows(spec, catalog, RUN_TS))
 
     return build
 

@@ -58,7 +58,8 @@ def float_text(c: Column | str) -> Column:
     """Shortest decimal text of a double in Python's form: ``12345678.0``, ``1e-05``.
 
     Spark's own text switches to an exponent at 1e7 and below 1e-3; Python's at 1e16
-    and below 1e-4.
+    and below 1e-4. The digits are the Java runtime's: before Java 19 a few values get
+    one more than needed.
     """
     c = _col(c).cast("double")
     plain = c.cast("string")

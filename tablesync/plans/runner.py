@@ -29,12 +29,13 @@ from ..operators.joins import fan_out, lookup, preagg_join
 from ..operators.replace import full_refresh, keyed_replace
 from ..operators.window import Window, change_window, changed_groups, daily_window
 from ..sources.catalog import Catalog
+from ..sources.partitioned import PartitionedTable
 from ..sources.published import PublishedTable
 from ..sources.snapshot import snapshot_csv
-from ..sources.staging import stage
+from ..sources.staging import Staged, stage
 from .spec import TableSpec
 
-__all__ = ["changed_rows", "enriched", "masked", "settled", "delta", "next_state", "run_job", "run_jobs", "JobResult"]
+__all__ = ["changed_rows", "enriched", "masked", "settled", "delta", "published_keys", "next_state", "run_job", "run_jobs", "JobResult"]
 
 
 def _window(run: datetime | Window) -> Window:
@@ -129,11 +130,28 @@ def delta(spec: TableSpec, catalog: Catalog, run: datetime | Window) -> DataFram
     return settled(spec, masked(spec, enriched(spec, changed_rows(spec, catalog, run), catalog)), catalog)
 
 
-def next_state(spec: TableSpec, target: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """The published table after the run, as one lazy plan."""
-    if target is not None:
-        rows = align_to_target(rows, target.schema)
-    return full_refresh(target, rows) if spec.publish == "full" else keyed_replace(target, rows, spec.key)
+def published_keys(spec: TableSpec, base: DataFrame, target: DataFrame) -> DataFrame:
+    """The keys of the changed rows under their published name and type.
+
+    Taken from the base rows: left joins add no key and drop none, so they need not run.
+    """
+    early = {new: old for old, new in spec.early_names.items()}
+    named = next((old for old, new in spec.final_names.items() if new == spec.key), spec.key)
+    source = F.col(f"`{early.get(named, named)}`")
+    return base.select(source.cast(target.schema[spec.key].dataType).alias(spec.key))
+
+
+def next_state(
+    spec: TableSpec, target: DataFrame | None, rows: DataFrame, base: DataFrame | None = None
+) -> DataFrame:
+    """The published table after the run, as one lazy plan.
+
+    ``base``, the changed source rows, gives the keys without the joins of ``rows``.
+    """
+    if target is None or spec.publish == "full":
+        return full_refresh(target, rows if target is None else align_to_target(rows, target.schema))
+    keys = published_keys(spec, base, target) if base is not None else None
+    return keyed_replace(target, align_to_target(rows, target.schema), spec.key, keys=keys)
 
 
 @dataclass
@@ -170,17 +188,9 @@ def run_job(
         shown = masked(spec, full)
         day = window.lower.date()
         snapshot = snapshot_csv(shown, snapshots, spec.target, day) if snapshots and spec.snapshot else None
-        table = PublishedTable(base.spark, root, spec.dataset, spec.target)
-        target = table.read()
-        rows = settled(spec, shown, catalog)
-        if target is not None:
-            rows = align_to_target(rows, target.schema)
-        observed, profile = observe_profile(rows, f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}")
-        if spec.publish == "full":
-            state = full_refresh(target, observed)
-        else:
-            state = keyed_replace(target, observed, spec.key, keys=rows)
-        version = table.write(state, run_ts)
+        # counted while being written: no pass of its own
+        rows, profile = observe_profile(settled(spec, shown, catalog), f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}")
+        version = _publish(spec, base, rows, root, run_ts)
         counts = profile.get
         non_null = {c[2:]: n for c, n in counts.items() if c.startswith("n:")}
         return JobResult(spec.name, "published", counts["rows"], version, snapshot, non_null)
@@ -189,6 +199,21 @@ def run_job(
             s.release()
 
 
+def _publish(spec: TableSpec, base: Staged, rows: DataFrame, root: str, run_ts: datetime) -> str | None:
+    if not spec.by_month:
+        table = PublishedTable(base.spark, root, spec.dataset, spec.target)
+        return table.write(next_state(spec, table.read(), rows, base.read()), run_ts)
+    table = PartitionedTable(base.spark, root, spec.dataset, spec.target)
+    target = table.read()
+    if target is not None:
+        rows = align_to_target(rows, target.schema)
+    if target is None or spec.publish == "full":
+        table.replace(rows)
+    else:
+        table.keyed_replace(rows, spec.key, keys=published_keys(spec, base.read(), target))
+    return None
+
+
 def run_jobs(
     specs: Iterable[TableSpec], catalog: Catalog, root: str, run_ts: datetime, snapshots: str | None = None,
     parallel: int = 4,

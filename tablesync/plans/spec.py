@@ -59,6 +59,7 @@ class TableSpec:
     overwrite: Mapping[str, str] = field(default_factory=dict)  # column -> column it is set from
     casts: Mapping[str, str] = field(default_factory=dict)  # whole, double, text, time, time_or_null
     text_nulls: bool = False  # text casts spell NULL out
+    by_month: bool = False  # keep the published table by creation month, rewrite touched months only
     legacy: Mapping[str, object] = field(default_factory=dict)
 
     @property

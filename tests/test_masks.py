@@ -1,0 +1,84 @@
+from hypothesis import HealthCheck, Phase, given, settings as hsettings, strategies as st
+from pyspark.sql import functions as F
+
+import pytest
+
+from tablesync.functions import masks
+from tablesync.functions.domains import FREE_DOMAINS
+
+PHONE = {
+    None: "-", "": "-", "no digits": "-", "+62 812-3456-7890": "0812xxxxxxxx", "6281234": "0812xxxxxxxx",
+    "08123456789": "0812xxxxxxxx", "021-55": "0215xxxxxxxx", "7": "7xxxxxxxx", "8 times before 1 pm": "81xxxxxxxx",
+    "628": "08xxxxxxxx", "٠٨١٢": "٠٨١٢xxxxxxxx", "一二三四五": "一二三四xxxxxxxx", "½٣": "½٣xxxxxxxx", "٣ 5": "5xxxxxxxx",
+    "6282": "082xxxxxxxx", "62 81": "081xxxxxxxx", "1628": "1628xxxxxxxx", "(0)628": "0628xxxxxxxx",
+}
+EMAIL = {
+    None: "xxxxxx@-", "": "xxxxxx@xxx.xxx", "abcdef": "abcxxx@xxx.xxx", "ab": "xxxxxx@xxx.xxx",
+    "budi@gmail.com": "budxxx@gmail.com", "bud@gmail.com": "xxxxxx@gmail.com", "Budi@Gmail.COM": "Budxxx@Gmail.COM",
+    "budi@acme.co.id": "budxxx@privatedomain", "budi@gmail.com ": "budxxx@gmail.com ",
+    "budi@gmail.comArjan": "budxxx@privatedomain", "a@b@c": "xxxxxx@privatedomain", "abcd@": "abcxxx@privatedomain",
+    "h@h": "xxxxxx@-", "budi@h": "budxxx@-", "budi@gmail.com@x": "budxxx@privatedomain", "@gmail.com": "xxxxxx@gmail.com",
+    "budi@gmail.cim": "budxxx@gmail.cim", "éàçü@h": "éàçxxx@-", "😀😀😀😀@h": "😀😀😀xxx@-",
+}
+GENERAL = {
+    None: "-", "": "-", "abcd": "xxxxxxxxxx", "abcde": "xxxxxxbcde", "Budi Santoso": "xxxxxxtoso", " ": "xxxxxxxxxx",
+    "😀bcde": "xxxxxxbcde", "a😀😀😀😀": "xxxxxx😀😀😀😀",
+}
+FLAG = {None: 0, "": 0, "a": 1, " ": 1}
+
+
+@pytest.mark.parametrize("mask, golden", [
+    (masks.mask_phone, PHONE), (masks.mask_email, EMAIL), (masks.mask_general, GENERAL), (masks.mask_flag, FLAG),
+])
+def test_golden(spark, mask, golden):
+    df = spark.createDataFrame([(v,) for v in golden], "v string")
+    got = {r["v"]: r["m"] for r in df.select("v", mask("v").alias("m")).collect()}
+    assert got == golden
+
+
+def test_allow_list():
+    assert len(FREE_DOMAINS) == len(set(FREE_DOMAINS)) == 183
+    assert sum(d != d.lower() for d in FREE_DOMAINS) == 2
+    assert [d for d in FREE_DOMAINS if d != d.strip()] == ["gmail.com "]
+
+
+def test_flag_of_other_types(spark):
+    df = spark.sql("select 0 as i, cast(null as double) as d, timestamp_ntz '2024-01-01 00:00:00' as t, false as b")
+    row = masks.mask_table(df, flag_cols=["i", "d", "t", "b"]).first()
+    assert tuple(row) == (1, 0, 1, 1)
+
+
+def test_table_picks_masks_by_name(spark):
+    df = spark.createDataFrame([("budi@gmail.com",) * 5], "work_email string, phone2 string, Email string, mobile string, keep string")
+    row = masks.mask_table(df, ["work_email", "phone2", "Email", "mobile"]).first().asDict()
+    assert row == {
+        "work_email": "budxxx@gmail.com", "phone2": "-", "Email": "xxxxxx.com", "mobile": "xxxxxx.com", "keep": "budi@gmail.com",
+    }
+
+
+def test_flag_after_value_mask(spark):
+    # an empty value is masked to a visible text first
+    df = spark.createDataFrame([("",)], "v string")
+    assert masks.mask_table(df, ["v"], ["v"]).first()["v"] == 1
+
+
+def test_no_python_in_the_plan(spark):
+    df = masks.mask_table(spark.range(5).select(F.col("id").cast("string").alias("email")), ["email"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "*(1) Project" in plan
+
+
+@given(st.lists(st.text(max_size=20), min_size=1, max_size=30))
+@hsettings(max_examples=10, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_shapes(spark, values):
+    values = [v for v in values if not any(0xD800 <= ord(c) <= 0xDFFF for c in v)] or [""]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(
+        "v", masks.mask_phone("v").alias("p"), masks.mask_email("v").alias("e"), masks.mask_general("v").alias("g"),
+        masks.mask_phone(masks.mask_phone("v")).alias("pp"),
+    )
+    for r in df.collect():
+        assert r.p == "-" or (r.p.endswith("xxxxxxxx") and 9 <= len(r.p) <= 12)
+        assert r.pp == r.p or not r.p.isascii()
+        name, _, domain = r.e.partition("@")
+        assert name.endswith("xxx") and len(name) == 6 and domain
+        assert r.g == ("-" if r.v == "" else "x" * 10 if len(r.v) <= 4 else "xxxxxx" + r.v[-4:])
