@@ -121,13 +121,18 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("csv_lenient", f"""
-select l_orderkey, l_partkey, {sqltext.na("l_returnflag")} as l_returnflag from {{lineitem}} where l_linenumber <> 3""")
+select l_orderkey, case when l_linenumber = 5 then null else l_partkey end as l_partkey,
+  case when l_linenumber = 5 then null else {sqltext.na("l_returnflag")} end as l_returnflag
+from {{lineitem}} where l_linenumber <> 3""")
 def _(t: Tables) -> DataFrame:
-    # every third line is broken (its key is no number) and must be skipped
+    # lines numbered 3 have a field too many and are skipped, lines numbered 5 are short
     path = f"{shared_folder(t.spark)}/lines-{datetime.now():%Y%m%d%H%M%S%f}"
-    key = F.when(F.col("l_linenumber") == 3, F.lit("broken")).otherwise(F.col("l_orderkey").cast("string"))
-    lines = t.lineitem.select(F.concat_ws(",  ", key, "l_partkey", "l_returnflag").alias("value"))
-    lines.write.text(path)
+    number = F.col("l_linenumber")
+    fields = F.when(number == 5, F.array(F.col("l_orderkey").cast("string"))).otherwise(
+        F.array(F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), F.col("l_returnflag"))
+    )
+    fields = F.when(number == 3, F.array_append(fields, "more")).otherwise(fields)
+    t.lineitem.select(F.array_join(fields, ",  ").alias("value")).write.text(path)
     schema = T.StructType.fromDDL("l_orderkey bigint, l_partkey bigint, l_returnflag string")
     return read_csv_lenient(t.spark, path, schema, header=False)
 

@@ -13,41 +13,31 @@ never its right side, hence the two shapes below:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["estimated_bytes", "fits_broadcast", "lookup", "fan_out", "replace_by_lookup", "preagg_join", "only_keys_of"]
+from .keys import fits_broadcast, match
+
+__all__ = ["lookup", "fan_out", "replace_by_lookup", "preagg_join", "only_keys_of"]
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Would Catalyst itself broadcast this side?"""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 < estimated_bytes(df) <= limit
-
-
-def _right_side(right: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
+def _right_side(
+    base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, Column | str]
+) -> tuple[DataFrame, list[str]]:
+    """The right side with its keys, in the types of the base keys, under names of their own."""
     keys = [f"_key{i}" for i in range(len(on))]
-    return right.select(
-        *[_q(r).alias(k) for r, k in zip(on.values(), keys)], *[_q(src).alias(out) for out, src in take.items()]
-    ), keys
+    typed = [_q(r).cast(base.schema[left].dataType).alias(k) for (left, r), k in zip(on.items(), keys)]
+    return right.select(*typed, *[(_q(c) if isinstance(c, str) else c).alias(out) for out, c in take.items()]), keys
 
 
-def _condition(on: Mapping[str, str], keys: list[str]) -> Column:
-    condition = F.lit(True)
-    for left, key in zip(on, keys):
-        condition = (_q(left) == F.col(key)) if key == keys[0] else condition & (_q(left) == F.col(key))
-    return condition
+def _condition(on: Mapping[str, str], keys: list[str], spread: bool = False) -> Column:
+    return match([_q(left) for left in on], [F.col(k) for k in keys], spread)
 
 
 def _check_names(base: DataFrame, take: Mapping[str, str]) -> None:
@@ -67,9 +57,7 @@ def only_keys_of(right: DataFrame, keys: list[str], base: DataFrame, on: Mapping
     wanted = base.select(*[_q(left).alias(f"_w{i}") for i, left in enumerate(on)]).distinct()
     if not fits_broadcast(wanted):
         return right
-    condition = F.lit(True)
-    for i, key in enumerate(keys):
-        condition = condition & (F.col(key) == F.col(f"_w{i}"))
+    condition = match([F.col(k) for k in keys], [F.col(c) for c in wanted.columns])
     return right.join(wanted, condition, "left_semi")
 
 
@@ -79,7 +67,7 @@ def lookup(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mappi
     ``on`` maps base column to lookup column, ``take`` output name to lookup column.
     """
     _check_names(base, take)
-    side, keys = _right_side(right, on, take)
+    side, keys = _right_side(base, right, on, take)
     side = only_keys_of(side, keys, base, on)
     return base.join(side, _condition(on, keys), "left").drop(*keys)
 
@@ -87,14 +75,13 @@ def lookup(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mappi
 def fan_out(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """One base row per match; unmatched base rows stay once, with NULL."""
     _check_names(base, take)
-    side, keys = _right_side(right, on, take)
+    side, keys = _right_side(base, right, on, take)
     if fits_broadcast(side):
         return base.join(side, _condition(on, keys), "left").drop(*keys)
     side = only_keys_of(side, keys, base, on)
-    condition = _condition(on, keys)
-    matched = base.join(side, condition, "inner").drop(*keys)
+    matched = base.join(side, _condition(on, keys), "inner").drop(*keys)
     # distinct runs map-side first: a hot key leaves each task once
-    unmatched = base.join(side.select(*keys).distinct(), condition, "left_anti")
+    unmatched = base.join(side.select(*keys).distinct(), _condition(on, keys, spread=True), "left_anti")
     missing = [F.lit(None).cast(side.schema[out].dataType).alias(out) for out in take]
     return matched.unionByName(unmatched.select("*", *missing))
 
@@ -114,9 +101,7 @@ def preagg_join(
     base reduces the details to its keys first.
     """
     _check_names(base, sums)
-    keys = [f"_key{i}" for i in range(len(on))]
-    values = {out: (_q(c) if isinstance(c, str) else c) for out, c in sums.items()}
-    side = detail.select(*[_q(r).alias(k) for r, k in zip(on.values(), keys)], *[v.alias(o) for o, v in values.items()])
+    side, keys = _right_side(base, detail, on, sums)
     side = only_keys_of(side, keys, base, on)
-    side = side.groupBy(*keys).agg(*[F.sum(_q(out)).alias(out) for out in values])
-    return base.join(side, _condition(on, keys), "left").drop(*keys)
+    side = side.groupBy(*keys).agg(*[F.sum(_q(out)).alias(out) for out in sums])
+    return base.join(side, _condition(on, keys, spread=not fits_broadcast(side)), "left").drop(*keys)

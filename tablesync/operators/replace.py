@@ -7,18 +7,15 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["key_set", "delete_by_keys", "keyed_replace", "full_refresh", "append_rows", "purge_trailing_days"]
+from .keys import key_set, without_keys
+
+__all__ = ["delete_by_keys", "keyed_replace", "full_refresh", "append_rows", "purge_trailing_days"]
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def key_set(delta: DataFrame, key: str) -> DataFrame:
-    """The distinct non-NULL keys of a delta, in column ``_key``; nothing else is read."""
-    return delta.select(_q(key).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-
-
 def delete_by_keys(target: DataFrame, delta: DataFrame, key: str, delta_key: str | None = None) -> DataFrame:
     """Rows of the target whose key is not in the delta; rows with a NULL key survive.
 
@@ -26,7 +23,7 @@ def delete_by_keys(target: DataFrame, delta: DataFrame, key: str, delta_key: str
     streamed; past the broadcast bound both sides shuffle, and the adaptive planner
     splits a hot (or NULL) target key, which a left anti join allows.
     """
-    return target.join(key_set(delta, delta_key or key), _q(key) == F.col("_key"), "left_anti")
+    return without_keys(target, key_set(delta, delta_key or key), key)
 
 
 def keyed_replace(target: DataFrame | None, delta: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import at
+from .keys import key_set, with_keys
 
 __all__ = ["Window", "daily_window", "contiguous_window", "change_window", "change_window_raw", "changed_groups"]
 
@@ -61,5 +62,4 @@ change_window_raw = change_window
 
 def changed_groups(df: DataFrame, c: str, run_ts: datetime | Window, group: str) -> DataFrame:
     """All rows of every group that has a row in the window (for keys coarser than a row)."""
-    touched = change_window(df, c, run_ts).select(F.col(f"`{group}`").alias("_group")).distinct()
-    return df.join(touched, F.col(f"`{group}`") == F.col("_group"), "left_semi")
+    return with_keys(df, key_set(change_window(df, c, run_ts), group), group)

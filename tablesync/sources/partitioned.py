@@ -17,8 +17,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replace import key_set
-from .storage import delete_dir, exists
+from ..operators.keys import key_set, with_keys, without_keys
+from .storage import delete_dir, exists, list_dirs
 
 __all__ = ["PartitionedTable"]
 
@@ -39,7 +39,8 @@ class PartitionedTable:
         return (F.year(c) * 100 + F.month(c)).alias(MONTH)
 
     def _stored(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if exists(self.spark, f"{self.path}/_SUCCESS") else None
+        held = any(name.startswith(f"{MONTH}=") for name in list_dirs(self.spark, self.path))
+        return self.spark.read.parquet(self.path) if held else None
 
     def read(self) -> DataFrame | None:
         """The table without its partition column; None before the first publish."""
@@ -59,28 +60,24 @@ class PartitionedTable:
         self.recover()
         stored = self._stored()
         df = df.withColumn(MONTH, self._month())
-        if stored is None:
-            self._write(df)
-            return []
-        return self._swap(df, stored.select(MONTH).unionByName(df.select(MONTH)).distinct())
+        months = df.select(MONTH) if stored is None else df.select(MONTH).unionByName(stored.select(MONTH))
+        return self._swap(df, months.distinct())
 
     def keyed_replace(self, delta: DataFrame, key: str, run_ts: datetime | None = None, keys: DataFrame | None = None):
         """Group replace by key; gives the months rewritten. ``keys`` overrides the key source."""
         self.recover()
         stored = self._stored()
-        delta = delta.withColumn(MONTH, self._month())
         if stored is None:
-            self._write(delta)
-            return []
+            return self.replace(delta)
+        delta = delta.withColumn(MONTH, self._month())
         wanted = key_set(delta if keys is None else keys, key)
-        same_key = stored[key] == F.col("_key")
-        held = stored.join(wanted, same_key, "left_semi").select(MONTH)  # reads the key and the folder name
+        held = with_keys(stored, wanted, key).select(MONTH)  # reads the key and the folder name
         months = [r[0] for r in held.unionByName(delta.select(MONTH)).distinct().collect()]  # a row per folder at most
         named = [m for m in months if m is not None]
         here = F.col(MONTH).isin(*named) if named else F.lit(False)
         if None in months:
             here = here | F.col(MONTH).isNull()
-        kept = stored.filter(here).join(wanted, same_key, "left_anti")
+        kept = without_keys(stored.filter(here), wanted, key)
         listed = self.spark.createDataFrame([(m,) for m in months], f"{MONTH} int")
         return self._swap(kept.unionByName(delta, allowMissingColumns=True), listed)
 

@@ -12,8 +12,11 @@ from ..functions.text import na_normalise
 
 __all__ = ["snapshot_csv", "read_snapshot", "read_csv_lenient"]
 
-# Quotes are doubled inside a quoted field, NULL and empty text are both an empty field.
-_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+# Quotes are doubled inside a quoted field, spaces are content, NULL and empty text are
+# both an empty field.
+_DIALECT = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def snapshot_path(root: str, table: str, run_date: date) -> str:
@@ -53,11 +56,21 @@ def read_snapshot(
 def read_csv_lenient(
     spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False, header: bool = True
 ) -> DataFrame:
-    """Read CSV that may hold broken lines: they are skipped, spaces after delimiters too."""
-    options = {**_DIALECT, "header": header}
-    df = (
-        spark.read.schema(schema)
-        .options(multiLine=multiline, mode="DROPMALFORMED", ignoreLeadingWhiteSpace=True, **options)
-        .csv(path)
-    )
-    return na_normalise(df)
+    """Read CSV that may hold broken lines.
+
+    Lines with too many fields are skipped, short ones are filled with NULL, spaces after
+    a delimiter are dropped and the missing-value tokens become NULL in every column. A
+    value that is not of its column's type becomes NULL.
+    """
+    line = "_odd_line"  # filled where the number of fields is not the schema's
+    raw = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(line, T.StringType())])
+    options = {
+        **_DIALECT, "header": header, "ignoreLeadingWhiteSpace": True, "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": line, "columnPruning": False,
+    }
+    lines = spark.read.schema(raw).options(multiLine=multiline, **options).csv(path)
+    # the empty piece of a data column is there because Spark reads the line column only with others
+    shown = F.concat_ws("", F.col(line), F.substring(F.col(f"`{schema[0].name}`"), 1, 0))
+    fields = F.regexp_count(F.regexp_replace(shown, r'"([^"]|"")*"', ""), F.lit(",")) + 1
+    rows = na_normalise(lines.filter(fields <= len(schema)).drop(line))
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])

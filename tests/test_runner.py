@@ -1,0 +1,137 @@
+import dataclasses
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from registry.base import RUN_TS, Tables
+from registry.sources import frames
+from tablesync import SPECS, run_job, run_jobs
+from tablesync.plans.runner import changed_rows, delta, published_keys
+from tablesync.sources.catalog import FrameCatalog
+from tablesync.sources.partitioned import PartitionedTable
+from tablesync.sources.published import PublishedTable
+from tablesync.sources.snapshot import snapshot_path
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def catalog(spark):
+    return FrameCatalog(frames(Tables(spark, SF)))
+
+
+def bag(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def test_all_tables_are_there():
+    assert len(SPECS) == 37
+    assert len({(s.dataset, s.target) for s in SPECS.values()}) == 37
+    assert sum(s.publish == "full" for s in SPECS.values()) == 6
+    assert sum(s.windowed for s in SPECS.values()) == 31
+    assert sum(len(s.joins) for s in SPECS.values()) == 19
+    assert sum(bool(s.joins) for s in SPECS.values()) == 16
+
+
+def test_every_window_holds_some_rows_but_not_all(spark, catalog):
+    for spec in SPECS.values():
+        if spec.windowed:
+            changed, all_rows = changed_rows(spec, catalog, RUN_TS).count(), catalog.scan(spec.source).count()
+            assert 0 < changed < all_rows, spec.name
+
+
+@pytest.mark.parametrize("name", ["companies", "subscriptions", "plans", "users", "invoice_down_payments", "invoices"])
+def test_run_publishes_the_delta(spark, catalog, tmp_path, name):
+    spec = SPECS[name]
+    result = run_job(spec, catalog, f"{tmp_path}/pub", RUN_TS, f"{tmp_path}/snap")
+    table = PublishedTable(spark, f"{tmp_path}/pub", spec.dataset, spec.target)
+    want = delta(spec, catalog, RUN_TS)
+    assert result.status == "published" and result.rows == want.count() == result.non_null[spec.key]
+    assert bag(table.read()) == bag(want)
+    snapshot = spark.read.csv(snapshot_path(f"{tmp_path}/snap", spec.target, datetime(2024, 1, 5)), header=True, escape='"', multiLine=True)
+    assert snapshot.count() == want.count() and "uuid" in snapshot.columns
+
+    # the same run again changes nothing, a later one replaces whole keys
+    again = run_job(spec, catalog, f"{tmp_path}/pub", RUN_TS)
+    assert again.version != result.version and bag(table.read()) == bag(want)
+    later = datetime(2024, 1, 7, 2)
+    run_job(spec, catalog, f"{tmp_path}/pub", later)
+    if spec.publish == "keyed":
+        new = delta(spec, catalog, later)
+        keys = {r[0] for r in new.select(spec.key).collect()}
+        kept = [r for r in bag(want) if r[sorted(want.columns).index(spec.key)] not in keys]
+        assert bag(table.read()) == sorted(kept + bag(new), key=repr)
+
+
+def test_keys_need_no_joins(spark, catalog):
+    for spec in SPECS.values():
+        if spec.publish == "keyed":
+            rows = delta(spec, catalog, RUN_TS)
+            keys = published_keys(spec, changed_rows(spec, catalog, RUN_TS), rows)
+            assert rows.schema[spec.key].dataType == keys.schema[spec.key].dataType
+            assert bag(keys.distinct()) == bag(rows.select(spec.key).distinct()), spec.name
+
+
+def test_no_changes_no_write(spark, catalog, tmp_path):
+    quiet = datetime(2040, 1, 1)
+    assert run_job(SPECS["users"], FrameCatalog({"gateway.users": catalog.scan("gateway.users").limit(0)}), f"{tmp_path}", quiet).status == "empty"
+    assert run_job(SPECS["companies"], catalog, f"{tmp_path}", quiet).status == "empty"
+    assert not list(tmp_path.iterdir())
+
+
+def test_one_failure_does_not_stop_the_rest(spark, catalog, tmp_path):
+    broken = FrameCatalog({**catalog.frames, "invoicer.expenses": lambda: spark.range(1).selectExpr("id")})
+    results = run_jobs([SPECS["sms_logs"], SPECS["expenses"], SPECS["company_type"]], broken, f"{tmp_path}", RUN_TS, parallel=3)
+    assert [r.status for r in results] == ["published", "failed", "published"]
+    assert results[1].error is not None
+
+
+def test_failed_cast_leaves_the_table(spark, catalog, tmp_path):
+    spec = SPECS["expenses"]
+    run_job(spec, catalog, f"{tmp_path}", RUN_TS)
+    table = PublishedTable(spark, f"{tmp_path}", spec.dataset, spec.target)
+    before = bag(table.read())
+    bad = catalog.scan("invoicer.expenses").withColumn("status", F.lit("no number"))
+    with pytest.raises(Exception):
+        run_job(spec, FrameCatalog({"invoicer.expenses": bad}), f"{tmp_path}", RUN_TS)
+    assert bag(table.read()) == before
+
+
+def test_whole_groups_keep_unchanged_siblings(spark, tmp_path):
+    times = "timestamp_ntz '2024-01-01 00:00:00' created_at"
+    first = spark.sql(f"select 'r1' uuid, 'p' meta_id, 'x' meta_value, timestamp_ntz '2024-01-05 03:00:00' updated_at, {times} "
+                      f"union all select 'r2', 'p', 'y', timestamp_ntz '2024-01-05 04:00:00', timestamp_ntz '2024-01-01 00:00:00'")
+    second = first.withColumn("updated_at", F.expr("if(uuid = 'r1', timestamp_ntz '2024-01-07 03:00:00', updated_at)"))
+    spec = SPECS["plans"]
+    for s, left in ((spec, ["r1", "r2"]), (spec.verbatim(), ["r1"])):
+        root = f"{tmp_path}/{len(left)}"
+        run_job(s, FrameCatalog({"invoicer.plans": first}), root, RUN_TS)
+        run_job(s, FrameCatalog({"invoicer.plans": second}), root, datetime(2024, 1, 8, 2))
+        got = PublishedTable(spark, root, s.dataset, s.target).read()
+        assert sorted(r.uuid for r in got.collect()) == left and {r.plan_id for r in got.collect()} == {"p"}
+
+
+def test_by_month_gives_the_same_table(spark, catalog, tmp_path):
+    spec = SPECS["invoices"]
+    monthly = dataclasses.replace(spec, by_month=True)
+    for run in (RUN_TS, datetime(2024, 1, 7, 2)):
+        whole, parts = run_job(spec, catalog, f"{tmp_path}/a", run), run_job(monthly, catalog, f"{tmp_path}/b", run)
+        assert (whole.status, whole.rows, whole.non_null) == (parts.status, parts.rows, parts.non_null)
+    assert bag(PublishedTable(spark, f"{tmp_path}/a", spec.dataset, spec.target).read()) == bag(
+        PartitionedTable(spark, f"{tmp_path}/b", spec.dataset, spec.target).read())
+
+
+def test_column_order(spark, catalog):
+    assert delta(SPECS["companies"], catalog, RUN_TS).columns[-3:] == ["created_at", "updated_at", "business_type_child"]
+    assert delta(SPECS["invoices"], catalog, RUN_TS).columns[-3:] == ["created_at", "updated_at", "invoice_amount"]
+    assert delta(SPECS["subscriptions"], catalog, RUN_TS).columns[-2:] == ["created_at", "updated_at"]
+    located = delta(SPECS["locations"], catalog, RUN_TS).columns
+    assert located == sorted(located[:-1] + ["uuid"])[:-1] + ["location_id"]
+
+
+def test_extra_and_absent_source_columns(spark):
+    # the masked columns a table lacks are ignored, the columns it has in addition are kept
+    base = spark.sql("select 'u1' uuid, 'budi@gmail.com' email, 'more' surprise")
+    row = delta(SPECS["users"], FrameCatalog({"gateway.users": base}), RUN_TS).first().asDict()
+    assert row == {"user_id": "u1", "email": "budxxx@gmail.com", "surprise": "more"}
