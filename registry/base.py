@@ -26,7 +26,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, frame)  # the folder is listed once per query
+        return frame
 
     def sql(self, text: str) -> DataFrame:
         """Run portable SQL whose table names stand in braces."""

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from tablesync.functions import masks, text, times, types
 from tablesync.operators import aggregates, columns, joins, replace
 from tablesync.operators.window import change_window, change_window_raw, changed_groups, contiguous_window
-from tablesync.sources.published import PublishedTable
+from tablesync.sources.partitioned import PartitionedTable
+from tablesync.sources.published import PublishedTable, scan_published
 from tablesync.sources.snapshot import read_csv_lenient, read_snapshot, snapshot_csv
 from tablesync.sources.staging import shared_folder, stage
 
@@ -104,6 +105,31 @@ def _(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query("scan_published", """
+select c_mktsegment, o_orderstatus, count(*) as n from {orders} join {customer} on c_custkey = o_custkey
+group by c_mktsegment, o_orderstatus""")
+def _(t: Tables) -> DataFrame:
+    orders, customers = _published(t, "orders"), _published(t, "customers")
+    orders.replace(t.orders, RUN_TS)
+    customers.replace(t.customer, RUN_TS)
+    return scan_published(t.spark, """
+        select c_mktsegment, o_orderstatus, count(*) as n from {orders} join {customers} on c_custkey = o_custkey
+        group by c_mktsegment, o_orderstatus""", {"orders": orders, "customers": customers})
+
+
+@query("publish_by_month", f"""
+select * from {{orders}} t where not exists (
+  select 1 from {{orders}} d where d.o_orderdate >= date '2001-01-01' and d.o_orderkey = t.o_orderkey)
+union all select * replace (o_totalprice + 1 as o_totalprice) from {{orders}} where o_orderdate >= date '2001-01-01'""")
+def _(t: Tables) -> DataFrame:
+    # only the months of the late orders are rewritten
+    name = f"orders-{datetime.now():%Y%m%d%H%M%S%f}"
+    table = PartitionedTable(t.spark, shared_folder(t.spark), "monthly", name, "o_orderdate")
+    table.replace(t.orders)
+    table.keyed_replace(_late_orders(t), "o_orderkey")
+    return table.read()
+
+
 @query("snapshot_csv", ORDERS)
 def _(t: Tables) -> DataFrame:
     root = f"{shared_folder(t.spark)}/snapshots-{datetime.now():%Y%m%d%H%M%S%f}"
@@ -591,8 +617,8 @@ def _(t: Tables) -> DataFrame:
 select event_id, cast(strptime(ymd, '%Y%m%d') as date) as day, cast(strptime(ymd, '%Y%m%d') as date) - 4 as four_days_before
 from ({DAYS})""")
 def _(t: Tables) -> DataFrame:
-    day = F.to_date("ymd", "yyyyMMdd")
-    return t.sql(DAYS).select("event_id", day.alias("day"), F.date_sub(day, 4).alias("four_days_before"))
+    day = times.parse_ymd("ymd")
+    return t.sql(DAYS).select("event_id", day.alias("day"), times.days_before(day, 4).alias("four_days_before"))
 
 
 @query("strict_time", f"select c_custkey, cast(time_text as timestamp) as at from ({LOOSE_VALUES})")
@@ -659,9 +685,14 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("to_double", "select p_partkey, cast(p_size as double) as p_size, cast(p_partkey as varchar) as key_text from {part}")
+@query("to_double", f"""
+select c_custkey, cast(number_text as double) as number, cast(c_nationkey as double) as c_nationkey, cast(c_custkey as varchar) as key_text
+from ({LOOSE_VALUES})""")
 def _(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.col("p_size").cast("double").alias("p_size"), F.col("p_partkey").cast("string").alias("key_text"))
+    return t.sql(LOOSE_VALUES).select(
+        "c_custkey", types.to_double("number_text").alias("number"),
+        types.to_double("c_nationkey", T.IntegerType()).alias("c_nationkey"), text.to_text("c_custkey").alias("key_text"),
+    )
 
 
 @query("align_to_target", """

@@ -42,9 +42,11 @@ def mask_phone(c: Column | str) -> Column:
     """
     text = _text(c, "")
     foreign = (F.octet_length(text) > F.char_length(text)) & text.rlike(_all_numeric())
-    number = F.when(foreign, text).otherwise(F.regexp_replace(text, "[^0-9]", ""))
+    number = F.when(foreign, text).otherwise(F.regexp_replace(text, "[^0-9]+", ""))
     head = F.substring(F.regexp_replace(number, "^62(?=8)", "0"), 1, 4)
-    return F.when(head == "", F.lit("-")).otherwise(F.concat(head, F.lit("x" * 8)))
+    hidden = "x" * 8
+    # nullif evaluates its operand once, a CASE over it would do so twice
+    return F.coalesce(F.nullif(F.concat(head, F.lit(hidden)), F.lit(hidden)), F.lit("-"))
 
 
 def mask_email(c: Column | str, domains: Iterable[str] = FREE_DOMAINS) -> Column:

@@ -26,7 +26,7 @@ def text_before(c: Column | str, mark: str = "#") -> Column:
     return F.substring_index(_col(c), mark, 1)
 
 
-def na_text(c: Column | str, lenient: bool = False) -> Column:
+def na_text(c: Column | str, lenient: bool = False, tokens: Iterable[Column | str] = NA_TOKENS) -> Column:
     """NULL for the missing-value tokens.
 
     ``lenient`` first drops leading spaces, except from text that a CSV writer would
@@ -35,7 +35,7 @@ def na_text(c: Column | str, lenient: bool = False) -> Column:
     c = _col(c)
     if lenient:
         c = F.when(c.rlike('[,"\n\r]'), c).otherwise(F.ltrim(c))
-    return F.when(~c.isin(*NA_TOKENS), c)
+    return F.when(~c.isin(*tokens), c)
 
 
 def na_normalise(df: DataFrame, lenient: bool = False) -> DataFrame:
@@ -44,11 +44,11 @@ def na_normalise(df: DataFrame, lenient: bool = False) -> DataFrame:
     Text tokens for "missing" and floating NaN become NULL. Leading zeros of digit
     text are kept (the trip through an untyped file would lose them).
     """
-    fixed = {}
+    fixed, tokens = {}, [F.lit(t) for t in NA_TOKENS]
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType)):
-            fixed[f.name] = na_text(c, lenient)
+            fixed[f.name] = na_text(c, lenient, tokens)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             fixed[f.name] = F.when(~F.isnan(c), c)
     return df.withColumns(fixed) if fixed else df

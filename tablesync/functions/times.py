@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "shift_hours", "calendar_day", "to_time_strict", "to_time_coerce", "clamp_timestamp",
-    "out_of_range", "before_year", "on_day", "at",
+    "out_of_range", "before_year", "on_day", "parse_ymd", "days_before", "at",
 ]
 
 # The range of a 64-bit nanosecond clock, at microsecond precision.
@@ -35,6 +35,15 @@ def calendar_day(c: Column | str) -> Column:
     return F.to_date(_col(c))
 
 
+def parse_ymd(c: Column | str) -> Column:
+    """Date from ``yyyymmdd`` text."""
+    return F.to_date(_col(c), "yyyyMMdd")
+
+
+def days_before(c: Column | str, days: int) -> Column:
+    return F.date_sub(_col(c), days)
+
+
 def out_of_range(c: Column | str) -> Column:
     c = _col(c)
     return (c < at(MIN_TIME)) | (c > at(MAX_TIME))

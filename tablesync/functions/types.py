@@ -13,7 +13,7 @@ from .times import at, clamp_timestamp, out_of_range, MAX_TIME
 
 __all__ = [
     "TYPE_PATTERNS", "TARGET_TYPES", "declared_schema", "declared_pairs", "type_class", "type_class_of",
-    "first_declared", "type_sync", "align_to_target", "to_whole", "to_number",
+    "first_declared", "type_sync", "align_to_target", "to_whole", "to_number", "to_double",
 ]
 
 # Declared-type pattern -> class; the first match wins.
@@ -82,10 +82,8 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SPECIAL = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
 
 
-def to_number(c: Column, dtype: T.DataType | None = None) -> Column:
+def to_number(c: Column) -> Column:
     """Double, or NULL where the text is no number (a plain cast would take ``12d``)."""
-    if dtype is not None and not isinstance(dtype, T.StringType):
-        return c.try_cast("double") if not isinstance(dtype, (T.TimestampNTZType, T.DateType)) else F.lit(None)
     c = c.cast("string")
     return F.when(c.rlike(_NUMBER) | c.rlike(_SPECIAL), F.trim(c).try_cast("double"))
 
@@ -98,6 +96,16 @@ def to_whole(c: Column | str, dtype: T.DataType | None = None) -> Column:
     return c.cast("bigint")
 
 
+def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
+    """Double; unreadable text fails the job, whatever the ANSI setting."""
+    c = F.col(c) if isinstance(c, str) else c
+    if dtype is not None and not isinstance(dtype, T.StringType):
+        return c.cast("double")
+    number = to_number(c)
+    bad = c.isNotNull() & number.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), c.cast("string")))).otherwise(number)
+
+
 def type_sync(
     df: DataFrame,
     declared: Declared | Mapping[str, str] | DataFrame,

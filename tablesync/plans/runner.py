@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..functions.masks import mask_table
 from ..functions.text import na_normalise, to_text
 from ..functions.times import shift_hours, to_time_coerce, to_time_strict
-from ..functions.types import align_to_target, first_declared, to_whole, type_sync
+from ..functions.types import align_to_target, first_declared, to_double, to_whole, type_sync
 from ..operators import columns as cols
 from ..operators.aggregates import dedupe_keep_first, observe_profile
 from ..operators.joins import fan_out, lookup, preagg_join
@@ -90,7 +90,7 @@ def _cast(kind: str, name: str, dtype: T.DataType, spell_null: bool) -> Column:
     if kind == "whole":
         return to_whole(c, dtype)
     if kind == "double":
-        return c.cast("double")
+        return to_double(c, dtype)
     if kind == "time":
         return to_time_strict(c)
     if kind == "time_or_null":

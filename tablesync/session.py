@@ -21,7 +21,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> S
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tablesync").config("spark.driver.memory", memory)
     settings = {
         **SETTINGS, "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", **extra,
+        "spark.ui.showConsoleProgress": "false",
+        # call-site records for every column expression cost more than planning itself
+        "spark.python.sql.dataFrameDebugging.enabled": "false", **extra,
     }
     for key, value in settings.items():
         builder = builder.config(key, value)

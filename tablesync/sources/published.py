@@ -7,7 +7,7 @@ marker, written last, is the switch: readers take the newest committed version.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.replace import append_rows, keyed_replace
 from .storage import delete_dir, exists, list_dirs
 
-__all__ = ["PublishedTable"]
+__all__ = ["PublishedTable", "scan_published"]
 
 
 class PublishedTable:
@@ -68,3 +68,8 @@ class PublishedTable:
         for version in old:
             delete_dir(self.spark, f"{self.path}/{version}")
         return old
+
+
+def scan_published(spark: SparkSession, sql: str, tables: Mapping[str, "PublishedTable"]) -> DataFrame:
+    """Read published tables by SQL; ``{name}`` in the text stands for the table of that name."""
+    return spark.sql(sql, **{name: table.read() for name, table in tables.items()})

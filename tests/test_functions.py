@@ -142,6 +142,16 @@ def test_to_whole(spark):
     assert [tuple(r) for r in got] == [(12, -3), (-100, None), (None, 2)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_to_double(spark, settings, ansi):
+    settings(spark__sql__ansi__enabled=ansi)
+    df = spark.createDataFrame([(" 1e3 ", 2), ("-inf", None), (None, 3)], "s string, i int")
+    got = df.select(types.to_double("s").alias("s"), types.to_double("i", T.IntegerType()).alias("i")).collect()
+    assert [tuple(r) for r in got] == [(1000.0, 2.0), (float("-inf"), None), (None, 3.0)]
+    with pytest.raises(Exception, match="not a number"):
+        spark.createDataFrame([("12d",)], "s string").select(types.to_double("s")).collect()
+
+
 def test_align_to_target(spark):
     df = spark.createDataFrame([("1.9", 5, "2024-01-01 02:03:04")], "a string, b int, c string")
     row = types.align_to_target(df, {"b": "STRING", "c": "TIMESTAMP", "a": "INT64", "z": "FLOAT64"}).first()
