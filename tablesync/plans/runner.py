@@ -182,7 +182,7 @@ def run_job(
         if base.rows == 0:
             return JobResult(spec.name, "empty")
         full = enriched(spec, base.read(), catalog)
-        if spec.joins:
+        if spec.joins and (snapshots or spec.by_month):  # read more than once below
             staged.append(stage(full, f"{spec.name}-joined"))
             full = staged[-1].read()
         shown = masked(spec, full)

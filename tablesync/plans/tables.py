@@ -1,4 +1,8 @@
-"""The 37 replicated tables."""
+"""The 37 replicated tables.
+
+Fixed values: the names of sources, targets, keys and columns, and which columns are
+masked, shifted or cast, are those the published tables have.
+"""
 
 from __future__ import annotations
 

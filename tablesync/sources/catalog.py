@@ -8,6 +8,7 @@ cut into parallel slices of it; file reads filter by pushdown and ignore it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,26 +59,47 @@ class JdbcCatalog:
     """Tables of an operational database.
 
     A windowed scan is cut into ``slices`` touching time ranges, read in parallel; each
-    slice is a range on the bare column, which an index on it serves. Timestamps are
-    read without a zone. Declared types are the database's own.
+    slice is a range on the bare column, which an index on it serves. A whole table is
+    read in one task, which suits lookup tables; ``slice_by`` names a time column for
+    those that are large, and they are cut along it. Timestamps are read without a zone.
+    Declared types are the database's own.
     """
 
-    def __init__(self, spark: SparkSession, url: str, properties: Mapping[str, str], slices: int = 8):
-        self.spark, self.url, self.slices = spark, url, slices
+    def __init__(
+        self, spark: SparkSession, url: str, properties: Mapping[str, str], slices: int = 8,
+        slice_by: Mapping[str, str] | None = None,
+    ):
+        self.spark, self.url, self.slices, self.slice_by = spark, url, slices, dict(slice_by or {})
         self.properties = {"preferTimestampNTZ": "true", **properties}
 
     def predicates(self, window: Window, column: str) -> list[str]:
+        """Touching ranges that cover the window."""
         return [
             f"{column} >= '{w.lower:%Y-%m-%d %H:%M:%S.%f}' AND {column} < '{w.upper:%Y-%m-%d %H:%M:%S.%f}'"
             for w in window.slices(self.slices)
         ]
 
+    def whole_predicates(self, first: datetime | None, last: datetime | None, column: str) -> list[str]:
+        """Ranges that cover every row: open at both ends, and the rows without a time."""
+        if first is None or first >= last:
+            return ["1 = 1"]
+        edges = [f"'{w.lower:%Y-%m-%d %H:%M:%S.%f}'" for w in Window(first, last).slices(self.slices)[1:]]
+        inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])]
+        return [f"{column} < {edges[0]}", *inner, f"{column} >= {edges[-1]}", f"{column} IS NULL"]
+
+    def _query(self, text: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(url=self.url, query=text, **self.properties).load()
+
     def scan(self, table: str, window: Window | None = None, column: str = "updated_at") -> DataFrame:
-        if window is None:
+        if window is not None:
+            parts = self.predicates(window, column)
+        elif table in self.slice_by:
+            column = self.slice_by[table]
+            bounds = self._query(f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}").first()
+            parts = self.whole_predicates(bounds["lo"], bounds["hi"], column)
+        else:
             return self.spark.read.jdbc(self.url, table, properties=self.properties)
-        return self.spark.read.jdbc(
-            self.url, table, predicates=self.predicates(window, column), properties=self.properties
-        )
+        return self.spark.read.jdbc(self.url, table, predicates=parts, properties=self.properties)
 
     def declared_query(self, table: str) -> str:
         namespace, name = table.split(".")
@@ -87,7 +109,5 @@ class JdbcCatalog:
         )
 
     def declared(self, table: str) -> list[tuple[str, str]]:
-        rows = self.spark.read.format("jdbc").options(
-            url=self.url, query=self.declared_query(table), **self.properties
-        ).load()
+        rows = self._query(self.declared_query(table))
         return [(r["Field"], r["Type"]) for r in rows.collect()]  # one row per column of one table

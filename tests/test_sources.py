@@ -148,4 +148,11 @@ def test_database_reads_are_sliced(spark):
         "updated_at >= '2024-01-05 00:00:00.000000' AND updated_at < '2024-01-05 13:00:00.000000'",
         "updated_at >= '2024-01-05 13:00:00.000000' AND updated_at < '2024-01-06 02:00:00.000000'",
     ]
+    catalog = JdbcCatalog(spark, "jdbc:mysql://host/db", {}, slices=3, slice_by={"gateway.users": "created_at"})
+    assert catalog.whole_predicates(datetime(2024, 1, 1), datetime(2024, 1, 4), "created_at") == [
+        "created_at < '2024-01-02 00:00:00.000000'",
+        "created_at >= '2024-01-02 00:00:00.000000' AND created_at < '2024-01-03 00:00:00.000000'",
+        "created_at >= '2024-01-03 00:00:00.000000'", "created_at IS NULL",
+    ]
+    assert catalog.whole_predicates(None, None, "created_at") == ["1 = 1"]
     assert "table_schema = 'gateway' AND table_name = 'users'" in catalog.declared_query("gateway.users")
