@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablesync.functions import masks, text, times, types
 from tablesync.operators import aggregates, columns, joins, replace
 from tablesync.operators.window import change_window, change_window_raw, changed_groups, contiguous_window
+from tablesync.sources.bucketed import BucketedTable
 from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.published import PublishedTable, scan_published
 from tablesync.sources.snapshot import read_csv_lenient, read_snapshot, snapshot_csv
@@ -70,6 +71,7 @@ from {events}
 
 # --- scans, sources, sinks ---------------------------------------------------------
 
+_DELTA = "select * replace (o_totalprice + 1 as o_totalprice) from {orders} where o_orderdate >= date '2001-01-01'"
 ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from {orders}"
 
 
@@ -117,6 +119,18 @@ def _(t: Tables) -> DataFrame:
         group by c_mktsegment, o_orderstatus""", {"orders": orders, "customers": customers})
 
 
+@query("publish_bucketed", f"""
+select * from {{orders}} t where not exists (select 1 from ({_DELTA}) d where d.o_orderkey = t.o_orderkey)
+union all select * from ({_DELTA})""")
+def _(t: Tables) -> DataFrame:
+    # the table is laid out by its key and stays where it is
+    name = f"orders-{datetime.now():%Y%m%d%H%M%S%f}"
+    table = BucketedTable(t.spark, shared_folder(t.spark), "bucketed", name, "o_orderkey", 8)
+    table.replace(t.orders, RUN_TS)
+    table.keyed_replace(_late_orders(t), "o_orderkey", RUN_TS)
+    return table.read()
+
+
 @query("publish_by_month", f"""
 select * from {{orders}} t where not exists (
   select 1 from {{orders}} d where d.o_orderdate >= date '2001-01-01' and d.o_orderkey = t.o_orderkey)
@@ -471,8 +485,6 @@ def _(t: Tables) -> DataFrame:
 
 # --- table maintenance -------------------------------------------------------------
 
-_DELTA = "select * replace (o_totalprice + 1 as o_totalprice) from {orders} where o_orderdate >= date '2001-01-01'"
-
 
 def _late_orders(t: Tables) -> DataFrame:
     rows = t.orders.filter(F.col("o_orderdate") >= times.at(datetime(2001, 1, 1)))

@@ -41,18 +41,18 @@ def key_set(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col(f"`{key}`").alias("_key")).filter(F.col("_key").isNotNull()).distinct()
 
 
-def _join(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+def _join(df: DataFrame, keys: DataFrame, key: str, how: str, placed: bool) -> DataFrame:
     # equal types on both sides: the hash would tell 1 from 1.0
     keys = keys.select(F.col("_key").cast(df.schema[key].dataType).alias("_key"))
-    spread = not fits_broadcast(keys)
+    spread = not placed and not fits_broadcast(keys)
     return df.join(keys, match([F.col(f"`{key}`")], [F.col("_key")], spread), how)
 
 
-def with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in the key set."""
-    return _join(df, keys, key, "left_semi")
+def with_keys(df: DataFrame, keys: DataFrame, key: str, placed: bool = False) -> DataFrame:
+    """Rows whose key is in the key set. ``placed``: the rows are laid out by the key already."""
+    return _join(df, keys, key, "left_semi", placed)
 
 
-def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def without_keys(df: DataFrame, keys: DataFrame, key: str, placed: bool = False) -> DataFrame:
     """Rows whose key is not in the key set, among them those with a NULL key."""
-    return _join(df, keys, key, "left_anti")
+    return _join(df, keys, key, "left_anti", placed)

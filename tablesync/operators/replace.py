@@ -16,17 +16,22 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def delete_by_keys(target: DataFrame, delta: DataFrame, key: str, delta_key: str | None = None) -> DataFrame:
+def delete_by_keys(
+    target: DataFrame, delta: DataFrame, key: str, delta_key: str | None = None, placed: bool = False
+) -> DataFrame:
     """Rows of the target whose key is not in the delta; rows with a NULL key survive.
 
     A left anti join: with few keys Catalyst broadcasts them and the target is only
     streamed; past the broadcast bound both sides shuffle, and the adaptive planner
-    splits a hot (or NULL) target key, which a left anti join allows.
+    splits a hot (or NULL) target key, which a left anti join allows. A target laid out
+    by the key (``placed``) is not shuffled.
     """
-    return without_keys(target, key_set(delta, delta_key or key), key)
+    return without_keys(target, key_set(delta, delta_key or key), key, placed)
 
 
-def keyed_replace(target: DataFrame | None, delta: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+def keyed_replace(
+    target: DataFrame | None, delta: DataFrame, key: str, keys: DataFrame | None = None, placed: bool = False
+) -> DataFrame:
     """Remove all target rows of the delta's keys, then add all delta rows.
 
     A group replace, not a merge: a key may have several rows on either side. ``keys``
@@ -34,7 +39,7 @@ def keyed_replace(target: DataFrame | None, delta: DataFrame, key: str, keys: Da
     """
     if target is None:
         return delta
-    kept = delete_by_keys(target, delta if keys is None else keys, key)
+    kept = delete_by_keys(target, delta if keys is None else keys, key, placed=placed)
     return kept.unionByName(delta, allowMissingColumns=True)
 
 

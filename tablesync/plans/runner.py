@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,7 @@ from ..operators.aggregates import dedupe_keep_first, observe_profile
 from ..operators.joins import fan_out, lookup, preagg_join
 from ..operators.replace import full_refresh, keyed_replace
 from ..operators.window import Window, change_window, changed_groups, daily_window
+from ..sources.bucketed import BucketedTable
 from ..sources.catalog import Catalog
 from ..sources.partitioned import PartitionedTable
 from ..sources.published import PublishedTable
@@ -35,7 +36,10 @@ from ..sources.snapshot import snapshot_csv
 from ..sources.staging import Staged, stage
 from .spec import TableSpec
 
-__all__ = ["changed_rows", "enriched", "masked", "settled", "delta", "published_keys", "next_state", "run_job", "run_jobs", "JobResult"]
+__all__ = [
+    "changed_rows", "enriched", "masked", "settled", "delta", "published_keys", "next_state", "published_table",
+    "run_job", "run_jobs", "JobResult",
+]
 
 
 def _window(run: datetime | Window) -> Window:
@@ -159,7 +163,7 @@ class JobResult:
     name: str
     status: str  # published, empty, failed
     rows: int = 0
-    version: str | None = None
+    version: str | list | None = None  # the version written, or the months
     snapshot: str | None = None
     non_null: dict[str, int] = field(default_factory=dict)
     error: Exception | None = None
@@ -199,19 +203,24 @@ def run_job(
             s.release()
 
 
-def _publish(spec: TableSpec, base: Staged, rows: DataFrame, root: str, run_ts: datetime) -> str | None:
-    if not spec.by_month:
-        table = PublishedTable(base.spark, root, spec.dataset, spec.target)
-        return table.write(next_state(spec, table.read(), rows, base.read()), run_ts)
-    table = PartitionedTable(base.spark, root, spec.dataset, spec.target)
+def published_table(spec: TableSpec, spark: SparkSession, root: str) -> PublishedTable | PartitionedTable:
+    """Where a spec publishes to."""
+    if spec.by_month:
+        return PartitionedTable(spark, root, spec.dataset, spec.target)
+    if spec.buckets:
+        return BucketedTable(spark, root, spec.dataset, spec.target, spec.key, spec.buckets)
+    return PublishedTable(spark, root, spec.dataset, spec.target)
+
+
+def _publish(spec: TableSpec, base: Staged, rows: DataFrame, root: str, run_ts: datetime) -> str | list:
+    table = published_table(spec, base.spark, root)
     target = table.read()
-    if target is not None:
-        rows = align_to_target(rows, target.schema)
-    if target is None or spec.publish == "full":
-        table.replace(rows)
-    else:
-        table.keyed_replace(rows, spec.key, keys=published_keys(spec, base.read(), target))
-    return None
+    if target is None:
+        return table.replace(rows, run_ts)
+    rows = align_to_target(rows, target.schema)
+    if spec.publish == "full":
+        return table.replace(rows, run_ts)
+    return table.keyed_replace(rows, spec.key, run_ts, keys=published_keys(spec, base.read(), target))
 
 
 def run_jobs(

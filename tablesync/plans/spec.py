@@ -60,8 +60,13 @@ class TableSpec:
     casts: Mapping[str, str] = field(default_factory=dict)  # whole, double, text, time, time_or_null
     text_nulls: bool = False  # text casts spell NULL out
     by_month: bool = False  # keep the published table by creation month, rewrite touched months only
+    buckets: int = 0  # or bucketed by its key, which a group replace then does not shuffle
     legacy: Mapping[str, object] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.by_month and self.buckets:
+            raise ValueError(f"{self.name}: by month or bucketed, not both")
+
     @property
     def final_names(self) -> Mapping[str, str]:
         return {"uuid": self.key} if self.names is None else self.names

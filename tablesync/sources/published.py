@@ -7,7 +7,7 @@ marker, written last, is the switch: readers take the newest committed version.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,27 +40,28 @@ class PublishedTable:
         version = version or next(iter(self.versions()[::-1]), None)
         return self.spark.read.parquet(f"{self.path}/{version}") if version else None
 
-    def write(self, df: DataFrame, run_ts: datetime, partition_by: Sequence[str] = ()) -> str:
+    def write(self, df: DataFrame, run_ts: datetime) -> str:
         """Write the next version. A rerun of the same ``run_ts`` gets its own folder."""
         stamp = f"version-{run_ts:%Y%m%dT%H%M%S}"
         taken = [v for v in list_dirs(self.spark, self.path) if v.startswith("version-")]
         newest = max([stamp, *[v.rsplit("-", 1)[0] for v in taken]])  # a late rerun still becomes the newest
         number = 1 + max([int(v.rsplit("-", 1)[1]) for v in taken if v.startswith(newest)], default=-1)
         version = f"{newest}-{number:06d}"
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/{version}")
+        self._save(df, version)
         return version
 
+    def _save(self, df: DataFrame, version: str) -> None:
+        df.write.mode("errorifexists").parquet(f"{self.path}/{version}")
+
     def replace(self, df: DataFrame, run_ts: datetime) -> str:
         return self.write(df, run_ts)
 
     def append(self, df: DataFrame, run_ts: datetime) -> str:
         return self.write(append_rows(self.read(), df), run_ts)
 
-    def keyed_replace(self, delta: DataFrame, key: str, run_ts: datetime) -> str:
-        return self.write(keyed_replace(self.read(), delta, key), run_ts)
+    def keyed_replace(self, delta: DataFrame, key: str, run_ts: datetime, keys: DataFrame | None = None) -> str:
+        """Group replace by key; ``keys`` overrides the key source."""
+        return self.write(keyed_replace(self.read(), delta, key, keys=keys), run_ts)
 
     def expire(self, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` committed versions; gives the deleted ones."""

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from registry.base import RUN_TS, Tables
 from registry.sources import frames
 from tablesync import SPECS, run_job, run_jobs
-from tablesync.plans.runner import changed_rows, delta, published_keys
+from tablesync.plans.runner import changed_rows, delta, published_keys, published_table
 from tablesync.sources.catalog import FrameCatalog
-from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.published import PublishedTable
 from tablesync.sources.snapshot import snapshot_path
 
@@ -112,14 +111,16 @@ def test_whole_groups_keep_unchanged_siblings(spark, tmp_path):
         assert sorted(r.uuid for r in got.collect()) == left and {r.plan_id for r in got.collect()} == {"p"}
 
 
-def test_by_month_gives_the_same_table(spark, catalog, tmp_path):
+@pytest.mark.parametrize("kept", [{"by_month": True}, {"buckets": 4}])
+def test_other_layouts_give_the_same_table(spark, catalog, tmp_path, kept):
     spec = SPECS["invoices"]
-    monthly = dataclasses.replace(spec, by_month=True)
+    other = dataclasses.replace(spec, **kept)
     for run in (RUN_TS, datetime(2024, 1, 7, 2)):
-        whole, parts = run_job(spec, catalog, f"{tmp_path}/a", run), run_job(monthly, catalog, f"{tmp_path}/b", run)
-        assert (whole.status, whole.rows, whole.non_null) == (parts.status, parts.rows, parts.non_null)
-    assert bag(PublishedTable(spark, f"{tmp_path}/a", spec.dataset, spec.target).read()) == bag(
-        PartitionedTable(spark, f"{tmp_path}/b", spec.dataset, spec.target).read())
+        one, two = run_job(spec, catalog, f"{tmp_path}/a", run), run_job(other, catalog, f"{tmp_path}/b", run)
+        assert (one.status, one.rows, one.non_null) == (two.status, two.rows, two.non_null)
+    assert bag(published_table(spec, spark, f"{tmp_path}/a").read()) == bag(published_table(other, spark, f"{tmp_path}/b").read())
+    with pytest.raises(ValueError):
+        dataclasses.replace(spec, by_month=True, buckets=4)
 
 
 def test_column_order(spark, catalog):

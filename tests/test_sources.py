@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.replace import keyed_replace
 from tablesync.operators.window import daily_window
+from tablesync.sources.bucketed import BucketedTable
 from tablesync.sources.catalog import FrameCatalog, JdbcCatalog, ParquetCatalog
 from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.published import PublishedTable
@@ -102,6 +104,33 @@ def test_interrupted_swap_is_finished(spark, tmp_path, monkeypatch):
     assert again.recover() == []
 
 
+def test_bucketed_target_is_not_shuffled(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    table = BucketedTable(spark, str(tmp_path), "d", "t", "k", 4)
+    assert table.read() is None
+    table.replace(spark.range(1000).selectExpr("id as k", "id * 2 as v"), RUN)
+    delta = spark.range(990, 1010).selectExpr("id as k", "-id as v")
+    state = keyed_replace(table.read(), table._placed(delta), "k", placed=True)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    target_side = plan[: plan.index("HashAggregate")]
+    assert "Bucketed: true" in plan and "Exchange" not in target_side and "LeftAnti" in target_side
+    table.keyed_replace(delta, "k", RUN)
+    table.append(spark.createDataFrame([(5000, 1)], "k long, v long"), RUN)
+    want = {**{i: i * 2 for i in range(990)}, **{i: -i for i in range(990, 1010)}, 5000: 1}
+    assert {r.k: r.v for r in table.read().collect()} == want and table.read().count() == len(want)
+
+    # another session finds the version by its folder and registers it with its buckets
+    spark.sql(f"DROP TABLE {table._entry(table.versions()[-1])}")
+    again = BucketedTable(spark, str(tmp_path), "d", "t", "k", 4)
+    assert {r.k: r.v for r in again.read().collect()} == want
+    again.keyed_replace(spark.createDataFrame([(5000, 2)], "k long, v long"), "k", RUN)
+    assert {r.k: r.v for r in again.read().collect()} == {**want, 5000: 2}
+    gone = again.expire(1)
+    assert gone and not any(spark.catalog.tableExists(again._entry(v)) for v in gone) and again.read().count() == len(want)
+    with pytest.raises(ValueError, match="bucketed by k"):
+        again.keyed_replace(delta, "v", RUN)
+
+
 AWKWARD = [(1, 'a "quoted", text', 1.5, "2024-01-01 02:03:04.000005"), (2, "line\nbreak", None, None), (3, None, -0.1, "2024-01-01"),
            (4, "back\\slash", 1e20, "0001-01-01"), (5, " spaces ", 0.1, "9999-12-31 23:59:59.999999")]
 
