@@ -60,6 +60,12 @@ def change_window(df: DataFrame, c: str, run_ts: datetime | Window) -> DataFrame
 change_window_raw = change_window
 
 
-def changed_groups(df: DataFrame, c: str, run_ts: datetime | Window, group: str) -> DataFrame:
-    """All rows of every group that has a row in the window (for keys coarser than a row)."""
-    return with_keys(df, key_set(change_window(df, c, run_ts), group), group)
+def changed_groups(
+    df: DataFrame, c: str, run_ts: datetime | Window, group: str, changed: DataFrame | None = None
+) -> DataFrame:
+    """All rows of every group that has a row in the window (for keys coarser than a row).
+
+    ``changed`` gives the rows of the window where they can be had without reading ``df``.
+    """
+    changed = change_window(df if changed is None else changed, c, run_ts)
+    return with_keys(df, key_set(changed, group), group)

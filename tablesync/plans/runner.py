@@ -50,11 +50,11 @@ def changed_rows(spec: TableSpec, catalog: Catalog, run: datetime | Window) -> D
     """The base rows of this run, filtered on bare columns."""
     if not spec.windowed:
         base = catalog.scan(spec.source)
-    elif spec.whole_groups:
-        base = changed_groups(catalog.scan(spec.source), "updated_at", _window(run), spec.whole_groups)
     else:
         window = _window(run)
         base = change_window(catalog.scan(spec.source, window), "updated_at", window)
+        if spec.whole_groups:
+            base = changed_groups(catalog.scan(spec.source), "updated_at", window, spec.whole_groups, base)
     return cols.all_non_zero(base, spec.non_zero)
 
 
@@ -171,9 +171,9 @@ class JobResult:
 
 def run_job(
     spec: TableSpec, catalog: Catalog, root: str, run_ts: datetime, snapshots: str | None = None,
-    window: Window | None = None,
+    window: Window | None = None, keep: int | None = None,
 ) -> JobResult:
-    """Run one spec and publish it under ``root``.
+    """Run one spec and publish it under ``root``; ``keep`` limits the versions left there.
 
     All rows are computed before anything is published, and the publish is one commit, so
     a failure leaves the published table as it was. No changed rows: nothing is written,
@@ -194,7 +194,10 @@ def run_job(
         snapshot = snapshot_csv(shown, snapshots, spec.target, day) if snapshots and spec.snapshot else None
         # counted while being written: no pass of its own
         rows, profile = observe_profile(settled(spec, shown, catalog), f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}")
-        version = _publish(spec, base, rows, root, run_ts)
+        table = published_table(spec, base.spark, root)
+        version = _publish(spec, table, base, rows, run_ts)
+        if keep is not None and not spec.by_month:
+            table.expire(keep)
         counts = profile.get
         non_null = {c[2:]: n for c, n in counts.items() if c.startswith("n:")}
         return JobResult(spec.name, "published", counts["rows"], version, snapshot, non_null)
@@ -212,8 +215,9 @@ def published_table(spec: TableSpec, spark: SparkSession, root: str) -> Publishe
     return PublishedTable(spark, root, spec.dataset, spec.target)
 
 
-def _publish(spec: TableSpec, base: Staged, rows: DataFrame, root: str, run_ts: datetime) -> str | list:
-    table = published_table(spec, base.spark, root)
+def _publish(
+    spec: TableSpec, table: PublishedTable | PartitionedTable, base: Staged, rows: DataFrame, run_ts: datetime
+) -> str | list:
     target = table.read()
     if target is None:
         return table.replace(rows, run_ts)
@@ -225,13 +229,13 @@ def _publish(spec: TableSpec, base: Staged, rows: DataFrame, root: str, run_ts:
 
 def run_jobs(
     specs: Iterable[TableSpec], catalog: Catalog, root: str, run_ts: datetime, snapshots: str | None = None,
-    parallel: int = 4,
+    parallel: int = 4, keep: int | None = None,
 ) -> list[JobResult]:
     """Run specs from a few driver threads; one failing does not stop the others."""
 
     def one(spec: TableSpec) -> JobResult:
         try:
-            return run_job(spec, catalog, root, run_ts, snapshots)
+            return run_job(spec, catalog, root, run_ts, snapshots, keep=keep)
         except Exception as error:  # reported in the result, in the order of the specs
             return JobResult(spec.name, "failed", error=error)
 
