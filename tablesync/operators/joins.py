@@ -28,20 +28,23 @@ def _q(name: str) -> Column:
 
 
 def _right_side(
-    base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, Column | str]
+    right: DataFrame, on: Mapping[str, str], take: Mapping[str, Column | str]
 ) -> tuple[DataFrame, list[str]]:
-    """The right side with its keys, in the types of the base keys, under names of their own."""
+    """The right side cut to keys and taken columns, the keys under names of their own."""
     keys = [f"_key{i}" for i in range(len(on))]
-    typed = [_q(r).cast(base.schema[left].dataType).alias(k) for (left, r), k in zip(on.items(), keys)]
-    return right.select(*typed, *[(_q(c) if isinstance(c, str) else c).alias(out) for out, c in take.items()]), keys
+    named = [_q(r).alias(k) for r, k in zip(on.values(), keys)]
+    return right.select(*named, *[(_q(c) if isinstance(c, str) else c).alias(out) for out, c in take.items()]), keys
 
 
-def _condition(on: Mapping[str, str], keys: list[str], spread: bool = False) -> Column:
-    return match([_q(left) for left in on], [F.col(k) for k in keys], spread)
+def _condition(base: DataFrame, side: DataFrame, on: Mapping[str, str], keys: list[str], spread: bool = False) -> Column:
+    # the hash of the spread form needs equal types; unequal ones are cast, which spreads as well
+    same = all(base.schema[left].dataType == side.schema[key].dataType for left, key in zip(on, keys))
+    return match([_q(left) for left in on], [F.col(k) for k in keys], spread and same)
 
 
 def _check_names(base: DataFrame, take: Mapping[str, str]) -> None:
-    clash = [c for c in take if c in base.columns]
+    have = {c.lower() for c in base.columns}
+    clash = [c for c in take if c.lower() in have]
     if clash:
         raise ValueError(f"joined columns already exist in the base table: {clash}")
 
@@ -67,21 +70,21 @@ def lookup(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mappi
     ``on`` maps base column to lookup column, ``take`` output name to lookup column.
     """
     _check_names(base, take)
-    side, keys = _right_side(base, right, on, take)
+    side, keys = _right_side(right, on, take)
     side = only_keys_of(side, keys, base, on)
-    return base.join(side, _condition(on, keys), "left").drop(*keys)
+    return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
 
 
 def fan_out(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """One base row per match; unmatched base rows stay once, with NULL."""
     _check_names(base, take)
-    side, keys = _right_side(base, right, on, take)
+    side, keys = _right_side(right, on, take)
     if fits_broadcast(side):
-        return base.join(side, _condition(on, keys), "left").drop(*keys)
+        return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
     side = only_keys_of(side, keys, base, on)
-    matched = base.join(side, _condition(on, keys), "inner").drop(*keys)
+    matched = base.join(side, _condition(base, side, on, keys), "inner").drop(*keys)
     # distinct runs map-side first: a hot key leaves each task once
-    unmatched = base.join(side.select(*keys).distinct(), _condition(on, keys, spread=True), "left_anti")
+    unmatched = base.join(side.select(*keys).distinct(), _condition(base, side, on, keys, spread=True), "left_anti")
     missing = [F.lit(None).cast(side.schema[out].dataType).alias(out) for out in take]
     return matched.unionByName(unmatched.select("*", *missing))
 
@@ -101,7 +104,7 @@ def preagg_join(
     base reduces the details to its keys first.
     """
     _check_names(base, sums)
-    side, keys = _right_side(base, detail, on, sums)
+    side, keys = _right_side(detail, on, sums)
     side = only_keys_of(side, keys, base, on)
     side = side.groupBy(*keys).agg(*[F.sum(_q(out)).alias(out) for out in sums])
-    return base.join(side, _condition(on, keys, spread=not fits_broadcast(side)), "left").drop(*keys)
+    return base.join(side, _condition(base, side, on, keys, spread=not fits_broadcast(side)), "left").drop(*keys)

@@ -42,9 +42,9 @@ def key_set(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _join(df: DataFrame, keys: DataFrame, key: str, how: str, placed: bool) -> DataFrame:
-    # equal types on both sides: the hash would tell 1 from 1.0
-    keys = keys.select(F.col("_key").cast(df.schema[key].dataType).alias("_key"))
-    spread = not placed and not fits_broadcast(keys)
+    # the hash of the spread form needs equal types; unequal ones are cast, which spreads as well
+    same = df.schema[key].dataType == keys.schema["_key"].dataType
+    spread = same and not placed and not fits_broadcast(keys)
     return df.join(keys, match([F.col(f"`{key}`")], [F.col("_key")], spread), how)
 
 

@@ -82,10 +82,18 @@ def enriched(spec: TableSpec, base: DataFrame, catalog: Catalog) -> DataFrame:
     return cols.rename_swap(df, spec.early_names) if spec.early_names else df
 
 
+def absent_masks(spec: TableSpec, df: DataFrame) -> list[str]:
+    """Columns a spec masks that the table does not have (it may have renamed them)."""
+    have = {c.lower() for c in df.columns}
+    return [c for c in (*spec.value_masks, *spec.flag_masks) if c.lower() not in have]
+
+
 def masked(spec: TableSpec, df: DataFrame) -> DataFrame:
-    """What the snapshot holds. Masks apply to the columns the table has."""
-    have = set(df.columns)
-    df = mask_table(df, [c for c in spec.value_masks if c in have], [c for c in spec.flag_masks if c in have])
+    """What the snapshot holds. Masks apply to the columns the table has, in any case of letters."""
+    absent = set(absent_masks(spec, df))
+    df = mask_table(
+        df, [c for c in spec.value_masks if c not in absent], [c for c in spec.flag_masks if c not in absent]
+    )
     return na_normalise(df, lenient=True) if spec.reload == "lenient" else df
 
 
@@ -166,6 +174,7 @@ class JobResult:
     version: str | list | None = None  # the version written, or the months
     snapshot: str | None = None
     non_null: dict[str, int] = field(default_factory=dict)
+    absent_masks: list[str] = field(default_factory=list)  # worth a look: masks that found no column
     error: Exception | None = None
 
 
@@ -200,7 +209,9 @@ def run_job(
             table.expire(keep)
         counts = profile.get
         non_null = {c[2:]: n for c, n in counts.items() if c.startswith("n:")}
-        return JobResult(spec.name, "published", counts["rows"], version, snapshot, non_null)
+        return JobResult(
+            spec.name, "published", counts["rows"], version, snapshot, non_null, absent_masks(spec, full)
+        )
     finally:
         for s in staged:
             s.release()

@@ -153,3 +153,12 @@ def test_extra_and_absent_source_columns(spark):
     base = spark.sql("select 'u1' uuid, 'budi@gmail.com' email, 'more' surprise")
     row = delta(SPECS["users"], FrameCatalog({"gateway.users": base}), RUN_TS).first().asDict()
     assert row == {"user_id": "u1", "email": "budxxx@gmail.com", "surprise": "more"}
+
+
+def test_masks_find_columns_in_any_case(spark, tmp_path):
+    base = spark.sql("select 'u1' uuid, 'budi@gmail.com' Email, 'Budi Santoso' NAME, 'new' contact_email")
+    result = run_job(SPECS["users"], FrameCatalog({"gateway.users": base}), f"{tmp_path}", RUN_TS)
+    row = published_table(SPECS["users"], spark, f"{tmp_path}").read().first().asDict()
+    assert {k.lower(): v for k, v in row.items()} == {
+        "user_id": "u1", "email": "budxxx@gmail.com", "name": "xxxxxxtoso", "contact_email": "new"}
+    assert result.absent_masks == ["lastname", "username", "phone", "verificationToken"]
