@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, sharding, topk
+from . import language, packing, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -33,6 +33,26 @@ def _fold(buckets: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % buckets
 
 
+OP1_SQL = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+g as (select hex, min(page_id) as first from p group by hex)
+select page_id, strlen(html)::bigint as payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(p.hex, 1 + (i // 4) * 5, 5))::int >> (15 - 5 * (i % 4))) & 31)::int, 1)), 'string_agg', '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from p join g using (hex)
+"""
+
+
+@_query("op1_warc", OP1_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    root, lines = warc.write_archives(pages.select(F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload")))
+    found = warc.lookup(warc.build_index(root, lines), pages.select(warc.url_key(F.col("url")).alias("key")))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
