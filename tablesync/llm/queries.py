@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, sharding, topk, warc
+from . import kneser_ney, language, packing, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -68,6 +68,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@_query("op7_kneser_ney")
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = kneser_ney.learn(docs.where(_fold(10) != 0).select("text"))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP8_SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
