@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, language, packing, quality, sharding, topk, warc
+from . import decontamination, kneser_ney, language, packing, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -68,6 +68,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@_query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_passages(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 @_query("op7_kneser_ney")
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")

@@ -26,6 +26,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_IS_ALNUM = np.zeros(256, dtype=bool)
+_IS_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -88,8 +90,9 @@ class Words:
         return np.repeat(np.arange(self.first, self.last), np.diff(self.bounds))
 
 
-def word_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """The words of a text column, some megabytes at a time. A NULL text has none."""
+def word_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES, bare: bool = False) -> Iterator[Words]:
+    """The words of a text column, some megabytes at a time. A NULL text has none. ``bare``: ASCII marks end words, too."""
+    is_word = _IS_ALNUM if bare else _IS_WORD
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -104,7 +107,7 @@ def word_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Wor
         lo, hi = int(offsets[first]), int(offsets[last])
         cuts = offsets[first:last + 1] - lo
         low = _LOWER[data[lo:hi]]
-        inside = _IS_WORD[low]
+        inside = is_word[low]
         begins, stops = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         stops[:-1] &= ~inside[1:]
