@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, kneser_ney, language, packing, quality, sharding, topk, warc
+from . import decontamination, jaccard, kneser_ney, language, packing, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -74,6 +74,26 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+OP5_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws from documents),
+s as (
+  select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as sh from w),
+e as (select doc_id, unnest(sh) as g from s),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select c.a, c.b from c join s x on x.doc_id = c.a join s y on y.doc_id = c.b where 180 * c.n >= 80 * (len(x.sh) + len(y.sh))),
+r as (select doc_id, doc_id as other from s union select r.doc_id, l.b from r join l on l.a = r.other)
+select s.doc_id, len(any_value(s.sh))::bigint as n_shingles, min(r.other) as component_id from s join r using (doc_id) group by s.doc_id
+"""
+
+
+@_query("op5_jaccard", OP5_SQL)
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=5, percent=80)
+
+
 @_query("op7_kneser_ney")
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
