@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, kneser_ney, language, packing, quality, sharding, topk, warc
+from . import decontamination, jaccard, kneser_ney, language, packing, pii, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -94,6 +94,21 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=5, percent=80)
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@_query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.learn_pii(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    place = F.transform(F.concat("base", "added"), lambda s: F.struct(
+        s["start"], F.array_position(F.array(*map(F.lit, pii.KINDS)), s["kind"]).alias("place"), s["end"], s["kind"]))
+    return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(place)).alias("spans"))
+
+
 @_query("op7_kneser_ney")
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
