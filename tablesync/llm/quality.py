@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -248,3 +249,13 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": model.score(batch["text"])})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
+    """The rows whose text scores at least ``threshold``, all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([s >= threshold for s in model.score(batch.column("text").to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
