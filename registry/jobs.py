@@ -7,6 +7,7 @@ changed rows swapped in. The SQL states the outcome per column, table by table.
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.times import at
 from tablesync.operators.columns import all_non_zero
-from tablesync.plans import SPECS, delta, next_state
-from tablesync.plans.runner import changed_rows, enriched, masked, settled
+from tablesync.plans import SPECS, delta, next_state, run_job
+from tablesync.plans.runner import changed_rows, enriched, masked, published_table, settled
 from tablesync.sources.catalog import FrameCatalog
+from tablesync.sources.staging import shared_folder
 
 from . import sqltext as s
 from .base import LOWER, RUN_TS, UPPER, WINDOW, Tables, query
@@ -25,6 +27,12 @@ from .sources import SOURCES, duckdb_text, frames
 MIDDLE = WINDOW.lower + timedelta(hours=13)
 
 
+def _prior(spec, catalog) -> DataFrame:
+    older = all_non_zero(catalog.scan(spec.source), spec.non_zero).filter(F.col("updated_at") < at(MIDDLE))
+    older = older.withColumn("updated_at", F.timestamp_add("DAY", F.lit(-30), F.col("updated_at")))
+    return settled(spec, masked(spec, enriched(spec, older, catalog)), catalog)
+
+
 def _run(name: str, verbatim: bool):
     def build(t: Tables) -> DataFrame:
         spec = SPECS[name].verbatim() if verbatim else SPECS[name]
@@ -32,10 +40,26 @@ def _run(name: str, verbatim: bool):
         rows = delta(spec, catalog, RUN_TS)
         if spec.publish == "full":
             return next_state(spec, None, rows)
-        older = all_non_zero(catalog.scan(spec.source), spec.non_zero).filter(F.col("updated_at") < at(MIDDLE))
-        older = older.withColumn("updated_at", F.timestamp_add("DAY", F.lit(-30), F.col("updated_at")))
-        prior = settled(spec, masked(spec, enriched(spec, older, catalog)), catalog)
-        return next_state(spec, prior, rows, changed_rows(spec, catalog, RUN_TS))
+        return next_state(spec, _prior(spec, catalog), rows, changed_rows(spec, catalog, RUN_TS))
+
+    return build
+
+
+# a spec of each shape, run as deployed: staged, with a snapshot, committed, and read back
+DEPLOYED = ("companies", "users", "invoices", "subscriptions", "invoice_down_payments", "plans", "partners_unmasked", "mailgun_trackings")
+
+
+def _deployed(name: str):
+    def build(t: Tables) -> DataFrame:
+        spec, catalog = SPECS[name], FrameCatalog(frames(t))
+        root = f"{shared_folder(t.spark)}/deployed-{uuid.uuid4().hex}"
+        table = published_table(spec, t.spark, f"{root}/published")
+        if spec.publish == "keyed":
+            table.replace(_prior(spec, catalog), RUN_TS - timedelta(days=1))
+        result = run_job(spec, catalog, f"{root}/published", RUN_TS, f"{root}/snapshots")
+        if result.status != "published":
+            raise RuntimeError(f"{name}: {result.status}")
+        return table.read()
 
     return build
 
@@ -99,6 +123,8 @@ def job(name, columns, joins="", where="", window=True, group_of=None, verbatim=
         )
     label = f"job_{name}_verbatim" if verbatim else f"job_{name}"
     query(label, sql)(_run(name, verbatim))
+    if name in DEPLOYED and not verbatim:
+        query(f"run_{name}", sql)(_deployed(name))
 
 
 _BUSINESS = "left join {gateway.business_type} bt on bt.uuid = b.business_type_child"

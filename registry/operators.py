@@ -11,14 +11,18 @@ from pyspark.sql import types as T
 from tablesync.functions import masks, text, times, types
 from tablesync.operators import aggregates, columns, joins, replace
 from tablesync.operators.window import change_window, change_window_raw, changed_groups, contiguous_window
+from tablesync.plans import SPECS, run_job
+from tablesync.plans.runner import enriched, masked, published_table, settled, snapshot_name
 from tablesync.sources.bucketed import BucketedTable
+from tablesync.sources.catalog import FrameCatalog
 from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.published import PublishedTable, scan_published
 from tablesync.sources.snapshot import read_csv_lenient, read_snapshot, snapshot_csv
 from tablesync.sources.staging import shared_folder, stage
 
 from . import sqltext
-from .base import LOWER, RUN_TS, UPPER, Tables, query
+from .base import LOWER, RUN_TS, UPPER, WINDOW, Tables, query
+from .sources import frames
 
 # --- derived inputs, valid in Spark and DuckDB alike -------------------------------
 
@@ -33,13 +37,8 @@ select c_custkey, c_name, c_acctbal,
 from {customer}
 """
 
-# e-mail-like and phone-like pieces of whole texts
-FOUND_CONTACTS = """
-select doc_id,
-  nullif(regexp_extract(text, '[A-Za-z0-9._-]+@[A-Za-z0-9.-]+', 0), '') as email,
-  nullif(regexp_extract(text, '[+]?[0-9][0-9 ()-]+[0-9]', 0), '') as phone
-from {documents}
-"""
+# all e-mail-like and phone-like pieces of whole texts
+EMAIL_LIKE, PHONE_LIKE = "[A-Za-z0-9._-]+@[A-Za-z0-9.-]+", "[+]?[0-9][0-9 ()-]+[0-9]"
 
 LOOSE_VALUES = """
 select c_custkey,
@@ -139,8 +138,8 @@ def _(t: Tables) -> DataFrame:
     # only the months of the late orders are rewritten
     name = f"orders-{datetime.now():%Y%m%d%H%M%S%f}"
     table = PartitionedTable(t.spark, shared_folder(t.spark), "monthly", name, "o_orderdate")
-    table.replace(t.orders)
-    table.keyed_replace(_late_orders(t), "o_orderkey")
+    table.replace(t.orders, RUN_TS)
+    table.keyed_replace(_late_orders(t), "o_orderkey", RUN_TS)
     return table.read()
 
 
@@ -160,6 +159,16 @@ def _(t: Tables) -> DataFrame:
     return read_snapshot(t.spark, root, "documents", RUN_TS.date(), rows.schema, multiline=True)
 
 
+@query("snapshot_renamed", """
+select 'cr' || cast(event_id as varchar(20)) as company_referral_used_id, value as reward from {events}""")
+def _(t: Tables) -> DataFrame:
+    # the snapshot of a run, read by the names of its header
+    spec, root = SPECS["company_referral_used"], f"{shared_folder(t.spark)}/renamed-{datetime.now():%Y%m%d%H%M%S%f}"
+    run_job(spec, FrameCatalog(frames(t)), f"{root}/published", RUN_TS, f"{root}/snapshots")
+    path = f"{root}/snapshots/{snapshot_name(spec)}/run_date={WINDOW.lower:%Y-%m-%d}"
+    return t.spark.read.option("header", True).csv(path).select("company_referral_used_id", F.col("reward").cast("double").alias("reward"))
+
+
 @query("csv_lenient", f"""
 select l_orderkey, case when l_linenumber = 5 then null else l_partkey end as l_partkey,
   case when l_linenumber = 5 then null else {sqltext.na("l_returnflag")} end as l_returnflag
@@ -177,6 +186,20 @@ def _(t: Tables) -> DataFrame:
     return read_csv_lenient(t.spark, path, schema, header=False)
 
 
+@query("csv_lenient_long", """
+select doc_id, case when doc_id % 5 = 2 then null else replace(text, chr(10), ' ') end as text
+from {documents} where doc_id % 5 <> 1""")
+def _(t: Tables) -> DataFrame:
+    # whole texts as quoted fields; of five lines one has a field too many and one is short
+    path = f"{shared_folder(t.spark)}/texts-{datetime.now():%Y%m%d%H%M%S%f}"
+    number, key = F.col("doc_id") % 5, F.col("doc_id").cast("string")
+    flat = F.translate("text", "\n", " ")
+    quoted = F.concat(F.lit('"'), F.replace(flat, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.when(number == 1, F.concat_ws(",", key, quoted, quoted)).when(number == 2, key).otherwise(F.concat_ws(",", key, quoted))
+    t.documents.select(line.alias("value")).write.text(path)
+    return read_csv_lenient(t.spark, path, T.StructType.fromDDL("doc_id bigint, text string"), header=False)
+
+
 @query("reload_lenient", f"""
 select c_custkey, {sqltext.na("case when regexp_matches(spaced, '[,\"]') then spaced else ltrim(spaced, ' ') end")} as spaced
 from ({LOOSE_VALUES})""")
@@ -229,11 +252,17 @@ def _(t: Tables) -> DataFrame:
     return columns.all_non_zero(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
-@query("skip_if_empty", ORDERS)
+@query("skip_if_empty", """
+select uuid as sms_log_id, case when attempts < 0 then 1 else 1 end as versions, 'empty' as status
+from (select 'sms' || cast(event_id as varchar(20)) as uuid, user_id as attempts from {events})""")
 def _(t: Tables) -> DataFrame:
-    # a window without changes leaves the target as it is
-    rows = change_window(t.orders, "o_orderdate", datetime(2050, 1, 1))
-    return t.orders if aggregates.is_empty(rows) else replace.keyed_replace(t.orders, rows, "o_orderkey")
+    # a run without changes publishes nothing: the table stays, with the one version it had
+    spec, root = SPECS["sms_logs"], f"{shared_folder(t.spark)}/skip-{datetime.now():%Y%m%d%H%M%S%f}"
+    catalog = FrameCatalog(frames(t))
+    table = published_table(spec, t.spark, root)
+    table.replace(settled(spec, masked(spec, enriched(spec, catalog.scan(spec.source), catalog)), catalog), RUN_TS)
+    status = run_job(spec, catalog, root, datetime(2050, 1, 1)).status
+    return table.read().select("sms_log_id", F.lit(len(table.versions())).alias("versions"), F.lit(status).alias("status"))
 
 
 DECLARED_TEXTS = """
@@ -338,38 +367,54 @@ def _(t: Tables) -> DataFrame:
 
 @query("replace_by_lookup", """
 select c_custkey, c_name, n_name as c_nationkey from {customer}
-left join {nation} on n_nationkey = c_nationkey and n_regionkey <> 2""")
+left join {nation} on n_nationkey = c_nationkey and c_nationkey % 5 <> 2""")
 def _(t: Tables) -> DataFrame:
-    rows = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    return joins.replace_by_lookup(rows, t.nation.filter("n_regionkey <> 2"), "c_nationkey", "n_nationkey", "n_name")
+    unknown = F.when(F.col("c_nationkey") % 5 != 2, F.col("c_nationkey")).otherwise(-1)  # keys without a match
+    rows = t.customer.select("c_custkey", "c_name", unknown.alias("c_nationkey"))
+    return joins.replace_by_lookup(rows, t.nation, "c_nationkey", "n_nationkey", "n_name")
 
 
 # --- joins -------------------------------------------------------------------------
 
 
 @query("lookup_chain", """
-select c_custkey, c_name, n_name as nation, n_regionkey as region_key, r_name as region
+select c_custkey, c_name, n_name as nation, case when n_regionkey = 2 then 99 else n_regionkey end as region_key, r_name as region
 from {customer} left join {nation} on n_nationkey = c_nationkey
-left join {region} on r_regionkey = n_regionkey and r_name <> 'ASIA'""")
+left join {region} on r_regionkey = case when n_regionkey = 2 then 99 else n_regionkey end""")
 def _(t: Tables) -> DataFrame:
+    # one region's number is unknown to the second lookup
+    nation = t.nation.withColumn("n_regionkey", F.when(F.col("n_regionkey") == 2, 99).otherwise(F.col("n_regionkey")))
     one = joins.lookup(
-        t.customer.select("c_custkey", "c_name", "c_nationkey"), t.nation, {"c_nationkey": "n_nationkey"},
+        t.customer.select("c_custkey", "c_name", "c_nationkey"), nation, {"c_nationkey": "n_nationkey"},
         {"nation": "n_name", "region_key": "n_regionkey"},
     ).drop("c_nationkey")
-    return joins.lookup(one, t.region.filter("r_name <> 'ASIA'"), {"region_key": "r_regionkey"}, {"region": "r_name"})
+    return joins.lookup(one, t.region, {"region_key": "r_regionkey"}, {"region": "r_name"})
 
 
 @query("fan_out", """
 select c_custkey, c_name, o_orderkey, o_totalprice from {customer}
-left join {orders} on o_custkey = c_custkey and o_orderstatus = 'F' and o_totalprice > 300000""")
+left join {orders} on c_custkey = case when o_custkey % 3 = 1 then -1 else o_custkey end""")
 def _(t: Tables) -> DataFrame:
-    right = t.orders.filter("o_orderstatus = 'F' and o_totalprice > 300000")
+    # customers without a match, and matches of no customer; sides written first, and split where a key is hot
+    held = []
+
+    def staging(df: DataFrame, label: str) -> DataFrame:
+        held.append(stage(df, label))
+        return held[-1].read()
+
+    right = t.orders.withColumn("o_custkey", F.when(F.col("o_custkey") % 3 == 1, -1).otherwise(F.col("o_custkey")))
     return joins.fan_out(
         t.customer.select("c_custkey", "c_name"), right, {"c_custkey": "o_custkey"},
-        {"o_orderkey": "o_orderkey", "o_totalprice": "o_totalprice"},
+        {"o_orderkey": "o_orderkey", "o_totalprice": "o_totalprice"}, staging,
     )
 
 
+@query("fan_out_lazy", """
+select c_custkey, o_orderkey from {customer} left join {orders} on c_custkey = o_custkey""")
+def _(t: Tables) -> DataFrame:
+    return joins.fan_out(t.customer.select("c_custkey"), t.orders, {"c_custkey": "o_custkey"}, {"o_orderkey": "o_orderkey"})
+
+
 @query("two_joins_off_one_base", """
 select o_orderkey, c_name, l_partkey, l_extendedprice from {orders}
 left join {customer} on c_custkey = o_custkey left join {lineitem} on l_orderkey = o_orderkey""")
@@ -455,6 +500,35 @@ def _(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", F.col("invoice_amount").cast("decimal(38,6)").alias("invoice_amount"))
 
 
+@query("taxed_invoice_amounts", """
+select o_orderkey, cast(amount - cast(o_totalprice as decimal(12,2)) as decimal(38,6)) as invoice_amount
+from {orders} join (select l_orderkey, sum(case
+    when coalesce(s_nationkey % 2 = 0, false) and d is not null
+      then cast(q * p as decimal(26,4)) * (100 - d) * cast(0.01 as decimal(2,2)) * ((100 + x) * cast(0.01 as decimal(2,2)))
+    when coalesce(s_nationkey % 2 = 0, false) then q * p * cast(1.10 as decimal(3,2))
+    when d is not null then cast(q * p as decimal(26,4)) * (100 - d) * cast(0.01 as decimal(2,2))
+    else q * p end) as amount
+  from (select *, cast(l_quantity as decimal(5,2)) as q, cast(l_extendedprice as decimal(9,2)) as p,
+      case when l_discount <> 0 then cast(l_discount * 100 as decimal(5,2)) end as d, cast(s_nationkey as decimal(5,2)) as x
+    from {lineitem} left join {supplier} on s_suppkey = case when l_linenumber = 5 then -1 else l_suppkey end)
+  group by l_orderkey) on l_orderkey = o_orderkey""")
+def _(t: Tables) -> DataFrame:
+    # the rates are looked up; every fifth line names an unknown one
+    items = t.lineitem.withColumn("tax_id", F.when(F.col("l_linenumber") == 5, -1).otherwise(F.col("l_suppkey")))
+    discount = F.when(F.col("l_discount") != 0, (F.col("l_discount") * 100).cast("decimal(5,2)"))
+
+    def amount():
+        return aggregates.item_amount(
+            F.col("l_quantity").cast("decimal(5,2)"), F.col("l_extendedprice").cast("decimal(9,2)"), discount,
+            F.col("rate").cast("decimal(5,2)"), F.col("rate") % 2 == 0)
+
+    rows = aggregates.taxed_invoice_amounts(
+        t.orders.select("o_orderkey", "o_totalprice"), items, t.supplier, "o_orderkey", "l_orderkey", {"tax_id": "s_suppkey"},
+        amount, {"rate": "s_nationkey"}, F.col("o_totalprice").cast("decimal(12,2)"), "invoice_amount",
+    )
+    return rows.select("o_orderkey", F.col("invoice_amount").cast("decimal(38,6)").alias("invoice_amount"))
+
+
 @query("row_count", "select count(*) as rows from {lineitem}")
 def _(t: Tables) -> DataFrame:
     return aggregates.row_count(t.lineitem)
@@ -592,9 +666,17 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("mask_found_contacts", f"""
-select doc_id, {sqltext.phone('phone')} as phone, {sqltext.email('email')} as email from ({FOUND_CONTACTS})""")
+select doc_id, 'phone' as kind, {sqltext.phone('found')} as masked
+from (select doc_id, unnest(regexp_extract_all(text, '{PHONE_LIKE}')) as found from {{documents}})
+union all select doc_id, 'email', {sqltext.email('found')}
+from (select doc_id, unnest(regexp_extract_all(text, '{EMAIL_LIKE}')) as found from {{documents}})""")
 def _(t: Tables) -> DataFrame:
-    return masks.mask_table(t.sql(FOUND_CONTACTS), ["phone", "email"])
+    def found(kind: str, pattern: str) -> DataFrame:
+        pieces = F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+        return masks.mask_table(t.documents.select("doc_id", pieces.alias(kind)), [kind]).select(
+            "doc_id", F.lit(kind).alias("kind"), F.col(kind).alias("masked"))
+
+    return found("phone", PHONE_LIKE).unionByName(found("email", EMAIL_LIKE))
 
 
 @query("mask_long_text", f"select doc_id, {sqltext.general('text')} as text, {sqltext.phone('text')} as phone_in_text from {{documents}}")
@@ -679,11 +761,18 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("whole_numbers", f"""
-select c_custkey, cast(trunc(c_acctbal) as bigint) as balance, cast(trunc(cast(number_text as decimal(38,10))) as bigint) as number
-from (select c_custkey, c_acctbal, case when number_text = ' 3e2 ' then '300' else number_text end as number_text from ({LOOSE_VALUES}))""")
-def _(t: Tables) -> DataFrame:
-    return t.sql(LOOSE_VALUES).select(
-        "c_custkey", types.to_whole("c_acctbal", T.DoubleType()).alias("balance"), types.to_whole("number_text").alias("number")
+select c_custkey, cast(trunc(c_acctbal) as bigint) as balance,
+  case c_custkey % 7 when 0 then 12 when 1 then null when 2 then 300 when 3 then -7 when 4 then 0 when 5 then 4 else c_custkey end as number,
+  case c_custkey % 5 when 0 then 0 when 1 then 0 when 2 then 12345678901 when 3 then -3 else null end as cut
+from {{customer}}""")
+def _(t: Tables) -> DataFrame:
+    # eleven digits behind the point, exponents, and numbers that no 32-bit integer holds
+    rows = t.sql(LOOSE_VALUES).withColumn("fraction", F.expr("""
+        case c_custkey % 5 when 0 then '0.99999999999' when 1 then '-0.99999999996' when 2 then '12345678901.9999999999999'
+          when 3 then '-3.9999999999e0' else null end"""))
+    return rows.select(
+        "c_custkey", types.to_whole("c_acctbal", T.DoubleType()).alias("balance"), types.to_whole("number_text").alias("number"),
+        types.to_whole("fraction").alias("cut"),
     )
 
 
@@ -710,11 +799,12 @@ def _(t: Tables) -> DataFrame:
 @query("align_to_target", """
 select cast(o_orderkey as double) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
   cast(trunc(o_totalprice) as bigint) as o_totalprice, cast(cast(o_orderdate as varchar) as timestamp) as o_orderdate,
-  o_orderpriority from {orders}""")
+  case when o_orderkey % 2 = 0 then 0 else 12345678901 end as cut, o_orderpriority from {orders}""")
 def _(t: Tables) -> DataFrame:
-    rows = t.orders.drop("o_orderstatus").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    cut = F.when(F.col("o_orderkey") % 2 == 0, "0.99999999999").otherwise("1.23456789019e10")
+    rows = t.orders.drop("o_orderstatus").withColumn("o_orderdate", F.col("o_orderdate").cast("string")).withColumn("cut", cut)
     return types.align_to_target(rows, {
-        "o_totalprice": "INT64", "o_orderkey": "FLOAT64", "o_custkey": "STRING", "o_orderdate": "TIMESTAMP", "absent": "INT64",
+        "o_totalprice": "INT64", "o_orderkey": "FLOAT64", "o_custkey": "STRING", "o_orderdate": "TIMESTAMP", "absent": "INT64", "cut": "INT64",
     })
 
 

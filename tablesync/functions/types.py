@@ -13,7 +13,7 @@ from .times import at, clamp_timestamp, out_of_range, MAX_TIME
 
 __all__ = [
     "TYPE_PATTERNS", "TARGET_TYPES", "declared_schema", "declared_pairs", "type_class", "type_class_of",
-    "first_declared", "type_sync", "align_to_target", "to_whole", "to_number", "to_double",
+    "first_declared", "type_sync", "align_to_target", "to_whole", "whole_or_null", "to_number", "to_double",
 ]
 
 # Declared-type pattern -> class; the first match wins.
@@ -88,12 +88,34 @@ def to_number(c: Column) -> Column:
     return F.when(c.rlike(_NUMBER) | c.rlike(_SPECIAL), F.trim(c).try_cast("double"))
 
 
+def _or_fail(c: Column, value: Column, what: str) -> Column:
+    """The value; a NULL made of something else fails the job, whatever the ANSI setting."""
+    failure = F.raise_error(F.concat(F.lit(f"{what}: "), c.cast("string")))
+    return F.when(c.isNotNull() & value.isNull(), failure).otherwise(value)
+
+
+_PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+
+
+def whole_or_null(c: Column, dtype: T.DataType | None = None) -> Column:
+    """Whole number with the fraction cut off, or NULL where there is none or it is no 64-bit one."""
+    if dtype is None or isinstance(dtype, T.StringType):
+        c = c.cast("string")
+        # the digits before the point as they stand: no cast that could round them up
+        digits = F.regexp_extract(c, r"^\s*([+-]?\d*)", 1)
+        plain = F.when(digits.rlike(r"\d"), digits).otherwise(F.lit("0")).try_cast("decimal(38,0)")
+        power = F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+        exact = F.trim(c).try_cast("decimal(38,18)")  # with an exponent, where it has room for the fraction
+        toward_zero = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+        scaled = F.coalesce(toward_zero.try_cast("decimal(38,0)"), power.try_cast("decimal(38,0)"))
+        c = F.when(c.rlike(_PLAIN_NUMBER), plain).when(c.rlike(_NUMBER), scaled)
+    return c.try_cast("bigint")
+
+
 def to_whole(c: Column | str, dtype: T.DataType | None = None) -> Column:
-    """Whole number: fractions are cut off, NULL stays NULL, unreadable text fails the job."""
+    """Whole number: fractions are cut off, NULL stays NULL; what is no 64-bit number fails the job, whatever the ANSI setting."""
     c = F.col(c) if isinstance(c, str) else c
-    if dtype is None or isinstance(dtype, T.StringType):
-        c = c.cast("string").cast("decimal(38,10)")
-    return c.cast("bigint")
+    return _or_fail(c, whole_or_null(c, dtype), "not a whole number")
 
 
 def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -101,9 +123,7 @@ def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     if dtype is not None and not isinstance(dtype, T.StringType):
         return c.cast("double")
-    number = to_number(c)
-    bad = c.isNotNull() & number.isNull()
-    return F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), c.cast("string")))).otherwise(number)
+    return _or_fail(c, to_number(c), "not a number")
 
 
 def type_sync(
@@ -139,8 +159,8 @@ def type_sync(
         elif kind == "number":
             whole = integers == "bigint" and fnmatchcase(declared[name], "*int*")
             if is_text:
-                parsed = to_number(c)
-                casts[name] = F.trim(c).try_cast("decimal(38,10)").cast("bigint") if whole else parsed
+                parsed = whole_or_null(c) if whole else to_number(c)
+                casts[name] = parsed
                 doubtful[name] = (parsed, F.lit(False))
             elif isinstance(f.dataType, (T.NumericType, T.BooleanType)):
                 casts[name] = c.cast("bigint" if whole else "double")
@@ -175,7 +195,7 @@ def type_sync(
 
 
 def align_to_target(df: DataFrame, target: T.StructType | Mapping[str, str]) -> DataFrame:
-    """Cast the columns a target also has to the target's types, matched by name.
+    """Cast the columns a target also has to the target's types, matched by name; a value that does not fit fails the job.
 
     ``target`` is a schema, or a mapping of column name to warehouse type name.
     """
@@ -189,5 +209,5 @@ def align_to_target(df: DataFrame, target: T.StructType | Mapping[str, str]) ->
         if name in have and t != have[name] and not (isinstance(t, str) and have[name].simpleString() == t):
             c = F.col(f"`{name}`")
             to_long = t == "bigint" or isinstance(t, T.LongType)
-            casts[name] = to_whole(c, have[name]) if to_long else c.cast(t)
+            casts[name] = to_whole(c, have[name]) if to_long else _or_fail(c, c.try_cast(t), f"{name} does not fit its type")
     return df.withColumns(casts) if casts else df

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .joins import lookup
+
 __all__ = [
-    "sum_by_key", "item_amount", "invoice_amounts", "row_count", "is_empty", "profile_non_null", "observe_profile",
+    "sum_by_key", "item_amount", "invoice_amounts", "taxed_invoice_amounts", "row_count", "is_empty", "profile_non_null", "observe_profile",
     "dedupe_keep_first", "first_table_wins", "preview",
 ]
 
@@ -54,6 +56,17 @@ def invoice_amounts(
     return joined.withColumn(name, F.col("_amount") - discount).drop("_key", "_amount")
 
 
+def taxed_invoice_amounts(
+    invoices: DataFrame, items: DataFrame, taxes: DataFrame, key: str, item_key: str, tax_key: Mapping[str, str],
+    amount: Callable[[], Column], take: Mapping[str, str], discount: Column, name: str,
+) -> DataFrame:
+    """``invoice_amounts`` over items whose tax settings are looked up first; items without one count as untaxed.
+
+    ``tax_key`` maps item column to tax column, ``take`` names the columns ``amount`` needs of the taxes.
+    """
+    return invoice_amounts(invoices, lookup(items, taxes, tax_key, take), key, item_key, amount(), discount, name)
+
+
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 

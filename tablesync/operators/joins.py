@@ -7,13 +7,15 @@ split by the adaptive skew join. That rule can split the left side of a left joi
 never its right side, hence the two shapes below:
 
 * ``lookup``: many rows to one. A hot (or NULL) key sits on the left, which can be split.
-* ``fan_out``: one row to many. A hot key sits on the right, so the join is written as
-  an inner join (both sides can be split) plus the unmatched rows.
+* ``fan_out``: one row to many, a plain left join, which reads each side once. A hot key sits on the
+  right. Given ``staging``, the sides are written first, the right one cut to the base keys, and where a counted
+  key is hot the join is an inner join (both sides can be split) plus the unmatched rows, both
+  over the written tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,15 +77,27 @@ def lookup(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mappi
     return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
 
 
-def fan_out(base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
-    """One base row per match; unmatched base rows stay once, with NULL."""
+HOT_ROWS = 1_000_000  # rows of one key from which a task of its own is too much
+
+
+def fan_out(
+    base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
+    staging: Callable[[DataFrame, str], DataFrame] | None = None, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """One base row per match; unmatched base rows stay once, with NULL.
+
+    ``staging`` writes a frame and gives it back as read from there.
+    """
     _check_names(base, take)
     side, keys = _right_side(right, on, take)
-    if fits_broadcast(side):
+    if staging is None or fits_broadcast(side):
+        return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
+    base = staging(base, "base")
+    side = staging(only_keys_of(side, keys, base, on), "right")
+    counts = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))  # partial map-side: a hot key moves once a task
+    if (counts.agg(F.max("_rows")).first()[0] or 0) < hot_rows:
         return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
-    side = only_keys_of(side, keys, base, on)
     matched = base.join(side, _condition(base, side, on, keys), "inner").drop(*keys)
-    # distinct runs map-side first: a hot key leaves each task once
     unmatched = base.join(side.select(*keys).distinct(), _condition(base, side, on, keys, spread=True), "left_anti")
     missing = [F.lit(None).cast(side.schema[out].dataType).alias(out) for out in take]
     return matched.unionByName(unmatched.select("*", *missing))

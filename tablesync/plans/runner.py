@@ -10,7 +10,7 @@ between two reads, and because a written table has a size the join planning can
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -34,7 +34,7 @@ from ..sources.partitioned import PartitionedTable
 from ..sources.published import PublishedTable
 from ..sources.snapshot import snapshot_csv
 from ..sources.staging import Staged, stage
-from .spec import TableSpec
+from .spec import MASKED, TableSpec
 
 __all__ = [
     "changed_rows", "enriched", "masked", "settled", "delta", "published_keys", "next_state", "published_table",
@@ -58,16 +58,28 @@ def changed_rows(spec: TableSpec, catalog: Catalog, run: datetime | Window) -> D
     return cols.all_non_zero(base, spec.non_zero)
 
 
-def enriched(spec: TableSpec, base: DataFrame, catalog: Catalog) -> DataFrame:
-    """Joins, shifted times, copied, dropped, ordered and early-named columns."""
+def enriched(
+    spec: TableSpec, base: DataFrame, catalog: Catalog, staging: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """Joins, shifted times, copied, dropped, ordered and early-named columns.
+
+    With ``staging``, large sides of one-to-many joins are written first, and a database is asked for the rows
+    of the base keys only.
+    """
     times = [c for c in ("created_at", "updated_at") if c in base.columns] if spec.shift_hours else []
     df = base if spec.shift_last else cols.shift_and_replace(base, times, spec.shift_hours)
     for join in spec.joins:
-        right = catalog.scan(join.table)
+        right = None
+        if staging and len(join.on) == 1 and hasattr(catalog, "scan_matching"):
+            (mine, theirs), = join.on.items()
+            right = catalog.scan_matching(join.table, theirs, df.select(F.col(f"`{mine}`").alias("key")))
+        right = catalog.scan(join.table) if right is None else right
         if join.kind == "sum":
             df = preagg_join(df, right, join.on, join.take)
+        elif join.kind == "fan_out":
+            df = fan_out(df, right, join.on, join.take, staging)
         else:
-            df = (fan_out if join.kind == "fan_out" else lookup)(df, right, join.on, join.take)
+            df = lookup(df, right, join.on, join.take)
         if join.shift:
             df = df.withColumns({c: shift_hours(F.col(c), hours) for c, hours in join.shift.items()})
     for joined, column in spec.replaces.items():
@@ -171,7 +183,7 @@ class JobResult:
     name: str
     status: str  # published, empty, failed
     rows: int = 0
-    version: str | list | None = None  # the version written, or the months
+    version: str | None = None  # the version written
     snapshot: str | None = None
     non_null: dict[str, int] = field(default_factory=dict)
     absent_masks: list[str] = field(default_factory=list)  # worth a look: masks that found no column
@@ -180,9 +192,9 @@ class JobResult:
 
 def run_job(
     spec: TableSpec, catalog: Catalog, root: str, run_ts: datetime, snapshots: str | None = None,
-    window: Window | None = None, keep: int | None = None,
+    window: Window | None = None, keep: int | None = 3,
 ) -> JobResult:
-    """Run one spec and publish it under ``root``; ``keep`` limits the versions left there.
+    """Run one spec and publish it under ``root``; ``keep`` limits the versions left there (None: all).
 
     All rows are computed before anything is published, and the publish is one commit, so
     a failure leaves the published table as it was. No changed rows: nothing is written,
@@ -194,18 +206,24 @@ def run_job(
     try:
         if base.rows == 0:
             return JobResult(spec.name, "empty")
-        full = enriched(spec, base.read(), catalog)
-        if spec.joins and (snapshots or spec.by_month):  # read more than once below
-            staged.append(stage(full, f"{spec.name}-joined"))
-            full = staged[-1].read()
+
+        def staging(df: DataFrame, label: str) -> DataFrame:
+            staged.append(stage(df, f"{spec.name}-{label}"))
+            return staged[-1].read()
+
+        full = enriched(spec, base.read(), catalog, staging)
+        if spec.joins:  # read more than once below: types are judged on the rows that are cast
+            full = staging(full, "joined")
         shown = masked(spec, full)
         day = window.lower.date()
-        snapshot = snapshot_csv(shown, snapshots, spec.target, day) if snapshots and spec.snapshot else None
+        snapshot = snapshot_csv(shown, snapshots, snapshot_name(spec), day) if snapshots and spec.snapshot else None
         # counted while being written: no pass of its own
         rows, profile = observe_profile(settled(spec, shown, catalog), f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}")
+        if spec.publish == "keyed":  # rows, their months and their count come of one reading
+            rows = staging(rows, "rows")
         table = published_table(spec, base.spark, root)
         version = _publish(spec, table, base, rows, run_ts)
-        if keep is not None and not spec.by_month:
+        if keep is not None:
             table.expire(keep)
         counts = profile.get
         non_null = {c[2:]: n for c, n in counts.items() if c.startswith("n:")}
@@ -217,18 +235,23 @@ def run_job(
             s.release()
 
 
+def snapshot_name(spec: TableSpec) -> str:
+    """Tables of the unmasked dataset have it in their snapshot's name, so the two never share a folder."""
+    return f"{spec.dataset}_{spec.target}" if spec.dataset != MASKED else spec.target
+
+
 def published_table(spec: TableSpec, spark: SparkSession, root: str) -> PublishedTable | PartitionedTable:
     """Where a spec publishes to."""
-    if spec.by_month:
-        return PartitionedTable(spark, root, spec.dataset, spec.target)
     if spec.buckets:
         return BucketedTable(spark, root, spec.dataset, spec.target, spec.key, spec.buckets)
+    if spec.by_month and spec.publish == "keyed":
+        return PartitionedTable(spark, root, spec.dataset, spec.target)
     return PublishedTable(spark, root, spec.dataset, spec.target)
 
 
 def _publish(
     spec: TableSpec, table: PublishedTable | PartitionedTable, base: Staged, rows: DataFrame, run_ts: datetime
-) -> str | list:
+) -> str:
     target = table.read()
     if target is None:
         return table.replace(rows, run_ts)
@@ -240,7 +263,7 @@ def _publish(
 
 def run_jobs(
     specs: Iterable[TableSpec], catalog: Catalog, root: str, run_ts: datetime, snapshots: str | None = None,
-    parallel: int = 4, keep: int | None = None,
+    parallel: int = 4, keep: int | None = 3,
 ) -> list[JobResult]:
     """Run specs from a few driver threads; one failing does not stop the others."""
 

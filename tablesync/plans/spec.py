@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-__all__ = ["Join", "TableSpec"]
+__all__ = ["MASKED", "Join", "TableSpec"]
+
+MASKED = "datascience_public"  # the dataset whose personal columns are masked
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,7 @@ class TableSpec:
     source: str
     target: str
     key: str
-    dataset: str = "datascience_public"
+    dataset: str = MASKED
     publish: str = "keyed"  # keyed: group replace by key; full: replace the table
     windowed: bool = True  # only the rows changed in the window
     whole_groups: str | None = None  # window on this column's groups instead of single rows
@@ -59,14 +61,10 @@ class TableSpec:
     overwrite: Mapping[str, str] = field(default_factory=dict)  # column -> column it is set from
     casts: Mapping[str, str] = field(default_factory=dict)  # whole, double, text, time, time_or_null
     text_nulls: bool = False  # text casts spell NULL out
-    by_month: bool = False  # keep the published table by creation month, rewrite touched months only
-    buckets: int = 0  # or bucketed by its key, which a group replace then does not shuffle
+    by_month: bool = True  # group replaces keep the published table by creation month and write touched months only
+    buckets: int = 0  # instead bucketed by its key, which a group replace then does not shuffle
     legacy: Mapping[str, object] = field(default_factory=dict)
 
-    def __post_init__(self):
-        if self.by_month and self.buckets:
-            raise ValueError(f"{self.name}: by month or bucketed, not both")
-
     @property
     def final_names(self) -> Mapping[str, str]:
         return {"uuid": self.key} if self.names is None else self.names

@@ -188,6 +188,7 @@ _ALL = (
     TableSpec(
         "company_referral_used", "gateway.company_referral_used", "raw_data_company_referral_used",
         "company_referral_used_id", publish="full", windowed=False, reload=None, sync=False,
+        early_names={"uuid": "company_referral_used_id"}, names={},
     ),
     TableSpec(
         "referral_codes", "gateway.referral_codes", "raw_data_referral_codes", "referral_code_id",

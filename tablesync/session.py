@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a value that does not fit its type is an error, not NULL or another number
+    "spark.sql.ansi.enabled": "true",
     # zone-less timestamps mean the same everywhere
     "spark.sql.session.timeZone": "UTC",
 }

@@ -8,7 +8,7 @@ part of the table belongs in a ``PublishedTable``, whose joins split it.
 
 from __future__ import annotations
 
-import re
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +29,24 @@ class BucketedTable(PublishedTable):
 
     def _entry(self, version: str) -> str:
         """Name of a version in the session catalog, which is where Spark keeps bucketing."""
-        return "tablesync_" + re.sub(r"\W", "_", f"{self.path}_{version}".lower())[-100:]
+        return "tablesync_" + hashlib.sha256(f"{self.path}/{version}".encode()).hexdigest()
+
+    def _check_place(self, entry: str, path: str) -> None:
+        """Raise where the catalog's entry lies elsewhere than the version to be read."""
+        shown = self.spark.sql(f"DESCRIBE TABLE EXTENDED {entry}").where("col_name = 'Location'").first()["data_type"]
+        wanted = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        qualified = wanted.getFileSystem(self.spark._jsc.hadoopConfiguration()).makeQualified(wanted).toString()
+        if self.spark._jvm.org.apache.hadoop.fs.Path(shown).toString() != qualified:
+            raise RuntimeError(f"{entry} is a table at {shown}, not at {qualified}")
 
     def read(self, version: str | None = None) -> DataFrame | None:
         version = version or next(iter(self.versions()[::-1]), None)
         if version is None:
             return None
-        entry = self._entry(version)
-        if not self.spark.catalog.tableExists(entry):  # published by another session
-            path = f"{self.path}/{version}"
+        entry, path = self._entry(version), f"{self.path}/{version}"
+        if self.spark.catalog.tableExists(entry):
+            self._check_place(entry, path)
+        else:  # published by another session
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
             self.spark.sql(
                 f"CREATE TABLE {entry} ({fields}) USING parquet "

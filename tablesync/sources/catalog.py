@@ -12,6 +12,7 @@ from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..functions.types import declared_pairs
 from ..operators.window import Window
@@ -58,19 +59,30 @@ class FrameCatalog(_SchemaDeclares):
 class JdbcCatalog:
     """Tables of an operational database.
 
-    A windowed scan is cut into ``slices`` touching time ranges, read in parallel; each
-    slice is a range on the bare column, which an index on it serves. A whole table is
-    read in one task, which suits lookup tables; ``slice_by`` names a time column for
-    those that are large, and they are cut along it. Timestamps are read without a zone.
-    Declared types are the database's own.
+    A windowed scan is cut into ``slices`` touching time ranges, read in parallel; each slice is a range on the bare
+    column, which an index on it serves. A whole table is cut the same way along ``slice_by[table]``, or
+    ``slice_column`` where it has that one; only a table with neither is read in one task. For a join,
+    ``scan_matching`` asks only for the rows of the given keys where those are few.
+
+    ``namespaces`` maps the namespaces of the specs to database names. ``fetch_rows`` rows come in one round trip (a MySQL
+    driver needs ``useCursorFetch=true`` in the URL for it). Timestamps are read without a zone. Declared types are the database's own.
     """
 
     def __init__(
         self, spark: SparkSession, url: str, properties: Mapping[str, str], slices: int = 8,
-        slice_by: Mapping[str, str] | None = None,
+        slice_by: Mapping[str, str] | None = None, slice_column: str | None = "created_at", fetch_rows: int = 10_000,
+        namespaces: Mapping[str, str] | None = None, match_keys: int = 20_000,
     ):
+        if slices < 1:
+            raise ValueError("at least one slice")
         self.spark, self.url, self.slices, self.slice_by = spark, url, slices, dict(slice_by or {})
-        self.properties = {"preferTimestampNTZ": "true", **properties}
+        self.slice_column, self.namespaces, self.match_keys = slice_column, dict(namespaces or {}), match_keys
+        self.properties = {"preferTimestampNTZ": "true", "fetchsize": str(fetch_rows), **properties}
+
+    def named(self, table: str) -> str:
+        """``namespace.name`` as the database calls it."""
+        namespace, name = table.split(".")
+        return f"{self.namespaces.get(namespace, namespace)}.{name}"
 
     def predicates(self, window: Window, column: str) -> list[str]:
         """Touching ranges that cover the window."""
@@ -81,28 +93,56 @@ class JdbcCatalog:
 
     def whole_predicates(self, first: datetime | None, last: datetime | None, column: str) -> list[str]:
         """Ranges that cover every row: open at both ends, and the rows without a time."""
-        if first is None or first >= last:
+        if first is None or first >= last or self.slices == 1:
             return ["1 = 1"]
         edges = [f"'{w.lower:%Y-%m-%d %H:%M:%S.%f}'" for w in Window(first, last).slices(self.slices)[1:]]
         inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])]
         return [f"{column} < {edges[0]}", *inner, f"{column} >= {edges[-1]}", f"{column} IS NULL"]
 
+    def matching_predicates(self, column: str, keys: list) -> list[str]:
+        """Lists of the keys, one for each slice."""
+        def literal(v) -> str:
+            if isinstance(v, bool) or not isinstance(v, (int, str)):
+                raise TypeError(f"a key of type {type(v).__name__}")
+            return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "''") + "'"
+
+        size = -(-len(keys) // self.slices) if keys else 1
+        parts = [keys[i:i + size] for i in range(0, len(keys), size)]
+        return [f"{column} IN ({', '.join(map(literal, p))})" for p in parts] or ["1 = 0"]
+
     def _query(self, text: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(url=self.url, query=text, **self.properties).load()
 
+    def _read(self, table: str, predicates: list[str] | None) -> DataFrame:
+        if predicates is None:
+            return self.spark.read.jdbc(self.url, self.named(table), properties=self.properties)
+        return self.spark.read.jdbc(self.url, self.named(table), predicates=predicates, properties=self.properties)
+
+    def _slice_column(self, table: str) -> str | None:
+        if table in self.slice_by or self.slice_column is None:
+            return self.slice_by.get(table)
+        fields = {field.lower(): kind.lower() for field, kind in self.declared(table)}
+        kind = fields.get(self.slice_column.lower(), "")
+        return self.slice_column if "time" in kind or kind == "date" else None
+
     def scan(self, table: str, window: Window | None = None, column: str = "updated_at") -> DataFrame:
         if window is not None:
-            parts = self.predicates(window, column)
-        elif table in self.slice_by:
-            column = self.slice_by[table]
-            bounds = self._query(f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}").first()
-            parts = self.whole_predicates(bounds["lo"], bounds["hi"], column)
-        else:
-            return self.spark.read.jdbc(self.url, table, properties=self.properties)
-        return self.spark.read.jdbc(self.url, table, predicates=parts, properties=self.properties)
+            return self._read(table, self.predicates(window, column))
+        column = self._slice_column(table)
+        if column is None:
+            return self._read(table, None)
+        bounds = self._query(f"SELECT min({column}) AS lo, max({column}) AS hi FROM {self.named(table)}").first()
+        return self._read(table, self.whole_predicates(bounds["lo"], bounds["hi"], column))
+
+    def scan_matching(self, table: str, column: str, keys: DataFrame) -> DataFrame | None:
+        """The rows whose ``column`` is among the keys (column ``key``); None where those are more than ``match_keys``."""
+        if not isinstance(keys.schema["key"].dataType, (T.StringType, T.IntegralType)):
+            return None
+        few = [r["key"] for r in keys.where("key is not null").distinct().limit(self.match_keys + 1).collect()]
+        return self._read(table, self.matching_predicates(column, sorted(few))) if len(few) <= self.match_keys else None
 
     def declared_query(self, table: str) -> str:
-        namespace, name = table.split(".")
+        namespace, name = self.named(table).split(".")
         return (
             "SELECT column_name AS Field, column_type AS Type FROM information_schema.columns "
             f"WHERE table_schema = '{namespace}' AND table_name = '{name}' ORDER BY ordinal_position"

@@ -1,23 +1,27 @@
-"""Published tables kept by month, where a run rewrites only the months it touches.
+"""Published tables kept by month, where a run writes only the months it touches.
 
-A whole-table version costs the whole table per run. Most changes fall on recent rows,
-so a table partitioned by creation month can be replaced partition by partition: the
-months of the keys are found by reading two columns, and only they are rewritten.
+A version is a manifest: one row per month with the folder that holds its rows. A group replace finds the
+months of its keys by reading two columns, writes those months anew into a folder of its own, and commits a
+manifest that names the new folders and, for all other months, the old ones: unchanged data stays where
+it is, and one commit marker is the switch. Readers take the newest committed manifest and never write. A run
+that fails leaves folders no manifest names, which ``expire`` removes.
 
-The replacement rows are first written beside the table. From its commit marker on, the
-swap can be repeated until it is through: ``recover`` finishes one that was interrupted.
-During the swap readers may see some months old and some new; tables that need one
-switch use ``PublishedTable``.
+One writer at a time. A table without the time column is one month.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.keys import key_set, with_keys, without_keys
+from ..operators.replace import append_rows
+from .published import next_version
 from .storage import delete_dir, exists, list_dirs
 
 __all__ = ["PartitionedTable"]
@@ -26,77 +30,116 @@ MONTH = "created_month"
 
 
 class PartitionedTable:
-    """One table of a dataset, in folders ``created_month=yyyymm``."""
+    """One table of a dataset: ``versions/<version>`` are manifests, ``rows/<run>/created_month=<yyyymm>`` the rows."""
 
     def __init__(self, spark: SparkSession, root: str, dataset: str, name: str, time_column: str = "created_at"):
         self.spark, self.time_column = spark, time_column
         self.path = f"{root.rstrip('/')}/{dataset}/{name}"
-        # names with a leading underscore are no data for a reader of the table
-        self.rows_path, self.months_path = f"{self.path}/_replacement", f"{self.path}/_replaced_months"
+        self.rows_path, self.versions_path = f"{self.path}/rows", f"{self.path}/versions"
 
-    def _month(self) -> Column:
+    def _month(self, df: DataFrame) -> Column:
+        kinds = {f.name.lower(): f.dataType for f in df.schema}
+        if not isinstance(kinds.get(self.time_column.lower()), (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.lit(None).cast("int").alias(MONTH)
         c = F.col(f"`{self.time_column}`")
         return (F.year(c) * 100 + F.month(c)).alias(MONTH)
 
-    def _stored(self) -> DataFrame | None:
-        held = any(name.startswith(f"{MONTH}=") for name in list_dirs(self.spark, self.path))
-        return self.spark.read.parquet(self.path) if held else None
-
-    def read(self) -> DataFrame | None:
-        """The table without its partition column; None before the first publish."""
-        self.recover()
-        stored = self._stored()
-        return None if stored is None else stored.drop(MONTH)
-
-    def _write(self, df: DataFrame) -> None:
+    def versions(self) -> list[str]:
+        """Committed versions, oldest first."""
+        return [v for v in list_dirs(self.spark, self.versions_path) if exists(self.spark, f"{self.versions_path}/{v}/_SUCCESS")]
+
+    def exists(self) -> bool:
+        return bool(self.versions())
+
+    def folders(self, version: str | None = None) -> dict[int | None, str]:
+        """The folder, under ``rows``, of each month of a version (the newest one); a row per month is read."""
+        version = version or next(iter(self.versions()[::-1]), None)
+        if version is None:
+            return {}
+        listed = self.spark.read.parquet(f"{self.versions_path}/{version}").collect()
+        return {r["month"]: r["folder"] for r in listed}
+
+    def _load(self, folders: list[str], version: str) -> DataFrame:
+        schema = T.StructType.fromJson(self._note(version))
+        return self.spark.read.schema(schema).parquet(*[f"{self.rows_path}/{f}" for f in folders])
+
+    def _note(self, version: str) -> dict:
+        return json.loads(self.spark.read.parquet(f"{self.versions_path}/{version}").select("schema").first()["schema"])
+
+    def read(self, version: str | None = None) -> DataFrame | None:
+        """The newest committed version (or a named one); None before the first publish."""
+        version = version or next(iter(self.versions()[::-1]), None)
+        if version is None:
+            return None
+        held = [f for f in self.folders(version).values() if f is not None]
+        if not held:
+            return self.spark.createDataFrame([], T.StructType.fromJson(self._note(version)))
+        return self._load(held, version)
+
+    def _write(self, df: DataFrame) -> dict[int | None, str]:
+        """Write rows by month into a new folder; gives the folders of its months."""
+        run = uuid.uuid4().hex
         # rebalance: one month's rows come together, and a large month is split again
-        (
-            df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH).parquet(self.path)
-        )
-
-    def replace(self, df: DataFrame, run_ts: datetime | None = None) -> list[int | None]:
-        """Replace all months; those the new rows do not have become empty."""
-        self.recover()
-        stored = self._stored()
-        df = df.withColumn(MONTH, self._month())
-        months = df.select(MONTH) if stored is None else df.select(MONTH).unionByName(stored.select(MONTH))
-        return self._swap(df, months.distinct())
-
-    def keyed_replace(self, delta: DataFrame, key: str, run_ts: datetime | None = None, keys: DataFrame | None = None):
-        """Group replace by key; gives the months rewritten. ``keys`` overrides the key source."""
-        self.recover()
-        stored = self._stored()
-        if stored is None:
-            return self.replace(delta)
-        delta = delta.withColumn(MONTH, self._month())
-        wanted = key_set(delta if keys is None else keys, key)
-        held = with_keys(stored, wanted, key).select(MONTH)  # reads the key and the folder name
-        months = [r[0] for r in held.unionByName(delta.select(MONTH)).distinct().collect()]  # a row per folder at most
-        named = [m for m in months if m is not None]
-        here = F.col(MONTH).isin(*named) if named else F.lit(False)
-        if None in months:
-            here = here | F.col(MONTH).isNull()
-        kept = without_keys(stored.filter(here), wanted, key)
-        listed = self.spark.createDataFrame([(m,) for m in months], f"{MONTH} int")
-        return self._swap(kept.unionByName(delta, allowMissingColumns=True), listed)
-
-    def _swap(self, rows: DataFrame, months: DataFrame) -> list[int | None]:
-        months.write.mode("overwrite").parquet(self.months_path)
-        rows.write.mode("overwrite").parquet(self.rows_path)  # its commit marker makes the swap due
-        return self.recover()
-
-    def recover(self) -> list[int | None]:
-        """Carry out a due swap; gives the months it rewrote."""
-        if not exists(self.spark, f"{self.rows_path}/_SUCCESS"):
-            return []
-        rows = self.spark.read.parquet(self.rows_path)
-        self._write(rows)
-        months = self.spark.read.parquet(self.months_path)
-        gone = months.join(rows.select(MONTH).distinct(), months[MONTH].eqNullSafe(rows[MONTH]), "left_anti")
-        for (month,) in gone.collect():  # a row per folder at most
-            folder = "__HIVE_DEFAULT_PARTITION__" if month is None else month
-            delete_dir(self.spark, f"{self.path}/{MONTH}={folder}")
-        replaced = [r[0] for r in months.collect()]
-        delete_dir(self.spark, self.rows_path)
-        return sorted(replaced, key=lambda m: (m is not None, m))
+        df.withColumn(MONTH, self._month(df)).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{self.rows_path}/{run}")
+        made = {}
+        for name in list_dirs(self.spark, f"{self.rows_path}/{run}"):
+            value = name.removeprefix(f"{MONTH}=")
+            made[None if value == "__HIVE_DEFAULT_PARTITION__" else int(value)] = f"{run}/{name}"
+        return made
+
+    def _commit(self, folders: dict[int | None, str], schema: T.StructType, run_ts: datetime) -> str:
+        version = next_version(list_dirs(self.spark, self.versions_path), run_ts)
+        rows = [(m, f, schema.json()) for m, f in folders.items()] or [(None, None, schema.json())]
+        listed = self.spark.createDataFrame(rows, "month int, folder string, schema string")
+        listed.coalesce(1).write.mode("errorifexists").parquet(f"{self.versions_path}/{version}")
+        return version
+
+    def replace(self, df: DataFrame, run_ts: datetime) -> str:
+        return self._commit(self._write(df), _nullable(df.schema), run_ts)
+
+    def append(self, df: DataFrame, run_ts: datetime) -> str:
+        """Add rows; months that get some are written anew."""
+        return self._change(df, None, None, run_ts)
+
+    def keyed_replace(self, delta: DataFrame, key: str, run_ts: datetime, keys: DataFrame | None = None) -> str:
+        """Group replace by key. ``keys`` overrides the key source."""
+        return self._change(delta, key, delta if keys is None else keys, run_ts)
+
+    def _change(self, delta: DataFrame, key: str | None, keys: DataFrame | None, run_ts: datetime) -> str:
+        version = next(iter(self.versions()[::-1]), None)
+        if version is None:
+            return self.replace(delta, run_ts)
+        folders, stored = self.folders(version), self.read(version)
+        found = delta.select(self._month(delta))
+        if key is not None:
+            wanted = key_set(keys, key)
+            found = found.unionByName(with_keys(stored, wanted, key).select(self._month(stored)))
+        touched = [r[0] for r in found.distinct().collect()]  # a row per month at most
+        old = [folders[m] for m in touched if folders.get(m) is not None]
+        rows = delta
+        if old:
+            kept = self._load(old, version)
+            rows = append_rows(kept if key is None else without_keys(kept, wanted, key), delta)
+        made = self._write(rows)
+        rest = {m: f for m, f in folders.items() if m not in touched and f is not None}
+        wide = append_rows(stored, delta).schema
+        return self._commit({**rest, **made}, _nullable(wide), run_ts)
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions, and every folder that none of those names."""
+        good = self.versions()
+        old, kept = good[: -max(keep, 1)], good[-max(keep, 1):]
+        for version in list_dirs(self.spark, self.versions_path):
+            if version not in kept and (version in old or version < good[-1]):  # committed and old, or never committed
+                delete_dir(self.spark, f"{self.versions_path}/{version}")
+        named = {f for version in kept for f in self.folders(version).values() if f is not None}
+        for run in list_dirs(self.spark, self.rows_path):
+            months = list_dirs(self.spark, f"{self.rows_path}/{run}")
+            gone = [m for m in months if f"{run}/{m}" not in named]
+            for name in [run] if len(gone) == len(months) else [f"{run}/{m}" for m in gone]:
+                delete_dir(self.spark, f"{self.rows_path}/{name}")
+        return old
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])

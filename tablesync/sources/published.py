@@ -15,7 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.replace import append_rows, keyed_replace
 from .storage import delete_dir, exists, list_dirs
 
-__all__ = ["PublishedTable", "scan_published"]
+__all__ = ["PublishedTable", "next_version", "scan_published"]
+
+
+def next_version(taken: list[str], run_ts: datetime) -> str:
+    """The name of the next version: the newest, also for a late rerun. A rerun of the same ``run_ts`` gets its own."""
+    taken = [v for v in taken if v.startswith("version-")]
+    newest = max([f"version-{run_ts:%Y%m%dT%H%M%S}", *[v.rsplit("-", 1)[0] for v in taken]])
+    number = 1 + max([int(v.rsplit("-", 1)[1]) for v in taken if v.startswith(newest)], default=-1)
+    return f"{newest}-{number:06d}"
 
 
 class PublishedTable:
@@ -41,12 +49,8 @@ class PublishedTable:
         return self.spark.read.parquet(f"{self.path}/{version}") if version else None
 
     def write(self, df: DataFrame, run_ts: datetime) -> str:
-        """Write the next version. A rerun of the same ``run_ts`` gets its own folder."""
-        stamp = f"version-{run_ts:%Y%m%dT%H%M%S}"
-        taken = [v for v in list_dirs(self.spark, self.path) if v.startswith("version-")]
-        newest = max([stamp, *[v.rsplit("-", 1)[0] for v in taken]])  # a late rerun still becomes the newest
-        number = 1 + max([int(v.rsplit("-", 1)[1]) for v in taken if v.startswith(newest)], default=-1)
-        version = f"{newest}-{number:06d}"
+        """Write the next version."""
+        version = next_version(list_dirs(self.spark, self.path), run_ts)
         self._save(df, version)
         return version
 
@@ -64,9 +68,11 @@ class PublishedTable:
         return self.write(keyed_replace(self.read(), delta, key, keys=keys), run_ts)
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` committed versions; gives the deleted ones."""
-        old = self.versions()[: -max(keep, 1)]
-        for version in old:
+        """Delete all but the newest ``keep`` committed versions, and what failed runs left before the newest; gives the former."""
+        good = self.versions()
+        old = good[: -max(keep, 1)]
+        failed = [v for v in list_dirs(self.spark, self.path) if v.startswith("version-") and v not in good and good and v < good[-1]]
+        for version in (*old, *failed):
             delete_dir(self.spark, f"{self.path}/{version}")
         return old
 

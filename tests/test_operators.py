@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync.sources.staging import stage
 from tablesync.operators import aggregates, columns, joins, keys, replace
 from tablesync.operators.window import Window, change_window, changed_groups, contiguous_window, daily_window
 
@@ -161,8 +162,16 @@ def test_hot_keys_are_split(spark, settings):
     assert "SortMergeJoin(skew=true)" in executed(found)
     assert found.count() == 60000 and found.filter("name = cast(k as string)").count() == 60000
 
-    spread = joins.fan_out(few.drop("name"), many, {"uuid": "k"}, {"v": "v"})
-    assert "SortMergeJoin(skew=true)" in executed(spread) and spread.count() == 60000
+    held = []
+
+    def staging(df, label):
+        held.append(stage(df, label))
+        return held[-1].read()
+
+    spread = joins.fan_out(few.drop("name"), many, {"uuid": "k"}, {"v": "v"}, staging, hot_rows=10_000)
+    assert "SortMergeJoin(skew=true)" in executed(spread) and spread.count() == 60000 and len(held) == 2
+    even = joins.fan_out(few.drop("name"), many, {"uuid": "k"}, {"v": "v"}, staging)  # no key is hot by its own measure
+    assert "LeftOuter" in executed(even) and "LeftAnti" not in plan(even) and even.count() == 60000
 
     summed = joins.preagg_join(many, few.selectExpr("uuid", "length(name) n"), {"k": "uuid"}, {"n": "n"})
     assert "SortMergeJoin(skew=true)" in executed(summed) and summed.filter("n = length(cast(k as string))").count() == 60000
@@ -179,6 +188,25 @@ def test_hot_keys_are_split(spark, settings):
     assert "SortMergeJoin(skew=true)" in executed(groups)
 
 
+@pytest.mark.parametrize("bound", ["-1", "10000000"])
+def test_fan_out_reads_each_side_once(spark, settings, tmp_path, bound):
+    """A right side that changes from read to read never costs a base row, nor doubles one."""
+    settings(spark__sql__autoBroadcastJoinThreshold=bound, spark__sql__adaptive__autoBroadcastJoinThreshold=bound)
+    spark.range(1000).selectExpr("id as k").write.parquet(f"{tmp_path}/base")
+    base = spark.read.parquet(f"{tmp_path}/base")
+    changing = spark.range(1000).selectExpr("id as k", "id as v").where(F.rand() < 0.5)
+    held = []
+
+    def staging(df, label):
+        held.append(stage(df, label))
+        return held[-1].read()
+
+    lazy = joins.fan_out(base, changing, {"k": "k"}, {"v": "v"})
+    assert plan(lazy).split("Initial Plan")[0].count("FileScan") <= 1 and plan(lazy).count("Range (") <= 2
+    for got in (lazy, joins.fan_out(base, changing, {"k": "k"}, {"v": "v"}, staging), joins.fan_out(base, changing, {"k": "k"}, {"v": "v"}, staging, 1)):
+        assert sorted(r.k for r in got.collect()) == list(range(1000))
+
+
 def test_null_keys_are_split_and_survive(spark, settings):
     settings(**SKEW)
     target = spark.range(0, 60000, 1, 8).selectExpr("case when id % 3 = 0 then null else id end as k", "cast(id as string) as v")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from registry.base import RUN_TS, Tables
 from registry.sources import frames, spark_text
 from tablesync import SPECS, run_job, run_jobs
-from tablesync.plans.runner import changed_rows, delta, published_keys, published_table
+from tablesync.operators.window import Window
+from tablesync.plans.runner import changed_rows, delta, published_keys, published_table, snapshot_name
 from tablesync.sources.catalog import FrameCatalog, ParquetCatalog
-from tablesync.sources.published import PublishedTable
 from tablesync.sources.snapshot import snapshot_path
 
 SF = "/root/testdata/sf0.01"
@@ -44,11 +44,11 @@ def test_every_window_holds_some_rows_but_not_all(spark, catalog):
 def test_run_publishes_the_delta(spark, catalog, tmp_path, name):
     spec = SPECS[name]
     result = run_job(spec, catalog, f"{tmp_path}/pub", RUN_TS, f"{tmp_path}/snap")
-    table = PublishedTable(spark, f"{tmp_path}/pub", spec.dataset, spec.target)
+    table = published_table(spec, spark, f"{tmp_path}/pub")
     want = delta(spec, catalog, RUN_TS)
     assert result.status == "published" and result.rows == want.count() == result.non_null[spec.key]
     assert bag(table.read()) == bag(want)
-    snapshot = spark.read.csv(snapshot_path(f"{tmp_path}/snap", spec.target, datetime(2024, 1, 5)), header=True, escape='"', multiLine=True)
+    snapshot = spark.read.csv(snapshot_path(f"{tmp_path}/snap", snapshot_name(spec), datetime(2024, 1, 5)), header=True, escape='"', multiLine=True)
     assert snapshot.count() == want.count() and "uuid" in snapshot.columns
 
     # the same run again changes nothing, a later one replaces whole keys
@@ -70,6 +70,19 @@ def test_old_versions_go(spark, catalog, tmp_path):
     assert len(published_table(spec, spark, f"{tmp_path}").versions()) == 2
 
 
+def test_a_small_delta_leaves_other_months_in_place(spark, catalog, tmp_path):
+    spec = SPECS["company_type"]
+    every = catalog.scan(spec.source)
+    old = every.withColumn("created_at", F.expr("created_at - make_interval(0, 6, 0, 0, 0, 0, 0)")).withColumn("uuid", F.concat(F.lit("old-"), "uuid"))
+    table = published_table(spec, spark, f"{tmp_path}")
+    table.replace(delta(spec, FrameCatalog({spec.source: every.unionByName(old)}), Window(datetime(2000, 1, 1), datetime(2100, 1, 1))), RUN_TS)
+    before = table.folders()
+    assert run_job(spec, catalog, f"{tmp_path}", RUN_TS).status == "published"
+    after = table.folders()
+    same = {m for m in before if before[m] == after.get(m)}
+    assert same and same < set(before) and table.read().count() == 2 * every.count()
+
+
 def test_windows_reach_the_files(spark, settings, tmp_path):
     settings(spark__sql__maxMetadataStringLength=1000)
     for name in ("sms_logs", "plans"):
@@ -106,7 +119,7 @@ def test_one_failure_does_not_stop_the_rest(spark, catalog, tmp_path):
 def test_failed_cast_leaves_the_table(spark, catalog, tmp_path):
     spec = SPECS["expenses"]
     run_job(spec, catalog, f"{tmp_path}", RUN_TS)
-    table = PublishedTable(spark, f"{tmp_path}", spec.dataset, spec.target)
+    table = published_table(spec, spark, f"{tmp_path}")
     before = bag(table.read())
     bad = catalog.scan("invoicer.expenses").withColumn("status", F.lit("no number"))
     with pytest.raises(Exception):
@@ -124,11 +137,11 @@ def test_whole_groups_keep_unchanged_siblings(spark, tmp_path):
         root = f"{tmp_path}/{len(left)}"
         run_job(s, FrameCatalog({"invoicer.plans": first}), root, RUN_TS)
         run_job(s, FrameCatalog({"invoicer.plans": second}), root, datetime(2024, 1, 8, 2))
-        got = PublishedTable(spark, root, s.dataset, s.target).read()
+        got = published_table(s, spark, root).read()
         assert sorted(r.uuid for r in got.collect()) == left and {r.plan_id for r in got.collect()} == {"p"}
 
 
-@pytest.mark.parametrize("kept", [{"by_month": True}, {"buckets": 4}])
+@pytest.mark.parametrize("kept", [{"by_month": False}, {"buckets": 4}])
 def test_other_layouts_give_the_same_table(spark, catalog, tmp_path, kept):
     spec = SPECS["invoices"]
     other = dataclasses.replace(spec, **kept)
@@ -136,8 +149,6 @@ def test_other_layouts_give_the_same_table(spark, catalog, tmp_path, kept):
         one, two = run_job(spec, catalog, f"{tmp_path}/a", run), run_job(other, catalog, f"{tmp_path}/b", run)
         assert (one.status, one.rows, one.non_null) == (two.status, two.rows, two.non_null)
     assert bag(published_table(spec, spark, f"{tmp_path}/a").read()) == bag(published_table(other, spark, f"{tmp_path}/b").read())
-    with pytest.raises(ValueError):
-        dataclasses.replace(spec, by_month=True, buckets=4)
 
 
 def test_column_order(spark, catalog):

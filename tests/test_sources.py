@@ -74,34 +74,68 @@ def month_rows(spark, data):
 
 def test_only_touched_months_are_rewritten(spark, tmp_path):
     table = PartitionedTable(spark, str(tmp_path), "d", "t")
-    assert table.read() is None
-    table.replace(month_rows(spark, [("a", "2024-01-03", 1), ("b", "2024-02-03", 2), ("c", "2024-03-03", 3), ("n", None, 4), (None, "2024-02-09", 5)]))
-    files = {p: p.stat().st_mtime_ns for p in Path(f"{tmp_path}/d/t").rglob("*.parquet")}
+    assert table.read() is None and not table.exists() and not list(tmp_path.iterdir())
+    table.replace(month_rows(spark, [("a", "2024-01-03", 1), ("b", "2024-02-03", 2), ("c", "2024-03-03", 3), ("n", None, 4), (None, "2024-02-09", 5)]), RUN)
+    before, files = table.folders(), {p: p.stat().st_mtime_ns for p in Path(f"{tmp_path}/d/t/rows").rglob("*.parquet")}
     # b changes in place, c moves to a month of its own and leaves its old one empty
-    done = table.keyed_replace(month_rows(spark, [("b", "2024-02-04", 20), ("b", "2024-02-05", 21), ("c", "2024-04-01", 30)]), "k")
-    assert done == [202402, 202403, 202404]
+    table.keyed_replace(month_rows(spark, [("b", "2024-02-04", 20), ("b", "2024-02-05", 21), ("c", "2024-04-01", 30)]), "k", RUN)
     assert [(r.k, r.v) for r in table.read().orderBy("v").collect()] == [("a", 1), ("n", 4), (None, 5), ("b", 20), ("b", 21), ("c", 30)]
-    kept = [p for p in files if p.exists() and p.stat().st_mtime_ns == files[p]]
-    assert {p.parent.name for p in kept} == {"created_month=202401", "created_month=__HIVE_DEFAULT_PARTITION__"}
-    assert not Path(f"{tmp_path}/d/t/created_month=202403").exists()
+    after = table.folders()
+    assert after.keys() == {None, 202401, 202402, 202404} and all(p.exists() and p.stat().st_mtime_ns == t for p, t in files.items())
+    assert (after[None], after[202401]) == (before[None], before[202401]) and after[202402] != before[202402]
+    # the older version is still there to be read
+    assert table.read(table.versions()[0]).count() == 5
     # the row without a time
-    assert table.keyed_replace(month_rows(spark, [("n", "2024-01-09", 40)]), "k") == [None, 202401]
+    table.keyed_replace(month_rows(spark, [("n", "2024-01-09", 40)]), "k", RUN)
     assert table.read().count() == 6 and rows(table.read().filter("k = 'n'").select("v")) == [(40,)]
-    # replace drops every other month
-    table.replace(month_rows(spark, [("z", "2024-01-01", 0)]))
+    # a new column, and rows added to a month that is there
+    table.append(month_rows(spark, [("a", "2024-01-03", 2)]).withColumn("w", F.lit("new")), RUN)
+    assert table.read().count() == 7 and rows(table.read().filter("w is not null").select("k", "w")) == [("a", "new")]
+    # replace drops every other month; what no kept version names goes
+    table.replace(month_rows(spark, [("z", "2024-01-01", 0)]), RUN)
+    assert [r.k for r in table.read().collect()] == ["z"]
+    assert len(table.expire(1)) == 4 and len(list(Path(f"{tmp_path}/d/t/rows").rglob("created_month=*"))) == 1
     assert [r.k for r in table.read().collect()] == ["z"]
+    table.replace(table.read().limit(0), RUN)
+    assert table.read().count() == 0 and "w" not in table.read().columns
 
 
-def test_interrupted_swap_is_finished(spark, tmp_path, monkeypatch):
+def test_interrupted_publish_changes_nothing(spark, tmp_path, monkeypatch):
     table = PartitionedTable(spark, str(tmp_path), "d", "t")
-    table.replace(month_rows(spark, [("a", "2024-01-03", 1), ("b", "2024-02-03", 2)]))
+    table.replace(month_rows(spark, [("a", "2024-01-03", 1), ("b", "2024-02-03", 2)]), RUN)
     with monkeypatch.context() as m:
-        m.setattr(PartitionedTable, "_write", lambda self, df: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(PartitionedTable, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
-            table.keyed_replace(month_rows(spark, [("a", "2024-03-03", 9)]), "k")
+            table.keyed_replace(month_rows(spark, [("a", "2024-03-03", 9)]), "k", RUN)
     again = PartitionedTable(spark, str(tmp_path), "d", "t")
+    files = set(tmp_path.rglob("*"))
+    assert [(r.k, r.v) for r in again.read().orderBy("k").collect()] == [("a", 1), ("b", 2)]
+    assert set(tmp_path.rglob("*")) == files  # readers write nothing
+    again.keyed_replace(month_rows(spark, [("a", "2024-03-03", 9)]), "k", RUN)
+    assert again.expire(1) and {f.name for f in Path(f"{tmp_path}/d/t/rows").rglob("created_month=*")} == {"created_month=202402", "created_month=202403"}
     assert [(r.k, r.v) for r in again.read().orderBy("k").collect()] == [("a", 9), ("b", 2)]
-    assert again.recover() == []
+
+
+def test_table_without_times_is_one_month(spark, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path), "d", "t")
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), RUN)
+    table.keyed_replace(spark.createDataFrame([(2, "c")], "k int, v string"), "k", RUN)
+    assert rows(table.read()) == [(1, "a"), (2, "c")] and list(table.folders()) == [None]
+
+
+def test_bucketed_tables_of_like_paths_are_apart(spark, tmp_path):
+    tail = "x" * 110
+    one, two = (BucketedTable(spark, f"{tmp_path}/{side}/{tail}", "d", "t", "k", 2) for side in ("staging", "production"))
+    one.replace(spark.range(3).selectExpr("id as k"), RUN)
+    two.replace(spark.range(5).selectExpr("id as k"), RUN)
+    upper = BucketedTable(spark, f"{tmp_path}/STAGING/{tail}", "d", "t", "k", 2)
+    upper.replace(spark.range(7).selectExpr("id as k"), RUN)
+    assert (one.read().count(), two.read().count(), upper.read().count()) == (3, 5, 7)
+    version = one.versions()[0]
+    spark.sql(f"DROP TABLE {one._entry(version)}")
+    spark.sql(f"CREATE TABLE {one._entry(version)} (k bigint) USING parquet LOCATION '{two.path}/{version}'")
+    with pytest.raises(RuntimeError, match="is a table at"):
+        one.read()
 
 
 def test_bucketed_target_is_not_shuffled(spark, settings, tmp_path):
@@ -162,6 +196,13 @@ def test_lenient_csv(spark, tmp_path):
     assert rows(got.select("b")) == sorted([r[1:2] for r in want], key=repr) and got.count() == len(want)
 
 
+def test_lenient_csv_takes_fields_of_a_megabyte(spark, tmp_path):
+    long = "word, " * 200_000
+    (tmp_path / "x.csv").write_text(f'1,"{long}",2\n2,"{long}"\n3,"say ""{long}""",4\n4,short\n')
+    got = read_csv_lenient(spark, f"{tmp_path}/x.csv", T.StructType.fromDDL("a int, b string"), header=False)
+    assert rows(got.selectExpr("a", "length(b)")) == [(2, len(long)), (4, 5)]
+
+
 def test_catalogs(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/gateway/users")
     assert ParquetCatalog(spark, str(tmp_path)).scan("gateway.users").count() == 3
@@ -177,11 +218,39 @@ def test_database_reads_are_sliced(spark):
         "updated_at >= '2024-01-05 00:00:00.000000' AND updated_at < '2024-01-05 13:00:00.000000'",
         "updated_at >= '2024-01-05 13:00:00.000000' AND updated_at < '2024-01-06 02:00:00.000000'",
     ]
-    catalog = JdbcCatalog(spark, "jdbc:mysql://host/db", {}, slices=3, slice_by={"gateway.users": "created_at"})
+    catalog = JdbcCatalog(spark, "jdbc:mysql://host/db", {}, slices=3, slice_by={"gateway.users": "created_at"}, namespaces={"gateway": "shop"})
     assert catalog.whole_predicates(datetime(2024, 1, 1), datetime(2024, 1, 4), "created_at") == [
         "created_at < '2024-01-02 00:00:00.000000'",
         "created_at >= '2024-01-02 00:00:00.000000' AND created_at < '2024-01-03 00:00:00.000000'",
         "created_at >= '2024-01-03 00:00:00.000000'", "created_at IS NULL",
     ]
     assert catalog.whole_predicates(None, None, "created_at") == ["1 = 1"]
-    assert "table_schema = 'gateway' AND table_name = 'users'" in catalog.declared_query("gateway.users")
+    one = JdbcCatalog(spark, "jdbc:mysql://host/db", {}, slices=1)
+    assert one.whole_predicates(datetime(2024, 1, 1), datetime(2024, 1, 4), "created_at") == ["1 = 1"]
+    assert "table_schema = 'shop' AND table_name = 'users'" in catalog.declared_query("gateway.users")
+    assert "table_schema = 'gateway'" in one.declared_query("gateway.users") and one.properties["fetchsize"] == "10000"
+    assert JdbcCatalog(spark, "", {"fetchsize": "5"}).properties["fetchsize"] == "5"
+    with pytest.raises(ValueError):
+        JdbcCatalog(spark, "", {}, slices=0)
+
+
+def test_database_reads_of_whole_tables_and_of_keys(spark, monkeypatch):
+    """What is asked of the database; the reads themselves need one and are not run here."""
+    asked = []
+    catalog = JdbcCatalog(spark, "jdbc:mysql://host/db", {}, slices=2, namespaces={"gateway": "shop"}, match_keys=3)
+    bounds = spark.sql("select timestamp_ntz '2024-01-01' lo, timestamp_ntz '2024-01-03' hi")
+    monkeypatch.setattr(catalog, "_read", lambda table, predicates: asked.append((table, predicates)) or spark.range(1))
+    monkeypatch.setattr(catalog, "_query", lambda text: asked.append(text) or bounds)
+    monkeypatch.setattr(catalog, "declared", lambda table: [("uuid", "varchar(36)")] + [("created_at", "datetime")] * (table == "gateway.users"))
+    catalog.scan("gateway.users")
+    assert asked == ["SELECT min(created_at) AS lo, max(created_at) AS hi FROM shop.users", ("gateway.users", [
+        "created_at < '2024-01-02 00:00:00.000000'", "created_at >= '2024-01-02 00:00:00.000000'", "created_at IS NULL"])]
+    catalog.scan("gateway.plain")
+    assert asked[-1] == ("gateway.plain", None)
+    keys = spark.createDataFrame([("a",), ("it's",), ("a",), (None,), ("b\\",)], "key string")
+    catalog.scan_matching("gateway.users", "uuid", keys)
+    assert asked[-1] == ("gateway.users", ["uuid IN ('a', 'b\\\\')", "uuid IN ('it''s')"])
+    catalog.scan_matching("gateway.users", "uuid", spark.range(0).selectExpr("id as key"))
+    assert asked[-1] == ("gateway.users", ["1 = 0"])
+    assert catalog.scan_matching("gateway.users", "uuid", spark.range(9).selectExpr("id as key")) is None
+    assert catalog.scan_matching("gateway.users", "uuid", spark.sql("select 1.5 as key")) is None
