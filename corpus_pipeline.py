@@ -28,6 +28,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(_row_key().alias("doc_id"), "text")
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """The rows as one column beside their key, so that no column of theirs can clash with it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key().alias("key"))
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts; it learns as in the query of the operator."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -40,14 +45,14 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each component of near copies."""
     groups = jaccard.similar_components(_keyed(docs), width=5, percent=80)
     kept = stage(groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct(), "kept").read()
-    return docs.withColumn("key", _row_key()).join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*docs.columns)
+    return _with_key(docs).join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontamination.find_passages(_keyed(docs), items).select(F.col("doc_id").alias("key")).distinct()
-    return docs.withColumn("key", _row_key()).join(stage(found, "contaminated").read(), "key", "left_anti").select(*docs.columns)
+    return _with_key(docs).join(stage(found, "contaminated").read(), "key", "left_anti").select("row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

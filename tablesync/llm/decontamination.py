@@ -174,9 +174,11 @@ def find_passages(
             for doc_id, start, words, item_id, item in batch.itertuples(index=False, name=None):
                 for value, lo, hi in align(np.frombuffer(item, dtype=np.uint64), np.frombuffer(words, dtype=np.uint64), threshold):
                     out.append((doc_id, item_id, start + lo, start + hi, value))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "start_word", "end_word", "score"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "start_word", "end_word", "score"])
 
     sides = pairs.join(found.select("passage", "doc_id", "start", "words"), "passage").join(
         listed.select("row", "item_id", F.col("words").alias("item")), "row")
-    return sides.select("doc_id", "start", "words", "item_id", "item").mapInPandas(
-        score, "doc_id long, item_id long, start_word long, end_word long, score double")
+    # ids travel as text: pandas makes numbers with a NULL among them floats
+    out = sides.select(F.col("doc_id").cast("string"), "start", "words", F.col("item_id").cast("string"), "item").mapInPandas(
+        score, "doc_id string, item_id string, start_word long, end_word long, score double")
+    return out.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})

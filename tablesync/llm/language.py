@@ -118,8 +118,9 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in batches:
             out = [model.predict(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "lang_pred": [o[0] for o in out],
+                "doc_id": batch["doc_id"], "lang_pred": [o[0] for o in out],
                 "score": [o[1] for o in out], "rejected": [o[2] for o in out]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        run, "doc_id long, lang_pred string, score double, rejected boolean")
+    # ids travel as text: pandas makes numbers with a NULL among them floats
+    out = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, lang_pred string, score double, rejected boolean")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))

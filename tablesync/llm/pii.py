@@ -298,9 +298,11 @@ def find_pii(docs: DataFrame, model: PiiModel) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [model.spans(t or "") for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "base": [f[0] for f in found], "added": [f[1] for f in found]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "base": [f[0] for f in found], "added": [f[1] for f in found]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, f"doc_id long, base {kind}, added {kind}")
+    # ids travel as text: pandas makes numbers with a NULL among them floats
+    out = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, f"doc_id string, base {kind}, added {kind}")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def redact(text: str | None, model: PiiModel) -> str | None:

@@ -246,9 +246,11 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": model.score(batch["text"])})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": model.score(batch["text"])})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, score double")
+    # ids travel as text: pandas makes numbers with a NULL among them floats
+    out = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, score double")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:

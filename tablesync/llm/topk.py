@@ -9,7 +9,8 @@ from step to step; once it has met half of a block, the unread rest is scored wi
 Queries meet rows in a grid of bounded cells (a block of rows, a block of queries), and the k best of each cell are merged.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component, and rows without id, take no part. Rows
-equal in id and vector count once. A shorter vector has zeros at its end. Ties go to the smaller id. Further columns are ignored.
+equal in id and vector count once. A shorter vector has zeros at its end. Ties go to the smaller id. A score
+beyond 64 bits is given as the nearest that they hold. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def top_k(
             table, wanted = exact.astype(kind), asked_for.astype(kind)
             lists = np.argsort(exact, axis=0, kind="stable").T.copy()
             for query_id, query in zip(want["vec_id"].to_numpy(np.int64), wanted):
-                out += [(query_id, i, s) for i, s in threshold_top_k(ids, table, lists, query, query_id, k)]
+                out += [(query_id, i, min(max(s, -2**63), 2**63 - 1)) for i, s in threshold_top_k(ids, table, lists, query, query_id, k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     found = left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, score long")

@@ -68,7 +68,7 @@ def _record(row, date: str) -> bytes:
     block = head if revisit else head + payload
     lines = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'' if row.id is None else row.id}>", f"WARC-Date: {date}",
+        f"WARC-Record-ID: <urn:page:{row.id}>", f"WARC-Date: {date}",
         f"WARC-Target-URI: {row.url}", f"WARC-Payload-Digest: sha1:{payload_digest(payload)}"]
     if revisit:
         lines += [f"WARC-Refers-To: <urn:page:{row.refers_to}>",
@@ -89,7 +89,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, payload
 
 
-LINE = "key string, id long, file string, at long, size long"
+#: Ids travel as text, empty for NULL: pandas makes numbers with a NULL among them floats.
+LINE = "key string, id string, file string, at long, size long"
 
 
 def write_archives(
@@ -107,17 +108,15 @@ def write_archives(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"), "warc-again").read()
     known = F.octet_length("payload") >= min_bytes
     rows = rows.join(again, "digest", "left").select(
-        "id", url_key(F.col("url")).alias("key"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x1F]", " ").alias("url"), "payload",
-        F.when(known & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+        F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), url_key(F.col("url")).alias("key"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x1F]", " ").alias("url"), "payload",
+        F.when(known & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first").cast("string")).alias("refers_to"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, folder = _store(root)
         out, name, at = None, "", 0
         for batch in batches:
             lines = []
-            batch = batch.astype({"id": object, "refers_to": object}).where(batch.notna(), None)
             for row in batch.itertuples(index=False):
-                row = row._replace(id=None if row.id is None else int(row.id), refers_to=None if row.refers_to is None else int(row.refers_to))
                 data = _record(row, date)
                 if out is None or at + len(data) > file_bytes and at:
                     if out is not None:
@@ -128,7 +127,7 @@ def write_archives(
                 lines.append((row.key, row.id, name, at, len(data)))
                 at += len(data)
             if lines:
-                yield pd.DataFrame(lines, columns=["key", "id", "file", "at", "size"]).astype({"id": "Int64"})
+                yield pd.DataFrame(lines, columns=["key", "id", "file", "at", "size"])
         if out is not None:
             out.close()
 
@@ -167,11 +166,11 @@ def build_index(root: str, lines: Staged) -> CaptureIndex:
         part, number, held = TaskContext.get().partitionId(), 0, []
 
         def block() -> pd.DataFrame:
-            text = "\n".join("\t".join(("" if x is None else str(x)) for x in line) for line in held)
+            text = "\n".join("\t".join(map(str, line)) for line in held)
             return pd.DataFrame({"block": [f"{part:06d}-{number:06d}"], "first": [held[0][0]], "data": [zlib.compress(text.encode("utf-8", "replace"), 6)]})
 
         for batch in batches:
-            for line in batch.astype({"id": object}).where(batch.notna(), None).itertuples(index=False, name=None):
+            for line in batch.itertuples(index=False, name=None):
                 held.append(line)
                 if len(held) == per_block:
                     yield block()
@@ -204,7 +203,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
             for key in keys["key"]:
                 out += lines[bisect.bisect_left(first, key):bisect.bisect_right(first, key)]
         found = pd.DataFrame(out, columns=["key", "id", "file", "at", "size"])
-        return found.assign(id=pd.to_numeric(found["id"].replace("", None)).astype("Int64"), at=found["at"].astype("int64"), size=found["size"].astype("int64"))
+        return found.astype({"at": "int64", "size": "int64"})
 
     lines = wanted.groupBy("block").cogroup(index.blocks.read().select("block", "data").groupBy("block")).applyInPandas(search, LINE)
     root = index.root
@@ -212,7 +211,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, folder = _store(root)
         for batch in batches:
-            rows = list(batch.astype({"id": object}).where(batch.notna(), None).itertuples(index=False))
+            rows = list(batch.itertuples(index=False))
             i = 0
             while i < len(rows):
                 j, end = i + 1, rows[i].at + rows[i].size
@@ -220,13 +219,13 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
                     end, j = end + rows[j].size, j + 1
                 with store.open_input_file(f"{folder}/{rows[i].file}") as file:
                     data = file.read_at(end - rows[i].at, rows[i].at)
-                yield pd.DataFrame([_capture(row, data[row.at - rows[i].at:][:row.size]) for row in rows[i:j]], columns=_FIELDS).astype(
-                    {"id": "Int64", "refers_to": "Int64"})
+                yield pd.DataFrame([_capture(row, data[row.at - rows[i].at:][:row.size]) for row in rows[i:j]], columns=_FIELDS)
                 i = j
 
     placed = lines.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
-    return placed.mapInPandas(
-        fetch, "key string, id long, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    out = placed.mapInPandas(
+        fetch, "key string, id string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary")
+    return out.withColumns({"id": F.nullif("id", F.lit("")).cast("long"), "refers_to": F.col("refers_to").cast("long")})
 
 
 _FIELDS = ["key", "id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
@@ -236,10 +235,10 @@ _PAGE = re.compile(r"<urn:page:(-?\d*)>")
 def _capture(line, data: bytes) -> tuple:
     fields, payload = parse_record(data)
     page = _PAGE.fullmatch(fields["warc-record-id"])[1]
-    if page != ("" if line.id is None else str(line.id)):
+    if page != line.id:
         raise ValueError(f"the index names page {line.id} where the archive has {page}")
     kind, digest, size = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:"), int(fields["http-content-length"])
     if kind == "response" and (digest != payload_digest(payload) or size != len(payload)):
         raise ValueError(f"the payload of page {page} is damaged")
     refers = fields.get("warc-refers-to")
-    return line.key, line.id, kind, int(_PAGE.fullmatch(refers)[1]) if refers else None, size, digest, payload if kind == "response" else None
+    return line.key, line.id, kind, _PAGE.fullmatch(refers)[1] if refers else None, size, digest, payload if kind == "response" else None

@@ -1,0 +1,96 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from tablesync.llm import quality
+
+
+def good(rng, lines=6):
+    return "\n".join(" ".join(rng.choice(["garden", "the", "house", "of", "walked", "slowly", "and", "river", "to"]) for _ in range(rng.randint(6, 14))).capitalize() + "." for _ in range(lines))
+
+
+def bad(rng, lines=6):
+    return "\n".join(" ".join(rng.choice(["BUY!!", "$$$", "###", "CLICK", "|", "NOW!!", "99%"]) for _ in range(rng.randint(6, 14))) for _ in range(lines))
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    rng = random.Random(1)
+    rows = [(i, good(rng, rng.randint(1, 9)) if i % 4 else bad(rng, rng.randint(1, 9)), "x") for i in range(240)]
+    docs = spark.createDataFrame(rows + [(None, "junk", "x"), (500, None, "x"), (501, "", "x")], "doc_id long, text string, score string")
+    labels = [(i, int(i % 4 > 0), 0) for i in range(120)] + [(1, 1, 0), (2, 0, 1), (130, None, 0), (None, 1, 0), (500, 1, 0), (501, 0, 0), (131, 7, 0)]
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def model(data):
+    return quality.learn_quality(data[0], data[1])
+
+
+def test_held_out_documents(spark, data, model):
+    rows = [r for r in quality.score_quality(data[0], model).collect() if r["doc_id"] is not None and 120 <= r["doc_id"] < 240]
+    assert len(rows) == 120 and all((r["score"] >= 0.7) == (r["doc_id"] % 4 > 0) for r in rows)
+
+
+def test_marginals_are_those_of_all_labellings():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5):
+        unary, move = rng.normal(0, 2, (1, n)), rng.normal(0, 1, (2, 2))
+        weights = {}
+        for labels in itertools.product((0, 1), repeat=n):
+            weights[labels] = np.exp(sum(u for u, y in zip(unary[0], labels) if y) + sum(move[a, b] for a, b in zip(labels, labels[1:])))
+        total = sum(weights.values())
+        good, pairs = quality.forward_backward(unary, move, np.ones((1, n), bool))
+        for t in range(n):
+            assert good[0, t] == pytest.approx(sum(w for y, w in weights.items() if y[t]) / total)
+        for a, b in itertools.product((0, 1), repeat=2):
+            assert pairs[a, b] == pytest.approx(sum(w * sum((p, q) == (a, b) for p, q in zip(y, y[1:])) for y, w in weights.items()) / total)
+
+
+def test_padding_changes_nothing():
+    rng = np.random.default_rng(3)
+    bounds = np.cumsum([0, 3, 0, 1, 7, 2, 2, 40])
+    unary, move = rng.normal(0, 2, bounds[-1]), np.array([[0.7, 0.0], [0.0, 0.7]])
+    together = np.empty(len(unary))
+    for index, mask in quality._padded(bounds, cells=12):
+        together[index[mask]] = quality.forward_backward(unary[index], move, mask)[0][mask]
+    for lo, hi in zip(bounds, bounds[1:]):
+        if hi > lo:
+            alone = quality.forward_backward(unary[None, lo:hi], move, np.ones((1, hi - lo), bool))[0][0]
+            assert together[lo:hi] == pytest.approx(alone)
+
+
+def test_neighbours_and_lengths_count(model):
+    rng = random.Random(9)
+    a, b = good(rng, 8), bad(rng, 8)
+    mixed = model.score([a, a + "\n" + b, b, b[: len(b) // 8] + "\n" + a])
+    assert mixed[0] > mixed[1] > mixed[2] and mixed[0] > mixed[3] > mixed[2]
+    # a batch gives what its texts give one by one
+    assert model.score([a, "", b]) == pytest.approx([model.score([a])[0], model.prior, model.score([b])[0]])
+
+
+def test_defined_results(spark, data, model):
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, " \n\t\n"), (None, "The river."), (4, "word " * 300_000), (5, "\n".join("The river and the house." for _ in range(30_000)))], "doc_id long, text string")
+    rows = quality.score_quality(odd, model).collect()
+    assert [r["score"] for r in rows[:3]] == [model.prior] * 3 and all(0 <= r["score"] <= 1 for r in rows)
+    assert model.prior == pytest.approx(sum(i % 4 > 0 for i in range(120) if i != 2) / 121 + 1 / 121, abs=0.02)
+    assert quality.score_quality(odd.limit(0), model).collect() == []
+    nothing = quality.learn_quality(odd.limit(0), data[1].limit(0))
+    assert nothing.score(["The river.", None]) == [0.5, 0.5]
+    one = quality.learn_quality(data[0], data[1].where("quality = 1"))
+    assert one.score(["The river."]) == [1.0]
+
+
+def test_rows_are_kept_whole(spark, data, model):
+    kept = quality.keep_good(data[0], model)
+    assert kept.schema == data[0].schema
+    want = {r["doc_id"] for r in quality.score_quality(data[0], model).collect() if r["score"] >= 0.7}
+    assert {r["doc_id"] for r in kept.collect()} == want
+
+
+def test_labels_and_ids_are_no_inputs(spark, data, model):
+    docs = data[0].limit(20)
+    moved = docs.selectExpr("doc_id + 1000 as doc_id", "text")
+    assert [r["score"] for r in quality.score_quality(docs, model).collect()] == [r["score"] for r in quality.score_quality(moved, model).collect()]

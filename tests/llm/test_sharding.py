@@ -1,0 +1,88 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.llm.sharding import communication_matrix, hypergeometric, shuffle_into_shards
+
+
+def checked(df, shards, **more):
+    out = shuffle_into_shards(df, shards, **more)
+    rows = out.collect()
+    n = df.count()
+    assert len(rows) == n
+    sizes = Counter(r["shard"] for r in rows)
+    for s in range(shards):
+        assert sizes[s] in (n // shards, -(-n // shards))
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sizes[s]))
+    return out, rows
+
+
+@pytest.mark.parametrize("n,shards", [(0, 3), (1, 3), (5, 24), (1000, 7), (3001, 24)])
+def test_sizes_are_exact_and_nothing_is_lost(spark, n, shards):
+    df = spark.range(0, n, 1, 5).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("v"))
+    _, rows = checked(df, shards, block_rows=64, cell_rows=16)
+    assert sorted((r["doc_id"], r["v"]) for r in rows) == [(i, str(i % 3)) for i in range(n)]
+
+
+def test_equal_rows_nulls_and_clashing_names(spark):
+    df = spark.createDataFrame([(None, None, 7, "x")] * 50 + [(1, "t", 8, "y")] * 3, "doc_id long, text string, SHARD int, id string")
+    out, rows = checked(df, 4, block_rows=16, cell_rows=4)
+    assert out.columns == ["doc_id", "text", "id", "shard", "slot"]
+    assert Counter(r["doc_id"] for r in rows) == {None: 50, 1: 3}
+
+
+def test_a_seed_repeats_and_another_does_not(spark):
+    df = spark.range(0, 500, 1, 4).select(F.col("id").alias("doc_id"))
+    one, again, other = ({r["doc_id"]: (r["shard"], r["slot"]) for r in shuffle_into_shards(df, 5, seed, 64, 16).collect()} for seed in (1, 1, 2))
+    assert one == again != other
+
+
+def test_every_place_is_equally_likely(spark):
+    """Chi-square over many seeds: source block against shard, and a row's slot."""
+    df = spark.range(0, 40, 1, 4).select(F.col("id").alias("doc_id"))
+    pairs, slots = Counter(), Counter()
+    runs = 60
+    for seed in range(runs):
+        for r in shuffle_into_shards(df, 4, seed, block_rows=8, cell_rows=4).collect():
+            pairs[r["doc_id"] // 10, r["shard"]] += 1
+            slots[r["slot"]] += r["doc_id"] < 10
+    mean = runs * 40 / 16
+    assert sum((pairs[b, s] - mean) ** 2 / mean for b in range(4) for s in range(4)) < 45
+    mean = runs
+    assert sum((slots[k] - mean) ** 2 / mean for k in range(10)) < 35
+
+
+def test_draws_follow_the_hypergeometric_law(spark):
+    total, good, sample = 60, 25, 18
+    draws = spark.range(20_000).select(hypergeometric(
+        F.lit(total).cast("long"), F.lit(good).cast("long"), F.lit(sample).cast("long"),
+        (F.col("id") + 0.5) / F.lit(20_000.0)).alias("k")).groupBy("k").count().collect()
+    for k, n in draws:
+        p = math.comb(good, k) * math.comb(total - good, sample - k) / math.comb(total, sample)
+        assert abs(n / 20_000 - p) < 2e-3
+
+
+def test_large_margins_and_their_ends(spark):
+    cases = [(10**11, 10**10, 5 * 10**10), (10, 10, 3), (10, 0, 3), (10, 4, 0), (10, 4, 10), (1, 1, 1)]
+    df = spark.createDataFrame(cases, "t long, g long, n long")
+    for u in (0.0, 0.5, 1 - 2.0**-53):
+        for t, g, n, k in df.select("*", hypergeometric(F.col("t"), F.col("g"), F.col("n"), F.lit(u))).collect():
+            sd = math.sqrt(n * g / t * (t - g) / t * (t - n) / max(t - 1, 1))
+            assert max(0, n - t + g) <= k <= min(g, n) and abs(k - n * g / t) <= 10 * sd + 1
+
+
+def test_matrix_has_the_margins(spark):
+    sizes = [7, 0, 30, 1, 64, 64, 13, 5, 9]
+    blocks = spark.createDataFrame(list(enumerate(sizes)), "block long, n long").where("n > 0")
+    capacities = [50, 50, 40, 53]
+    rows = {r["block"]: r["sends"] for r in communication_matrix(blocks, capacities, 3).collect()}
+    assert {b: sum(s) for b, s in rows.items()} == {b: n for b, n in enumerate(sizes) if n}
+    assert np.array(list(rows.values())).sum(0).tolist() == capacities
+
+
+def test_main_path_is_native(spark):
+    plan = shuffle_into_shards(spark.range(100).select(F.col("id").alias("doc_id")), 4)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
