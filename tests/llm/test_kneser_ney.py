@@ -1,0 +1,100 @@
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tablesync.llm import kneser_ney
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def tokens(text):
+    return [*WORD.findall((text or "").translate(LOWER)), "</s>"]
+
+
+class Brute:
+    """The model once more, word by word."""
+
+    def __init__(self, texts):
+        self.words, self.pairs = Counter(), Counter()
+        for t in map(tokens, texts):
+            self.words.update(t)
+            self.pairs.update(zip(["<s>", *t], t))
+        self.n, self.v = sum(self.words.values()), len(self.words)
+        self.total, self.left, self.kinds = Counter(), Counter(), defaultdict(lambda: [0, 0, 0])
+        for (u, w), c in self.pairs.items():
+            self.total[u] += c
+            self.left[w] += 1
+            self.kinds[u][min(c, 3) - 1] += 1
+        self.high, self.low = (kneser_ney._discounts(*(Counter(x.values())[k] for k in (1, 2, 3, 4))) for x in (self.pairs, self.left))
+
+    def p(self, u, w):
+        spare = sum(self.low[min(c, 3)] for c in self.left.values()) / len(self.pairs) if self.pairs else 1.0
+        lower = (self.left[w] - self.low[min(self.left[w], 3)]) / max(len(self.pairs), 1) + spare / (self.v + 1)
+        if not self.total[u]:
+            return lower
+        c = self.pairs[u, w]
+        rest = sum(d * k for d, k in zip(self.high[1:], self.kinds[u])) / self.total[u]
+        return (c - self.high[min(c, 3)]) / self.total[u] + rest * lower if c else rest * lower
+
+    def row(self, text):
+        t = tokens(text)
+        base = sum(math.log10((self.words[w] + 0.1) / (self.n + 0.1 * (self.v + 1))) for w in t)
+        return len(t), sum(self.words[w] > 0 for w in t), self.n, base, sum(math.log10(self.p(u, w)) for u, w in zip(["<s>", *t], t))
+
+
+TRAIN = ["the cat sat on the mat", "The cat ate the rat", "a rat sat", "the the the", "", None, "a b c d e f g a b c", "on the mat a cat sat"] * 3 + ["once upon a time"]
+ASKED = [*TRAIN[:9], "unseen words here", "the zebra sat on A mat\x0bnow", " \n "]
+
+
+@pytest.fixture(params=[(2_000_000, 16 << 20), (7, 30)])
+def sizes(request, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", request.param[0])
+    monkeypatch.setattr(kneser_ney, "PART_BYTES", request.param[1])
+
+
+def test_pairs_of_many_words():
+    u, w = np.array([1, 2, 2**40], np.uint64), np.array([5, 5, 7], np.uint64)
+    assert len(set(kneser_ney._pair(u, w, 2**41).tolist())) == 3
+    assert kneser_ney._pair(u[:2], w[:2], 10).tolist() == [17, 29]
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, score string")
+
+
+def test_same_as_word_by_word(spark, sizes):
+    model = kneser_ney.learn(frame(spark, TRAIN).repartition(3))
+    brute = Brute(TRAIN)
+    assert (model.tokens, model.words, model.bigrams) == (brute.n, brute.v, len(brute.pairs))
+    for r in kneser_ney.score(frame(spark, ASKED), model).collect():
+        want = brute.row(ASKED[r["doc_id"]])
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[:3]
+        assert r["base_score"] == pytest.approx(want[3]) and r["score"] == pytest.approx(want[4])
+    for context in ("the", "<s>", "zebra", "</s>", "once"):
+        assert sum(brute.p(context, w) for w in [*brute.words, "unknown"]) == pytest.approx(1)
+
+
+def test_nothing_to_learn_from(spark):
+    model = kneser_ney.learn(frame(spark, []))
+    rows = kneser_ney.score(frame(spark, ["a b", None]), model).collect()
+    assert [tuple(r)[1:4] for r in rows] == [(3, 0, 0), (1, 0, 0)] and [r["score"] for r in rows] == [0.0, 0.0]
+    assert kneser_ney.score(frame(spark, []), model).collect() == []
+
+
+def test_long_texts_and_null_ids(spark):
+    long = "word and other word " * 200_000
+    df = spark.createDataFrame([(None, long), (None, long), (1, "word")], "doc_id long, text string")
+    model = kneser_ney.learn(df)
+    rows = kneser_ney.score(df, model).collect()
+    assert model.tokens == 1_600_004 and rows[0] == rows[1] and rows[0]["doc_id"] is None and rows[0]["n_tokens"] == 800_001
+
+
+def test_packing_of_columns():
+    keys = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    rows = list(kneser_ney._cut("word", [keys, keys], keys, 7))
+    back = np.concatenate([kneser_ney._unpack(d, (np.uint64, np.uint64))[1] for _, _, d in rows])
+    assert (back == keys).all() and [p for _, p, _ in rows] == list(range(7))
