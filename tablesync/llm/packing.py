@@ -83,10 +83,12 @@ def pieces(
                 for k, start in enumerate(range(first - capacity, len(ids), capacity)):
                     part = ids[max(0, start):start + capacity]
                     out.append((doc_id, k, max(0, start), len(part), zlib.crc32(part.tobytes())))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    # ids travel as text: pandas makes numbers with a NULL among them floats
+    out = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        cut, "doc_id string, piece int, start long, length long, ids_crc32 long")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(order: list[int], sizes: list[int], bins: list[list[int]], room: list[int], capacity: int) -> None:
@@ -225,7 +227,8 @@ def _round(items: DataFrame, count: int, number: int, capacity: int, block_items
 
     out = None
     for step in range(epochs):
-        out = stage(isles.repartition("block", "island").mapInPandas(
+        # a number of its own: by size alone the planner would give all blocks to one task
+        out = stage(isles.repartition(max(1, blocks * islands // 8), "block", "island").mapInPandas(
             epoch(step), "block long, island int, members array<binary>, bins long, squares long"), "pack-epoch").read()
         elite = out.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("members")[0].alias("migrant"))
         isles = out.select("block", "island", "members").join(elite, ["block", "island"]).join(lengths, "block")
