@@ -77,15 +77,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = """
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^\x20\x09-\x0D]+') as ws from documents),
-s as (
-  select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
-    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as sh from w),
-e as (select doc_id, unnest(sh) as g from s),
-c as (select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.g = b.g and a.doc_id <> b.doc_id group by all),
-l as (select c.a, c.b from c join s x on x.doc_id = c.a join s y on y.doc_id = c.b where 180 * c.n >= 80 * (len(x.sh) + len(y.sh))),
+                                    '[^\\x20\\x09-\\x0D]+') as ws from documents),
+t as (select doc_id, len(ws) as k, unnest(ws) as a, generate_subscripts(ws, 1) as i from w),
+f as (select doc_id, k, i, hash(a, lead(a, 1) over d, lead(a, 2) over d, lead(a, 3) over d, lead(a, 4) over d) as g
+      from t window d as (partition by doc_id order by i)),
+e as (select distinct doc_id, g from f where i <= greatest(k - 4, 1)),
+s as (select w.doc_id, count(e.g)::bigint as n from w left join e using (doc_id) group by w.doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by all),
+o as (select c.a, c.b from c join s x on x.doc_id = c.a join s y on y.doc_id = c.b where 180 * c.n >= 80 * (x.n + y.n)),
+l as (select a, b from o union all select b, a from o),
 r as (select doc_id, doc_id as other from s union select r.doc_id, l.b from r join l on l.a = r.other)
-select s.doc_id, len(any_value(s.sh))::bigint as n_shingles, min(r.other) as component_id from s join r using (doc_id) group by s.doc_id
+select s.doc_id, any_value(s.n) as n_shingles, min(r.other) as component_id from s join r using (doc_id) group by s.doc_id
 """
 
 
