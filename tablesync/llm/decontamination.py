@@ -1,10 +1,11 @@
 """Benchmark passages in documents: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-1. The corpus counts of the items' word n-grams are taken in one pass. The seeds of an item are the rarest ``share`` of
-   its distinct n-grams. The rank is within the item, so an item copied into very many documents keeps its seeds.
-2. A second pass emits passages: runs of words around at least ``least`` seeds that are near each other.
-3. Passages and items that share ``least`` seeds are joined and aligned: 2 for an equal word, -1 for a changed, an extra or a
-   missing one. A row comes out where the score is at least ``threshold`` of a full copy's, so edited copies are found.
+1. The corpus counts of the items' word n-grams are taken in one pass. The seeds of an item are its n-grams that are at
+   most ``common`` times as frequent as its median one. The measure is the item's own, so an item copied into
+   very many documents keeps its seeds.
+2. A second pass emits passages: the words around seeds that are near each other.
+3. Passages and items are joined by seeds, and aligned where they share ``support`` of the item's n-grams (one at
+   least): 2 for an equal word, -1 for a changed, an extra or a missing one. A row comes out where the score is at least ``threshold`` of a full copy's, so edited copies are found.
 
 Both passes look words up in a bitmap of fixed size; its false hits are dropped by the joins. Nothing is
 capped: a bitmap that fills up costs time, not results.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.sources.staging import stage
@@ -34,13 +35,20 @@ BITS = 26
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> bytes:
-    """A set of 64-bit values as a bitmap of fixed size; collected as at most ``2**bits / 64`` numbers."""
+    """A set of 64-bit values as a bitmap of fixed size, put together by segments of 8 KB and collected as those."""
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    words = hashes.select(F.shiftright(low, 6).alias("word"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    out = np.zeros(max(1, 1 << (bits - 6)), dtype=np.int64)
-    for word, value in words.toPandas().itertuples(index=False, name=None):
-        out[word] = value
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int"))
+    words = hashes.select(F.shiftright(low, 6).alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(1 << 10, dtype=np.int64)
+        part[rows["word"].to_numpy() & 1023] = rows["bits"].to_numpy()
+        return pd.DataFrame({"segment": [key[0]], "data": [part.tobytes()]})
+
+    segments = words.groupBy(F.shiftright("word", 10).alias("segment")).applyInPandas(fill, "segment long, data binary")
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    for row in segments.collect():  # at most 2**(bits - 16)
+        out[row["segment"] << 10:(row["segment"] + 1) << 10] = np.frombuffer(row["data"], dtype=np.int64)
     return out.tobytes()
 
 
@@ -151,21 +159,23 @@ def align(item: np.ndarray, words: np.ndarray, threshold: float) -> list[tuple[f
 
 
 def find_passages(
-    docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.75, least: int = 2, threshold: float = 0.5,
+    docs: DataFrame, items: DataFrame, n: int = 3, common: float = 8.0, support: float = 0.08, threshold: float = 0.5,
 ) -> DataFrame:
     """(doc_id, item_id, start_word, end_word, score) of the passages of ``items`` (item_id, text) in ``docs`` (doc_id, text)."""
     listed = stage(_item_words(items).withColumn("row", F.monotonically_increasing_id()), "items").read()
     grams = stage(_item_grams(listed, n), "item-grams").read()
     counts = _counted(docs, bitmap(grams, "gram"), n)
-    rank = Window.partitionBy("row").orderBy("n", "gram")
-    ranked = grams.join(counts, "gram", "left").select("row", "gram", F.coalesce("n", F.lit(0)).alias("n")).select(
-        "row", "gram", F.row_number().over(rank).alias("rank"), F.count(F.lit(1)).over(Window.partitionBy("row")).alias("of"))
-    seeds = stage(ranked.where(F.col("rank") <= F.greatest(F.lit(least), F.ceil(F.col("of") * share))).select("row", "gram"), "seeds").read()
+    counted = stage(grams.join(counts, "gram", "left").select("row", "gram", F.coalesce("n", F.lit(0)).alias("n")), "item-counts").read()
+    usual = counted.groupBy("row").agg(F.median("n").alias("usual"), F.count(F.lit(1)).alias("of"))
+    needed = F.greatest(F.lit(1), F.floor(F.col("of") * support)).alias("needed")
+    rare = F.col("n") <= F.greatest(F.lit(1.0), F.col("usual")) * common
+    seeds = stage(counted.join(usual, "row").where(rare).select("row", "gram", needed), "seeds").read()
     reach = int(listed.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
+    least = int(seeds.agg(F.min("needed")).first()[0] or 1)
     found = stage(_passages(docs, bitmap(seeds, "gram"), n, reach, least), "passages").read()
     found = found.withColumn("passage", F.monotonically_increasing_id())
     pairs = found.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram").groupBy("passage", "row").agg(
-        F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("passage", "row")
+        F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed")).where("shared >= needed").select("passage", "row")
     pairs = stage(pairs, "pairs").read()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
