@@ -38,8 +38,8 @@ from .words import combine, mix, word_chunks
 
 __all__ = ["KneserNey", "learn", "score"]
 
-FLUSH_TOKENS = 2_000_000
-PART_BYTES = 32 << 20  # of text; parts grow instead of becoming more than
+FLUSH_TOKENS = 1_000_000
+PART_BYTES = 16 << 20  # of text; parts grow instead of becoming more than
 MAX_PARTS = 1 << 16
 END = mix(np.array([2], dtype=np.uint64))[0]
 
@@ -333,9 +333,11 @@ def learn(docs: DataFrame) -> KneserNey:
         return pd.DataFrame([_filed(root, *key, [keys, *(s.astype(k) for s, k in zip(sums, kinds))])], columns=_FILE)
 
     sent = texts.mapInArrow(_pair_counts(model), blobs)
-    merged = stage(sent.groupBy("kind", "part").applyInPandas(merge_pairs, FILES + ", data binary"), "ngram-parts").read()
+    held = stage(sent.groupBy("kind", "part").applyInPandas(merge_pairs, FILES + ", data binary"), "ngram-parts")
+    merged = held.read()
     sums = merged.where("file is null").select("kind", "part", "data").groupBy("kind", "part").applyInPandas(merge_sums, FILES)
     more = [*merged.where("file is not null").select(*_FILE).collect(), *sums.collect()]
+    held.release()
     model.files |= _named(more)
     counts = {kind: [sum(f[c] for f in more if f["kind"] == kind) for c in ("ones", "twos", "threes", "fours")] for kind in ("bigram", "before")}
     model.discounts, model.lower = _discounts(*counts["bigram"]), _discounts(*counts["before"])
