@@ -7,6 +7,8 @@ is what the broadcast decisions of later joins go by.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -23,7 +25,7 @@ _local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch folder where it is unset (local tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a scratch folder, gone with the process, where it is unset (local tests)."""
     named = spark.conf.get(_SETTING, None)
     if named:
         return named.rstrip("/")
@@ -31,6 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError(f"set {_SETTING} to a folder all executors share")
     if "dir" not in _local:
         _local["dir"] = tempfile.mkdtemp(prefix="tablesync-")
+        atexit.register(shutil.rmtree, _local["dir"], ignore_errors=True)
     return _local["dir"]
 
 
