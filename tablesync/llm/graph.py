@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.sources.staging import stage
+from .scratch import Scratch
 
 __all__ = ["components"]
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 60, hold: Scratch | None = None) -> DataFrame:
     """(a, b) links to (node, label): the smallest node of the component, for every linked node.
 
     Each round hangs the larger neighbours of a node, then the smaller ones, on the least of them; the number
-    of rounds grows with the logarithm of the longest path. Minima are combined before they move.
+    of rounds grows with the logarithm of the longest path. Minima are combined before they move. ``hold`` stages what the rounds write.
     """
+    hold = hold or Scratch()
+
     def signed(df: DataFrame):
-        held = stage(df.where("a > b").distinct(), "links")
+        held = hold(df.where("a > b").distinct(), "links")
         row = held.read().agg(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         return held, (held.rows, row["s"])
 
@@ -27,7 +29,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        star = stage(large.where("a > b").distinct(), "links").read()
+        star = hold(large.where("a > b").distinct(), "links").read()
         low = star.groupBy("a").agg(F.min("b").alias("m"))
         small = star.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         before, (held, mark) = mark, signed(small.unionByName(low.select("a", F.col("m").alias("b"))))

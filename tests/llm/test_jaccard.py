@@ -1,0 +1,146 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tablesync.llm import jaccard
+from tablesync.llm.graph import components
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text, width=5):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
+
+
+def brute(rows, percent=80, width=5):
+    sets = [shingles(t, width) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                group[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return sorted(((d, len(s), least.get(root(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=repr)
+
+
+def run(spark, rows, **more):
+    df = spark.createDataFrame([(*r, "x", 5) for r in rows], "doc_id long, text string, node string, label int")
+    out = jaccard.similar_components(df, **more)
+    assert out.columns == ["doc_id", "n_shingles", "component_id"]
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def corpus(seed, docs=150, vocabulary=4000):
+    """Random texts, exact copies, chains of copies each edited from the last, texts that share a passage, short texts."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(vocabulary)}"
+    passage = [word() for _ in range(30)]
+    texts = []
+    for _ in range(docs):
+        kind = rng.random()
+        if texts and kind < 0.45:
+            words = rng.choice(texts[-20:]).split()
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                if words:
+                    words[rng.randrange(len(words))] = word()
+            texts.append(" ".join(words[rng.choice([0, 0, 1, 2]):]))
+        elif kind < 0.6:
+            texts.append(" ".join(passage + [word() for _ in range(rng.randint(0, 40))]))
+        elif kind < 0.7:
+            texts.append(" ".join(rng.choice("abc") for _ in range(rng.randint(0, 6))))
+        else:
+            texts.append(" ".join(word() for _ in range(rng.randint(5, 120))))
+    ids = rng.sample(range(10 * docs), docs)
+    return list(zip(ids, texts))
+
+
+@pytest.mark.parametrize("seed,percent,slots", [(1, 80, 4), (2, 80, 1), (3, 60, 2), (4, 100, 2), (5, 90, 3)])
+def test_same_components_as_all_pairs(spark, seed, percent, slots):
+    rows = corpus(seed)
+    assert run(spark, rows, percent=percent, slots=slots) == brute(rows, percent)
+
+
+def test_without_families_the_index_finds_all(spark):
+    """The families only save work: without them the components are the same."""
+    rows = corpus(6)
+    assert run(spark, rows, slots=0) == brute(rows)
+
+
+def test_frequent_shingles_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BUCKETS", 12)
+    monkeypatch.setattr(jaccard, "COUNT_TOKENS", 500)
+    rows = corpus(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    schema = "doc_id long, n long, node long, mins array<long>, segment int, counts binary"
+    frequent = np.unpackbits(jaccard._frequent(df.mapInArrow(jaccard._sketches(5), schema)))
+    assert 0 < frequent.sum() < 200 and len(frequent) == 1 << 12
+    assert run(spark, rows) == brute(rows)
+
+
+def test_the_threshold_itself_counts(spark):
+    # 8 shared of 10 shingles link, 7 of 9 and 79 of 99 do not
+    one = [f"a{i}" for i in range(13)]
+    rows = [(1, " ".join(one)), (2, " ".join(one[:-1] + ["z"])), (3, " ".join([f"b{i}" for i in range(12)])), (4, " ".join([f"b{i}" for i in range(11)] + ["y"]))]
+    rows += [(5, " ".join(f"c{i}" for i in range(93))), (6, " ".join(["q"] * 0 + [f"c{i}" for i in range(10, 103)]))]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_defined_results(spark):
+    same = "one two three four five six seven"
+    rows = [(5, same), (3, same.upper()), (3, same), (None, same), (None, "alone but without an id here"), (7, None), (8, ""), (9, " \t\n"),
+            (10, "short"), (11, "Short"), (12, "short text"), (13, "a b c d"), (14, "a b c d"), (15, "x " * 40_000), (16, "x " * 30_000)]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+    assert run(spark, [(1, None)]) == [(1, 0, 1)]
+
+
+def test_large_groups_of_copies(spark):
+    """Copies in the hundreds, exact and edited: no step makes their pairs."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    rows = [(i, " ".join(base)) for i in range(300)]
+    for i in range(300, 600):
+        words = list(base)
+        words[rng.randrange(150)] = f"e{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(700 + i, " ".join(base[:20] + [f"x{i}-{k}" for k in range(60)])) for i in range(100)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)] + [(200, i) for i in range(201, 240)] + [(-5, -(2**62))]
+    df = spark.createDataFrame(edges + edges[:5], "a long, b long")
+    group = {}
+    for a, b in edges:
+        group.setdefault(a, {a}), group.setdefault(b, {b})
+        union = group[a] | group[b]
+        for n in union:
+            group[n] = union
+    want = sorted((n, min(g)) for n, g in group.items() if len(g) > 1)
+    assert sorted(map(tuple, components(df).collect())) == want
+    assert components(df.limit(0)).collect() == [] and components(df.selectExpr("a", "a as b")).collect() == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 400), st.data())
+def test_linked_sets_meet_in_their_first_shingles(n, data):
+    """The bound that the index rests on, over all orders: the first shared shingle stands early in both sets."""
+    m = data.draw(st.integers(-(-80 * n // 100), 100 * n // 80))
+    shared = -(-80 * (n + m) // 180)
+    if shared <= min(n, m):
+        assert n - shared < n - -(-80 * n // 100) + 1 and m - shared < m - -(-80 * m // 100) + 1
