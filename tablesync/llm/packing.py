@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.sources.staging import stage
+from .scratch import Scratch
 
 __all__ = ["Encoder", "evolve", "pack", "pieces"]
 
@@ -197,7 +197,7 @@ def _to_bins(data: bytes) -> list[list[int]]:
     return bins
 
 
-def _round(items: DataFrame, count: int, number: int, capacity: int, block_items: int, islands: int, epochs: int, seed: int) -> DataFrame:
+def _round(items: DataFrame, count: int, number: int, capacity: int, block_items: int, islands: int, epochs: int, seed: int, hold: Scratch) -> DataFrame:
     """Items with ``bin`` (in their block) and ``room`` (left in that bin)."""
     blocks = max(1, -(-count // block_items))
     dealt = items.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + number), "id"), F.lit(blocks)))
@@ -205,7 +205,7 @@ def _round(items: DataFrame, count: int, number: int, capacity: int, block_items
     fields = [F.col(c) for c in dealt.columns if c not in ("block", "id")]
     # a block holds about block_items items, however the input is keyed, as ids are dealt at random
     listed = dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct(F.col("id"), *fields))).alias("items"))
-    groups = stage(listed, "pack-items").read()
+    groups = hold(listed, "pack-items").read()
     lengths = groups.select("block", F.transform("items", lambda x: x.length).alias("sizes"))
     isles = lengths.select("*", F.explode(F.array(*map(F.lit, range(islands)))).alias("island"),
                            F.array().cast("array<binary>").alias("members"), F.lit(None).cast("binary").alias("migrant"))
@@ -228,7 +228,7 @@ def _round(items: DataFrame, count: int, number: int, capacity: int, block_items
     out = None
     for step in range(epochs):
         # a number of its own: by size alone the planner would give all blocks to one task
-        out = stage(isles.repartition(max(1, blocks * islands // 8), "block", "island").mapInPandas(
+        out = hold(isles.repartition(max(1, blocks * islands // 8), "block", "island").mapInPandas(
             epoch(step), "block long, island int, members array<binary>, bins long, squares long"), "pack-epoch").read()
         elite = out.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("members")[0].alias("migrant"))
         isles = out.select("block", "island", "members").join(elite, ["block", "island"]).join(lengths, "block")
@@ -259,25 +259,29 @@ def pack(
     """Parts (with ``length``) with ``sequence_id`` and ``offset`` in it. ``poor``: share of room from which a bin is dissolved."""
     have = [c for c in parts.columns if c.lower() not in ("sequence_id", "offset")]
     item = F.struct(*[F.col(f"`{c}`") for c in have])
-    whole = stage(parts.select(item.alias("part"), F.col("length").alias("length")), "pack-parts").read()
-    whole = whole.withColumn("id", F.monotonically_increasing_id())
+    hold = Scratch()
+    kept_parts = hold(parts.select(item.alias("part"), F.col("length").alias("length")), "pack-parts")
+    whole = kept_parts.read().withColumn("id", F.monotonically_increasing_id())
 
     def result(rows: DataFrame, sequence: Column, offset: Column) -> DataFrame:
         return rows.select("part.*", sequence.alias("sequence_id"), offset.cast("long").alias("offset"))
 
     done = [result(whole.where(F.col("length") >= capacity), F.lit(1 << 62) + F.col("id"), F.lit(0))]
-    left = stage(whole.where(F.col("length") < capacity), "pack-left")
+    read = [kept_parts]  # what the result reads
+    left = hold(whole.where(F.col("length") < capacity), "pack-left")
     number = 0
     while left.rows:
         last = left.rows <= block_items or number == 12
-        out = stage(_round(left.read(), left.rows, number, capacity, block_items, islands, epochs, seed), "pack-round").read()
+        read.append(hold(_round(left.read(), left.rows, number, capacity, block_items, islands, epochs, seed, hold), "pack-round"))
+        out = read[-1].read()
         kept = out if last else out.where(F.col("room") <= F.lit(int(poor * capacity)))
         sequence = F.shiftleft(F.lit(number).cast("long"), 56) + F.shiftleft("block", 20) + F.col("bin")
         done.append(result(kept, sequence, F.col("offset")))
         if last:
             break
-        before, left = left.rows, stage(out.where(F.col("room") > F.lit(int(poor * capacity))).select("part", "length", "id"), "pack-left")
+        before, left = left.rows, hold(out.where(F.col("room") > F.lit(int(poor * capacity))).select("part", "length", "id"), "pack-left")
         number = 12 if left.rows > 0.7 * before else number + 1  # what does not pack better is packed as it is
+    hold.release(*read)
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)

@@ -115,7 +115,7 @@ def communication_matrix(blocks: DataFrame, capacities: list[int], seed: int) ->
             F.struct(F.col("l").alias("blocks"), F.col("x").alias("caps")),
             F.struct(F.col("r").alias("blocks"), rest.alias("caps")))).alias("node")).select("node.*").where(F.size("blocks") > 0)
         if level == 5:  # enough subtrees to go on in parallel
-            nodes = nodes.repartition(F.col("blocks")[0]["block"])
+            nodes = nodes.repartition(min(1024, 1 + count // 64), F.col("blocks")[0]["block"])
     return nodes.where(F.size("blocks") > 0).select(F.col("blocks")[0]["block"].alias("block"), F.col("caps").alias("sends"))
 
 
@@ -141,6 +141,7 @@ def shuffle_into_shards(
     sent = ranked.join(matrix, "block").select(
         "row", "id", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard"))
     dealt = stage(sent, "shard-dealt")
+    rows.release()
 
     cells = max(1, -(-rows.rows // (shards * cell_rows)))
     key = F.xxhash64(F.lit(seed), F.lit("shard"), F.col("id"))
