@@ -268,10 +268,10 @@ def _families(docs: DataFrame, width: int, percent: int, nodes: DataFrame, reps:
     blocks = F.greatest(F.ceil(F.col("many") / BLOCK_NODES), F.ceil(F.col("many") * F.col("size") / BLOCK_TOKENS))
     near = keyed.join(heads, ["slot", "least"]).where(
         (F.col("n") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("n") * percent) & (agreed * 2 >= F.size("mins")))
-    near = hold(near.select("node", "mins", "slot", "least", F.pmod(F.xxhash64("slot", "node"), blocks).alias("block")), "families").read()
+    near = hold(near.select("node", "n", "mins", "slot", "least", F.pmod(F.xxhash64("slot", "node"), blocks).alias("block")), "families").read()
     sets = _set_table(docs, width, hold(near.select("node").distinct(), "ends").read(), reps, hold)
 
-    def connect(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def links(rows: pd.DataFrame) -> list[tuple]:
         out, names = [], rows["node"].to_numpy()
         if len(rows) > 1:
             tokens = [frozenset(np.frombuffer(x, dtype=np.uint64).tolist()) for x in rows["tokens"]]
@@ -285,9 +285,16 @@ def _families(docs: DataFrame, width: int, percent: int, nodes: DataFrame, reps:
                         if shared * (100 + percent) >= percent * (sizes[i] + sizes[j]):
                             out.append((names[i], names[j], shared, sizes[i], sizes[j]))
                             group[group == group[j]] = group[i]
-        return pd.DataFrame(out, columns=["a", "b", "shared", "na", "nb"])
+        return out
 
-    found = near.join(sets, "node").groupBy("slot", "least", "block").applyInPandas(connect, "a long, b long, shared long, na long, nb long")
+    def connect(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [link for _, block in rows.groupby(["slot", "least", "block"], sort=False) for link in links(block)]
+        return pd.DataFrame(found, columns=["a", "b", "shared", "na", "nb"])
+
+    # most blocks are a few sets: many of them make one call
+    calls = 1 + (near.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS
+    call = F.pmod(F.xxhash64("slot", "least", "block"), F.lit(calls)).alias("call")
+    found = near.join(sets, "node").groupBy(call).applyInPandas(connect, "a long, b long, shared long, na long, nb long")
     return hold(found, "family-links").read()
 
 
