@@ -189,6 +189,18 @@ def _shared(pairs: DataFrame, sets: DataFrame, hold: Scratch) -> DataFrame:
     return hold(sides.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, shared long, na long, nb long"), "shared").read()
 
 
+def _needed(small: str, low: str, high: str, percent: int) -> Column:
+    """The least number of shared first shingles of linked sets, one of ``small`` shingles or more, one of ``low`` to ``high`` and not smaller.
+
+    They need all shared ones less the most that can follow the larger prefix, ceil(size * percent / 100) - 1. That grows in steps, so
+    the least need is not the largest set's but that of the smallest set of its step; steps below need more.
+    """
+    high = F.least(F.col(high), F.floor(F.col(small) * 100 / percent))
+    follow = F.ceil(high * percent / 100) - 1
+    large = F.greatest(F.least(F.col(low), high), F.floor(follow * 100 / percent) + 1)
+    return (F.col(small) + large) * percent / (100 + percent) - follow
+
+
 def _candidates(entries: DataFrame, percent: int, hold: Scratch) -> DataFrame:
     """Pairs (a, b) of components that the lists do not rule out."""
     # sizes within 100 : percent of each other fall into the same block or neighbouring ones
@@ -208,15 +220,9 @@ def _candidates(entries: DataFrame, percent: int, hold: Scratch) -> DataFrame:
     whole = hold(entries.join(few, "label", "left_semi").groupBy("label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.collect_set("token").alias("tokens")), "component-tokens").read()
 
-    def needed(small: Column, large: Column) -> Column:
-        """Shared first shingles that sets of these sizes need: all of them, less the most that can follow the larger prefix."""
-        large = F.least(large, small * 100 / percent)
-        return (small + large) * percent / (100 + percent) - F.ceil(large * percent / 100) + 1
-
     sides = near.join(whole.select(F.col("label").alias("a"), F.col("least").alias("a1"), F.col("most").alias("a2"), F.col("tokens").alias("ta")), "a", "left").join(
         whole.select(F.col("label").alias("b"), F.col("least").alias("b1"), F.col("most").alias("b2"), F.col("tokens").alias("tb")), "b", "left")
-    enough = F.size(F.array_intersect("ta", "tb")) >= F.least(needed(F.least("a1", "b2"), F.greatest("a1", "b2")), needed(F.least("b1", "a2"), F.greatest("b1", "a2")),
-                                                              needed(F.least("a1", "b1"), F.greatest("a2", "b2"))) - F.lit(1e-6)
+    enough = F.size(F.array_intersect("ta", "tb")) >= F.least(_needed("a1", "b1", "b2", percent), _needed("b1", "a1", "a2", percent)) - F.lit(1e-6)
     return sides.where(F.col("ta").isNull() | F.col("tb").isNull() | enough).select("a", "b")
 
 

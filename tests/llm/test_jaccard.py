@@ -2,11 +2,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from tablesync.llm import jaccard
 from tablesync.llm.graph import components
+from tablesync.llm.words import shingle_sets, word_chunks
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -136,6 +138,36 @@ def test_components(spark):
     assert components(df.limit(0)).collect() == [] and components(df.selectExpr("a", "a as b")).collect() == []
 
 
+def test_a_link_to_a_smaller_set_of_a_component(spark):
+    """The need of shared first shingles is not the largest set's: x links with y (12 of 15), whose component's largest set needs more."""
+    token = lambda w: next(t[0] for c in word_chunks(pa.array([w])) for _, t in shingle_sets(c, 1))
+    o1, o2, o3, s1, u, *rest = sorted((f"w0x{k}" for k in range(16)), key=token)
+    y = [s1, *rest, o1, o2]
+    rows = [(i, " ".join(words)) for i, words in enumerate([[s1, *rest, u], y, [*y, o3], [w for w in y if w != rest[-1]]])]
+    want = brute(rows, width=1)
+    assert {c for _, _, c in want} == {0}
+    for slots in (0, 1, 4):  # with one slot the other three are joined first
+        assert run(spark, rows, width=1, slots=slots) == want
+
+
+@pytest.mark.parametrize("percent", [50, 60, 75, 80, 90, 100])
+def test_needed_shared_first_shingles(spark, percent):
+    """Never above the need of two sizes that can link, and that itself for two sizes."""
+    def need(s, m):
+        return -(-percent * (s + m) // (100 + percent)) + 1 - -(-percent * m // 100)
+
+    rng = random.Random(percent)
+    spans = [(a, a + rng.randrange(9), b, b + rng.randrange(9)) for a, b in ((rng.randint(1, 40), rng.randint(1, 50)) for _ in range(400))]
+    spans += [(a, a, b, b) for a in range(1, 30) for b in range(a, 100 * a // percent + 1)]
+    df = spark.createDataFrame([(*s, k) for k, s in enumerate(spans)], "a1 long, a2 long, b1 long, b2 long, k long")
+    got = df.select("k", jaccard._needed("a1", "b1", "b2", percent).alias("need")).collect()
+    for k, value in got:
+        a1, a2, b1, b2 = spans[k]
+        exact = [need(s, m) for s in range(a1, a2 + 1) for m in range(max(s, b1), min(b2, 100 * s // percent) + 1)]
+        assert not exact or value <= min(exact) + 1e-6
+        assert a1 != a2 or b1 != b2 or b1 < a1 or value > need(a1, b1) - 1
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(1, 400), st.data())
 def test_linked_sets_meet_in_their_first_shingles(n, data):
