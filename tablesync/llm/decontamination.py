@@ -6,6 +6,8 @@
 2. A second pass emits passages: the words around seeds that are near each other.
 3. Passages and items are joined by seeds, and aligned where they share ``support`` of the item's n-grams (one at
    least): 2 for an equal word, -1 for a changed, an extra or a missing one. A row comes out where the score is at least ``threshold`` of a full copy's, so edited copies are found.
+4. Sequences of ``run`` words of an item are seeds however frequent they are, and one of them is enough to compare. What the
+   alignments leave is searched for them, so ``run`` equal words give a row in an item of any length; its score is their share of the item.
 
 Both passes look words up in a bitmap of fixed size; its false hits are dropped by the joins. Nothing is
 capped: a bitmap that fills up costs time, not results.
@@ -97,23 +99,28 @@ def _counted(docs: DataFrame, known: bytes, n: int) -> DataFrame:
     return docs.select(F.lower("text").alias("text")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _passages(docs: DataFrame, seeds: bytes, n: int, reach: int, least: int) -> DataFrame:
-    """(doc_id, start, grams, words): words around seeds that lie at most ``reach`` words apart."""
+def _passages(docs: DataFrame, seeds: bytes, n: int, runs: bytes, run_words: int, reach: int, least: int) -> DataFrame:
+    """(doc_id, start, grams, words): words around seeds and runs that lie at most ``reach`` words apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
             for chunk in word_chunks(batch.column("text"), bare=True):
-                grams = _grams(chunk.hashes, n)
-                hits = np.flatnonzero(in_bitmap(seeds, grams))
-                owner = np.searchsorted(chunk.bounds, hits, "right") - 1
-                inner = hits + n <= chunk.bounds[np.minimum(owner + 1, len(chunk.bounds) - 1)]
-                hits, owner = hits[inner], owner[inner]
+                parts = []
+                for size, known in ((n, seeds), (run_words, runs)):
+                    grams = _grams(chunk.hashes, size)
+                    hits = np.flatnonzero(in_bitmap(known, grams))
+                    owner = np.searchsorted(chunk.bounds, hits, "right") - 1
+                    inner = hits + size <= chunk.bounds[np.minimum(owner + 1, len(chunk.bounds) - 1)]
+                    parts.append((hits[inner], owner[inner], grams[hits[inner]], np.full(inner.sum(), size == run_words)))
+                hits, owner, grams, long = (np.concatenate(p) for p in zip(*parts))
+                order = np.argsort(hits, kind="stable")
+                hits, owner, grams, long = hits[order], owner[order], grams[order], long[order]
                 new = np.flatnonzero(np.concatenate([[True], (np.diff(hits) > reach) | (np.diff(owner) != 0)])) if len(hits) else []
                 out = []
                 for a, b in zip(new, [*new[1:], len(hits)]):
-                    some = np.unique(grams[hits[a:b]])
-                    if len(some) >= least:
+                    some = np.unique(grams[a:b])
+                    if len(some) >= least or long[a:b].any():
                         row = owner[a]
                         lo = max(chunk.bounds[row], hits[a] - reach)
                         hi = min(chunk.bounds[row + 1], hits[b - 1] + n + reach)
@@ -158,8 +165,27 @@ def align(item: np.ndarray, words: np.ndarray, threshold: float) -> list[tuple[f
     return found
 
 
+def equal_runs(item: np.ndarray, words: np.ndarray, run: int) -> list[tuple[float, int, int]]:
+    """(share of the item, start, end) of the places in ``words`` that hold ``run`` or more of its words one after the other."""
+    if not np.isin(_grams(words, run), _grams(item, run)).any():
+        return []
+    row = np.zeros(len(words) + 1, dtype=np.int64)
+    most = row
+    for word in item:
+        step = np.zeros_like(row)
+        step[1:] = np.where(words == word, row[:-1] + 1, 0)
+        row, most = step, np.maximum(most, step)
+    found, last = [], 0
+    for end in np.flatnonzero(most >= run).tolist():
+        start = max(end - int(most[end]), last)
+        if (end == len(words) or most[end + 1] != most[end] + 1) and end - start >= run:
+            found.append(((end - start) / len(item), start, end))
+            last = end
+    return found
+
+
 def find_passages(
-    docs: DataFrame, items: DataFrame, n: int = 3, common: float = 8.0, support: float = 0.08, threshold: float = 0.5,
+    docs: DataFrame, items: DataFrame, n: int = 3, common: float = 8.0, support: float = 0.08, threshold: float = 0.5, run: int = 13,
 ) -> DataFrame:
     """(doc_id, item_id, start_word, end_word, score) of the passages of ``items`` (item_id, text) in ``docs`` (doc_id, text)."""
     listed = stage(_item_words(items).withColumn("row", F.monotonically_increasing_id()), "items").read()
@@ -172,17 +198,24 @@ def find_passages(
     seeds = stage(counted.join(usual, "row").where(rare).select("row", "gram", needed), "seeds").read()
     reach = int(listed.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
     least = int(seeds.agg(F.min("needed")).first()[0] or 1)
-    found = stage(_passages(docs, bitmap(seeds, "gram"), n, reach, least), "passages").read()
+    runs = stage(_item_grams(listed, run), "item-runs").read()
+    found = stage(_passages(docs, bitmap(seeds, "gram"), n, bitmap(runs, "gram"), run, reach, least), "passages").read()
     found = found.withColumn("passage", F.monotonically_increasing_id())
-    pairs = found.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram").groupBy("passage", "row").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed")).where("shared >= needed").select("passage", "row")
+    known = seeds.withColumn("long", F.lit(False)).unionByName(runs.select("row", "gram", F.lit(0).cast("long").alias("needed"), F.lit(True).alias("long")))
+    pairs = found.select("passage", F.explode("grams").alias("gram")).join(known, "gram").groupBy("passage", "row").agg(
+        F.count_if(~F.col("long")).alias("shared"), F.max("needed").alias("needed"), F.bool_or("long").alias("long")).where(
+        "long or shared >= needed").select("passage", "row")
     pairs = stage(pairs, "pairs").read()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc_id, start, words, item_id, item in batch.itertuples(index=False, name=None):
-                for value, lo, hi in align(np.frombuffer(item, dtype=np.uint64), np.frombuffer(words, dtype=np.uint64), threshold):
+                item, words = np.frombuffer(item, dtype=np.uint64), np.frombuffer(words, dtype=np.uint64).copy()
+                places = align(item, words, threshold)
+                for _, lo, hi in places:
+                    words[lo:hi] = 0
+                for value, lo, hi in places + equal_runs(item, words, run):
                     out.append((doc_id, item_id, start + lo, start + hi, value))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "start_word", "end_word", "score"])
 

@@ -97,6 +97,34 @@ def test_defined_results(spark):
     assert search(spark, [], items) == [] and search(spark, docs, []) == []
 
 
+def test_a_long_run_of_a_longer_item(spark):
+    """Equal words one after the other count however long the item is, and however frequent its n-grams are."""
+    rng = random.Random(6)
+    item = sentence(rng, 300)
+    around = lambda: sentence(rng, 30)
+    docs = [(1, around() + item[100:200] + around()), (2, around() + item[40:53] + around()), (3, around() + item[40:52] + around()),
+            (4, item[:20] + around() + item[250:270]), (5, item), (6, around() + item[280:300] + item[:200])]
+    docs += [(100 + i, item[40:53] + around()) for i in range(40)]
+    rows = search(spark, [(i, " ".join(w)) for i, w in docs], [(9, " ".join(item))])
+    got = sorted((r["doc_id"], r["start_word"], r["end_word"], round(r["score"] * 300)) for r in rows if r["doc_id"] < 100)
+    assert [g for g in got if g[0] < 6] == [(1, 30, 130, 100), (2, 30, 43, 13), (4, 0, 20, 20), (4, 50, 70, 20), (5, 0, 300, 300)]
+    assert [g[1:3] for g in got if g[0] == 6] == [(30, 50), (50, 250)]
+    assert {r["doc_id"] for r in rows if r["doc_id"] >= 100} == set(range(100, 140))
+
+
+def test_equal_runs():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        item, words = (rng.integers(1, 4, n).astype(np.uint64) for n in rng.integers(1, 30, 2))
+        runs = {tuple(item[i:i + 4]) for i in range(len(item) - 3)}
+        places = [j for j in range(len(words) - 3) if tuple(words[j:j + 4]) in runs]
+        found = dec.equal_runs(item, words, 4)
+        assert bool(found) == bool(places) and all(b <= c for (_, _, b), (_, c, _) in zip(found, found[1:]))
+        assert all(any(a < j + 4 and j < b for _, a, b in found) for j in places)
+        for share, a, b in found:
+            assert any(tuple(item[i:i + b - a]) == tuple(words[a:b]) for i in range(len(item))) and share == (b - a) / len(item)
+
+
 def test_very_long_text(spark):
     rng = random.Random(4)
     item = sentence(rng, 40)
