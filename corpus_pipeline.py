@@ -1,8 +1,8 @@
 """From raw documents to packed sequences: quality, near duplicates, benchmark passages, personal data, packing.
 
-Each stage takes all its predecessor kept and, but for the last, returns the columns of ``documents``. A row is known by
-a hash of its id and text, so rows without id, or of one id and different texts, are documents of their own; rows
-equal in both are one. ``ORACLE_SQL`` is None: no stage but the joins could be said in SQL.
+Each stage takes all its predecessor kept and, but for the last, returns the columns of ``documents``. Every row is a document of
+its own, whatever its id: near duplicates are numbered as they are read, so rows without words stay, all of them, and of linked
+rows one does. A benchmark passage is looked up by a hash of id and text, which equal rows share. ``ORACLE_SQL`` is None: no stage but the joins could be said in SQL.
 """
 
 from __future__ import annotations
@@ -43,9 +43,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    groups = jaccard.similar_components(_keyed(docs), width=5, percent=80)
-    kept = stage(groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct(), "kept").read()
-    return _with_key(docs).join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    # spread numbers: the hash of a long is a bijection, and the join of sets tells ids apart by their low bits
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(F.monotonically_increasing_id()).alias("key"))
+    rows = stage(rows, "numbered").read()
+    groups = jaccard.similar_components(rows.select(F.col("key").alias("doc_id"), "row.text"), width=5, percent=80)
+    kept = stage(groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")), "kept").read()
+    return rows.join(kept, "key", "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,15 @@ def test_stages(spark, folder):
     assert set(ids["packing"]) == set(ids["personal data"])
 
 
+def test_rows_without_words_are_no_copies(spark, folder):
+    """Rows that are linked with nothing stay, equal or not; of linked rows one stays."""
+    text = good(random.Random(9))
+    rows = [(None, None, "en"), (None, None, "en"), (None, "", "en"), (5, None, "en"), (5, "", "en"), (5, " \n", "de"), (5, " \n", "en"), (7, text, "en"), (7, text, "de"), (None, text, "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or ""), "clash", k) for k, (i, t, lang) in enumerate(rows)], SCHEMA)
+    kept = sorted(r["row"] for r in pipeline.keep_one_of_each_group(spark, docs, folder).collect())
+    assert kept[:7] == list(range(7)) and len(kept) == 8
+
+
 def test_run_is_the_stages_one_after_another(spark, folder):
     rows = pipeline.run(spark, folder)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
