@@ -6,7 +6,7 @@ gives each line's probability of being good; a document's score is their mean we
 
 Labels come for documents, so a training line has its document's label. Weights are learned from a bounded
 sample: up to ``sample_docs`` documents of each label, first by a hash of the id, without those of
-more than ``sample_lines`` lines. Scoring covers every line of every text.
+more than ``sample_lines`` lines; of an id's different texts the one with the least hash. Scoring covers every line of every text.
 
 Defined results: NULL, empty and blank texts have no lines and get the share of good documents in the sample
 (0.5 without labels). A document with contradicting labels is not learned from. Equal texts get equal scores.
@@ -223,9 +223,10 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = 1500, s
             found = [line_features(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lengths": [n.tobytes() for n, _ in found], "lines": [f.tobytes() for _, f in found]})
 
-    # at most 2 * sample_docs ids, so they may be sent to every task
-    found = docs.where(breaks < sample_lines).join(F.broadcast(few), "doc_id").select("doc_id", "text").mapInPandas(
-        describe, "doc_id long, lengths binary, lines binary")
+    # at most 2 * sample_docs ids, so they may be sent to every task; one text of each, as an id may have any number of rows
+    texts = docs.where((breaks < sample_lines) & F.col("text").rlike(r"\S")).join(F.broadcast(few), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("luck"), "text")).alias("least")).select("doc_id", "least.text")
+    found = texts.mapInPandas(describe, "doc_id long, lengths binary, lines binary")
     shares = {r["quality"]: r["n"] for r in plain.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts, bounds, truth, lengths = [], [0], [], []
     for doc_id, size, lines in sorted({(r["doc_id"], bytes(r["lengths"]), bytes(r["lines"])) for r in found.collect()}):

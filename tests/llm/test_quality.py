@@ -94,3 +94,20 @@ def test_labels_and_ids_are_no_inputs(spark, data, model):
     docs = data[0].limit(20)
     moved = docs.selectExpr("doc_id + 1000 as doc_id", "text")
     assert [r["score"] for r in quality.score_quality(docs, model).collect()] == [r["score"] for r in quality.score_quality(moved, model).collect()]
+
+
+def test_one_text_of_an_id_is_learned_from(spark, monkeypatch):
+    """However many rows share an id of the sample, one of them comes to the driver."""
+    rng = random.Random(4)
+    rows = [(i % 10, good(rng) if i % 2 else bad(rng)) for i in range(300)] + [(3, None), (3, " \n")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    seen, fit = [], quality.fit
+
+    def counted(features, bounds, truth):
+        seen.append(truth.tolist())
+        return fit(features, bounds, truth)
+
+    monkeypatch.setattr(quality, "fit", counted)
+    models = [quality.learn_quality(spark.createDataFrame(r, "doc_id long, text string"), labels) for r in (rows, rows[::-1])]
+    assert seen == [[0, 1] * 5] * 2
+    assert models[0].weights.tolist() == models[1].weights.tolist()
