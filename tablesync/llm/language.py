@@ -1,12 +1,13 @@
 """Language of whole texts by compression: the language whose dictionary makes the text smallest.
 
-Every language has a raw-content zstandard dictionary of up to ``dictionary_bytes`` of text learned for it. A
+Every language has a raw-content zstandard dictionary of up to ``dictionary_bytes`` of text learned for it, less where
+all together would be more than ``total_bytes``: many languages have smaller dictionaries, and none is left out. A
 text is lower-cased, everything but letters becomes a space, and pieces of ``piece_bytes`` are compressed apart, so
 the dictionary counts for the whole length of a text and not only at its start. The sizes add up. Texts of at
 most ``short_bytes`` are compressed harder, as single bytes decide there.
 
-The dictionaries come from a bounded sample: about ``sample_docs`` documents for each of at most
-``max_languages`` languages, taken by a hash of the id, at most ``sample_chars`` characters of each. A first set
+The dictionaries come from a bounded sample: about ``sample_docs`` documents for each language, fewer where its dictionary is
+smaller, taken by a hash of the id, and a window of ``sample_chars`` characters at a hashed place of each. A first set
 of dictionaries judges the sample, and what it assigns elsewhere is left out of the final set.
 
 Defined results: ``und`` with score 0 for a text that is NULL, has no letter, or where no language was learned. ``rejected``
@@ -22,7 +23,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 __all__ = ["LanguageModel", "learn_languages", "predict_language"]
@@ -78,19 +79,22 @@ class LanguageModel:
 
 def learn_languages(
     docs: DataFrame, sample_docs: int = 800, sample_chars: int = 1500, dictionary_bytes: int = 128 << 10,
-    max_languages: int = 256, **options,
+    total_bytes: int = 32 << 20, **options,
 ) -> LanguageModel:
     """Dictionaries from (doc_id, text, lang) rows; rows without text or language are not used."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return LanguageModel({}, **options)
+    part = min(1.0, total_bytes / (len(counts) * dictionary_bytes))
+    # 20 documents at least: by luck a language would otherwise have none
+    dictionary_bytes, sample_docs = max(8, int(dictionary_bytes * part)), max(min(sample_docs, 20), int(sample_docs * part))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, sample_docs / r["count"])) for r in counts], "lang string, share double")
     luck = F.shiftrightunsigned(F.xxhash64(F.lit("language"), F.col("doc_id")), 11) / F.lit(float(1 << 53))
-    chosen: Column = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (luck < min(1.0, sample_docs / row["count"])))
     # a language has about sample_docs rows in the sample; the limit bounds it where many rows share an id
-    sample = known.where(chosen).select("lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("doc_id").alias("key"))
+    places = F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1
+    window = F.substring("text", (F.pmod(F.xxhash64(F.lit("window"), "doc_id", "text"), places) + 1).cast("int"), F.lit(sample_chars))
+    sample = known.join(F.broadcast(shares), "lang").where(luck < F.col("share")).select("lang", window.alias("text"), F.xxhash64("doc_id").alias("key"))
     rows = sample.orderBy("key", "lang", "text").limit(2 * sample_docs * len(counts)).collect()
 
     def build(rows) -> LanguageModel:

@@ -78,3 +78,19 @@ def test_sample_is_bounded_whatever_the_share_of_a_language(spark):
     df = spark.range(4000).selectExpr("id as doc_id", "concat('word ', cast(id as string), ' text of some length') as text", "if(id % 100 = 0, 'bb', 'aa') as lang")
     model = language.learn_languages(df, sample_docs=50, sample_chars=20)
     assert set(model.dictionaries) == {"aa", "bb"} and all(100 < len(d) < 50 * 2 * 21 for d in model.dictionaries.values())
+
+
+def test_no_language_is_left_out(spark):
+    """Many languages have smaller dictionaries; a rare one is predicted like the others."""
+    rows = [(k * 10 + i, " ".join(f"{chr(0x4E00 + 7 * k + j)}{chr(0x4E00 + 7 * k + (i + j) % 7)}" for j in range(7)), f"l{k:03}") for k in range(280) for i in range(4 if k < 270 else 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn_languages(df, total_bytes=280 * 100)
+    assert len(model.dictionaries) == 280 and all(8 <= len(d) <= 110 for d in model.dictionaries.values())
+    assert [model.predict(t)[0] for _, t, lang in rows[-3:]] == [lang for _, _, lang in rows[-3:]]
+
+
+def test_a_foreign_beginning_is_not_all_that_is_learned(spark):
+    head = "this page is not available in your language please read on below "
+    rows = [(i, head + " ".join(random.Random(i).choice(["maan", "kivi", "talo", "vesi", "puu", "yksi"]) for _ in range(60)), "fi") for i in range(30)]
+    model = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=len(head))
+    assert b"kivi" in model.dictionaries["fi"]
