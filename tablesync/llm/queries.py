@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, kneser_ney, language, packing, pii, quality, sharding, topk, warc
+from . import decontamination, jaccard, kneser_ney, language, merkle, packing, pii, quality, sharding, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -156,3 +156,73 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     return sharding.shuffle_into_shards(rows, 24, seed=20240).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# CRC-32 in SQL, byte by byte and bit by bit
+def _crc32_sql(text: str) -> str:
+    octets = f"list_transform(range(0, octet_length(encode({text}))::bigint), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::bigint, 2))::bigint)"
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, d: xor(c >> 1, 3988292384 * (c & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, {octets}), lambda a, b: {bits}))"
+
+
+def _leaf_sql(text: str) -> str:
+    def told(c):
+        return f"coalesce(strlen(({c})::varchar) || ':' || ({c})::varchar, '-')"
+
+    return f"sha256({' || '.join(map(told, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree_sql(name: str, leaves: str, tree: str) -> str:
+    """Levels of the trees over ``leaves`` (tree, pos, n, h) and the siblings of every node."""
+    return f"""
+{name}(lvl, tree, pos, n, h) as (
+  select 0::bigint, {tree}, pos, n, h from {leaves}
+  union all
+  select lvl + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' order by pos)) from {name} where n > 1 group by lvl, tree, pos // 3, n),
+{name}_beside as (
+  select lvl, tree, pos,
+    coalesce(string_agg(h, '') over (run order by pos rows between unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(h, '') over (run order by pos rows between 1 following and unbounded following), '') as r
+  from {name} where n > 1 window run as (partition by lvl, tree, pos // 3)),
+{name}_top as (select tree, h, max(lvl) as lvl from {name} where n = 1 group by tree, h)"""
+
+
+OP11_SQL = f"""
+with recursive docs as (
+  select doc_id, coalesce('=' || source, '') as tree, {_leaf_sql('text')} as h,
+    case when {_crc32_sql('doc_id::varchar')} % 2 = 0 then {_leaf_sql("replace(text, chr(10), '')")} else {_leaf_sql('text')} end as seen from documents),
+leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, h) - 1 as pos, count(*) over (partition by tree) as n,
+    row_number() over () as id from docs),
+{_tree_sql('low', 'leaves', 'tree')},
+groups as (select tree as name, h, row_number() over (order by tree) - 1 as pos, count(*) over () as n from low where n = 1),
+{_tree_sql('high', 'groups', "''")},
+steps as (
+  select id, row_number() over (partition by id order by part, lvl) as step, l, r from (
+    select id, 0 as part, b.lvl, l, r from leaves v join low_beside b on b.tree = v.tree and b.pos = v.pos // (3 ** b.lvl)::bigint
+    union all
+    select id, 1, b.lvl, l, r from leaves v join groups g on g.name = v.tree join high_beside b on b.pos = g.pos // (3 ** b.lvl)::bigint)),
+fold(id, step, h) as (
+  select id, 0::bigint, seen from leaves
+  union all
+  select f.id, f.step + 1, sha256(s.l || f.h || s.r) from fold f join steps s on s.id = f.id and s.step = f.step + 1),
+ends as (select id, max_by(h, step) as h from fold group by id),
+proofs as (select id, sha256(string_agg(l || r, '' order by step)) as h from steps group by id)
+select v.doc_id, v.h as leaf, g.h as subroot, t.h as root, coalesce(p.h, sha256('')) as proof_sha256, e.h as folded_root, e.h = t.h as verified
+from leaves v join groups g on g.name = v.tree join (select h from high where n = 1) t on true
+left join proofs p using (id) join ends e using (id)
+"""
+
+
+@_query("op11_merkle", OP11_SQL)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def as_leaf(text: Column) -> Column:
+        return merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+
+    bare = F.when(_fold(2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "source", as_leaf(F.col("text")).alias("leaf"), as_leaf(bare).alias("seen"))
+    built = merkle.build(rows, F.col("source"), F.col("doc_id"), F.col("leaf"))
+    back = merkle.folded(F.col("row.seen"), F.col("path"))
+    return built.select(
+        "row.doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
