@@ -131,6 +131,7 @@ def build(rows: DataFrame, group: Column, key: Column, digest: Column, levels: i
     packed = rows.select(
         F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("")).alias("tree"), key.alias("key"), digest.alias("digest"),
         F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+    packed = upper(packed, "leaves").read()  # the ranges are sampled before they are cut: rows are hashed once
     passes, subroots = _climb(_numbered(packed, hold), upper, levels)
     groups = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("key"), "digest", F.struct("tree").alias("row"))
     over, top = _climb(_numbered(groups, upper), upper, levels)
