@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, kneser_ney, language, merkle, packing, pii, quality, sharding, topk, warc
+from . import decontamination, jaccard, kneser_ney, language, merkle, packing, pii, quality, sharding, spelling, topk, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -226,3 +226,36 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.select(
         "row.doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
         back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP12_SQL = f"""
+with recursive runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) as run
+  from documents),
+counted as (select doc_id, run, count(*) as times from runs group by all),
+marked as (select run, times, {_crc32_sql("coalesce(doc_id::varchar, '') || ':' || run")} as h from counted),
+slipped as (
+  select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run) + 2)::int) else run end as word, times from marked),
+words as (select word, sum(times)::bigint as n from slipped where length(word) >= 5 group by word having sum(times) >= 3),
+cuts as (select word, n, i, substr(word, 1, (i - 1)::int) || substr(word, (i + 1)::int) as cut from words, lateral (select unnest(range(1, length(word) + 1)) as i)),
+near as (
+  select a.word, a.n, b.word as other, b.n as m from cuts a join cuts b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+  union select a.word, a.n, b.word, b.n from cuts a join words b on a.cut = b.word
+  union select b.word, b.n, a.word, a.n from cuts a join words b on a.cut = b.word),
+best as (select word, other, m, count(*) over (partition by word) as n_near, row_number() over (partition by word order by m desc, other) as r from near),
+formed as (
+  select w.word, w.n, coalesce(b.n_near, 0)::bigint as n_near, case when b.m >= 2 * w.n then b.other end as form, case when b.m >= 2 * w.n then b.m end as form_n
+  from words w left join best b on b.word = w.word and b.r = 1),
+chain as (
+  select word, word as at, form as next from formed
+  union all
+  select c.word, f.word, f.form from chain c join formed f on f.word = c.next)
+select f.word, f.n, f.n_near, f.form, f.form_n, c.at as root from formed f join chain c on c.word = f.word and c.next is null
+"""
+
+
+@_query("op12_spelling", OP12_SQL)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.lowered_runs(F.col("text"))).alias("run"))
+    found = spelling.variants(runs.select(spelling.with_slips(F.col("doc_id"), F.col("run")).alias("word")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
