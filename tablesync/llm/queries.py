@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, kneser_ney, language, merkle, packing, pii, quality, sharding, spelling, topk, warc
+from . import decontamination, jaccard, kneser_ney, language, merkle, packing, pii, quality, sharding, spelling, topk, urls, warc
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -259,3 +259,12 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.lowered_runs(F.col("text"))).alias("run"))
     found = spelling.variants(runs.select(spelling.with_slips(F.col("doc_id"), F.col("run")).alias("word")))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+RULES = (urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/"))
+
+
+@_query("op13_url_filter")
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "score")
