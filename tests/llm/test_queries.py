@@ -15,7 +15,7 @@ def test_same_rows_as_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert sorted(numbers) == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
 COLUMNS = {
@@ -29,6 +29,9 @@ COLUMNS = {
     "op8_top_k": ["query_id", "rank", "vec_id", "score"],
     "op9_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op10_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13_url_filter": ["page_id", "host", "path", "rule", "verdict"],
 }
 
 
@@ -36,7 +39,7 @@ COLUMNS = {
 def test_columns_of_the_contract(spark, name):
     out = QUERIES[name](spark, SF)
     assert set(COLUMNS[name]) <= set(out.columns)
-    per_row = {"documents": ("op2", "op3", "op5", "op6", "op7", "op10"), "pages": ("op1",)}
+    per_row = {"documents": ("op2", "op3", "op5", "op6", "op7", "op10", "op11"), "pages": ("op1", "op13")}
     for table, names in per_row.items():
         if name.split("_")[0] in names:
             assert out.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
