@@ -245,7 +245,7 @@ def published_table(spec: TableSpec, spark: SparkSession, root: str) -> Publishe
     if spec.buckets:
         return BucketedTable(spark, root, spec.dataset, spec.target, spec.key, spec.buckets)
     if spec.by_month and spec.publish == "keyed":
-        return PartitionedTable(spark, root, spec.dataset, spec.target)
+        return PartitionedTable(spark, root, spec.dataset, spec.target, key=spec.key)
     return PublishedTable(spark, root, spec.dataset, spec.target)
 
 
