@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions import lattice, times
+from tablesync.operators.arrival import keep_first_arrived, with_arrival
+from tablesync.operators.reconcile import differing_keys
+from tablesync.operators.slices import slice_edges, slice_predicates
+from tablesync.operators.window import Window, change_window
+from tablesync.plans.ledger import RunLedger
 from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.staging import shared_folder
 
-from .base import RUN_TS, Tables, query
+from .base import LOWER, RUN_TS, UPPER, WINDOW, Tables, query
 
 
 def _monthly(t: Tables, name: str, **more) -> PartitionedTable:
@@ -99,3 +104,53 @@ def _(t: Tables) -> DataFrame:
         (F.lit("18446744073709551615").cast("decimal(20,0)") - F.col("c_custkey")).cast("decimal(20,0)").cast("string").alias("huge"), F.col("c_name").alias("name"),
         F.concat(F.col("c_custkey").cast("string"), F.lit("x")).alias("almost"))
     return lattice.reinfer(rows)
+
+
+@query("dedupe_arrival", """
+select * exclude (place, rn) from (select *, row_number() over (partition by l_orderkey order by place) as rn
+  from (select *, row_number() over () as place from {lineitem})) where rn = 1""")
+def _(t: Tables) -> DataFrame:
+    # the first line of each order as the file has them, whatever the partitions
+    return keep_first_arrived(with_arrival(t.lineitem).repartition(7), "l_orderkey")
+
+
+@query("depth_slices", "select * replace (case when event_id % 3 = 0 then timestamp '2024-01-10 00:00:00' else ts end as ts) from {events}")
+def _(t: Tables) -> DataFrame:
+    # a third of the rows share one time, as after a bulk update; the slices together hold every row once
+    rows = t.events.withColumn("ts", F.when(F.col("event_id") % 3 == 0, times.at(datetime(2024, 1, 10))).otherwise(F.col("ts")))
+    parts = [rows.where(p) for p in slice_predicates(slice_edges(rows, "ts", "event_id", 6), "ts", "event_id")]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@query("reconcile", """
+select o_orderkey, case when o_orderkey % 97 = 5 then 'missing' when o_orderkey % 89 = 7 then 'changed' else 'extra' end as status from (
+  select o_orderkey from {orders} where o_orderkey % 97 = 5 or o_orderkey % 89 = 7
+  union all select -o_orderkey - 1 from {orders} where o_orderkey % 101 = 3)""")
+def _(t: Tables) -> DataFrame:
+    # rows a change window never shows: deleted, written late, and left behind
+    k = F.col("o_orderkey")
+    late = F.when(k % 89 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    extra = t.orders.where(k % 101 == 3).withColumn("o_orderkey", -k - 1)
+    target = t.orders.where(k % 97 != 5).withColumn("o_totalprice", late).unionByName(extra)
+    return differing_keys(t.orders, target, "o_orderkey", small=500)
+
+
+@query("ledger_runs", f"select * from {{events}} where ts >= {LOWER} - interval '3' day and ts < {UPPER}")
+def _(t: Tables) -> DataFrame:
+    # a run two days later makes up the skipped ones, a repeated one reads nothing; together they hold every change once
+    ledger, seen = RunLedger(t.spark, shared_folder(t.spark), uuid.uuid4().hex, "events"), []
+
+    def work(window: Window) -> None:
+        seen.append(change_window(t.events, "ts", window))
+
+    start = WINDOW.lower - timedelta(days=3)
+    ledger.run(start + timedelta(days=1), work, start)
+    for _ in range(2):
+        ledger.run(WINDOW.upper, work)
+    whole = seen[0]
+    for rows in seen[1:]:
+        whole = whole.unionByName(rows)
+    return whole

@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.lattice import reinfer
 from ..functions.masks import mask_table
 from ..functions.text import na_normalise, to_text
 from ..functions.times import shift_hours, to_time_coerce, to_time_strict
 from ..functions.types import align_to_target, first_declared, to_double, to_whole, type_sync
 from ..operators import columns as cols
 from ..operators.aggregates import dedupe_keep_first, observe_profile
+from ..operators.arrival import ARRIVAL, keep_first_arrived, with_arrival
 from ..operators.joins import fan_out, lookup, preagg_join
 from ..operators.replace import full_refresh, keyed_replace
 from ..operators.window import Window, change_window, changed_groups, daily_window
@@ -55,6 +57,7 @@ def changed_rows(spec: TableSpec, catalog: Catalog, run: datetime | Window) -> D
         base = change_window(catalog.scan(spec.source, window), "updated_at", window)
         if spec.whole_groups:
             base = changed_groups(catalog.scan(spec.source), "updated_at", window, spec.whole_groups, base)
+    base = with_arrival(base) if spec.first_arrived else base
     return cols.all_non_zero(base, spec.non_zero)
 
 
@@ -89,7 +92,7 @@ def enriched(
     for new, column in spec.copies.items():
         df = cols.copy_column(df, column, new)
     if spec.columns:
-        df = cols.project(df, spec.columns)
+        df = cols.project(df, (*spec.columns, *([ARRIVAL] if spec.first_arrived else [])))
     df = cols.drop_and_sort_columns(df, spec.drops) if spec.sort_columns else cols.drop_columns(df, spec.drops)
     return cols.rename_swap(df, spec.early_names) if spec.early_names else df
 
@@ -125,11 +128,15 @@ def _cast(kind: str, name: str, dtype: T.DataType, spell_null: bool) -> Column:
 
 def settled(spec: TableSpec, df: DataFrame, catalog: Catalog) -> DataFrame:
     """Missing values, declared types, final names and casts: the rows to publish."""
-    if spec.reload == "plain":
+    if spec.reload in ("plain", "inferred"):
         df = na_normalise(df)
+    if spec.reload == "inferred":
+        df = reinfer(df, [c for c in df.columns if c != ARRIVAL])
     if spec.sync:
         df = type_sync(df, _declared(spec, catalog))
     df = cols.rename_swap(df, spec.final_names)
+    if spec.first_arrived:
+        df = keep_first_arrived(df, spec.key)
     if spec.dedupe_order:
         df = dedupe_keep_first(df, spec.key, spec.dedupe_order)
     if spec.overwrite:
@@ -216,7 +223,7 @@ def run_job(
             full = staging(full, "joined")
         shown = masked(spec, full)
         day = window.lower.date()
-        snapshot = snapshot_csv(shown, snapshots, snapshot_name(spec), day) if snapshots and spec.snapshot else None
+        snapshot = snapshot_csv(shown.drop(ARRIVAL), snapshots, snapshot_name(spec), day) if snapshots and spec.snapshot else None
         # counted while being written: no pass of its own
         rows, profile = observe_profile(settled(spec, shown, catalog), f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}")
         if spec.publish == "keyed":  # rows, their months and their count come of one reading

@@ -55,9 +55,10 @@ class TableSpec:
     value_masks: tuple[str, ...] = ()
     flag_masks: tuple[str, ...] = ()
     snapshot: bool = True
-    reload: str | None = "plain"  # missing-value tokens become NULL: plain, lenient, or not at all
+    reload: str | None = "plain"  # missing-value tokens become NULL: plain, lenient, inferred (types are judged anew), or not at all
     sync: bool = True
     dedupe_order: tuple[str, ...] = ()
+    first_arrived: bool = False  # of rows of one key the first one read stays
     overwrite: Mapping[str, str] = field(default_factory=dict)  # column -> column it is set from
     casts: Mapping[str, str] = field(default_factory=dict)  # whole, double, text, time, time_or_null
     text_nulls: bool = False  # text casts spell NULL out

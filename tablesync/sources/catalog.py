@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.types import declared_pairs
+from ..operators.slices import literal, slice_edges, slice_predicates
 from ..operators.window import Window
 
 __all__ = ["Catalog", "ParquetCatalog", "JdbcCatalog", "FrameCatalog"]
@@ -64,6 +65,9 @@ class JdbcCatalog:
     ``slice_column`` where it has that one; only a table with neither is read in one task. For a join,
     ``scan_matching`` asks only for the rows of the given keys where those are few.
 
+    With ``equal_depth``, a table that has ``key_column`` (or ``key_by[table]``) is cut into slices of about equal numbers of rows instead: time and key
+    alone are read first, and the edges taken from them also cut a time that many rows share.
+
     ``namespaces`` maps the namespaces of the specs to database names. ``fetch_rows`` rows come in one round trip (a MySQL
     driver needs ``useCursorFetch=true`` in the URL for it). Timestamps are read without a zone. Declared types are the database's own.
     """
@@ -72,11 +76,13 @@ class JdbcCatalog:
         self, spark: SparkSession, url: str, properties: Mapping[str, str], slices: int = 8,
         slice_by: Mapping[str, str] | None = None, slice_column: str | None = "created_at", fetch_rows: int = 10_000,
         namespaces: Mapping[str, str] | None = None, match_keys: int = 20_000,
+        equal_depth: bool = False, key_column: str = "uuid", key_by: Mapping[str, str] | None = None,
     ):
         if slices < 1:
             raise ValueError("at least one slice")
         self.spark, self.url, self.slices, self.slice_by = spark, url, slices, dict(slice_by or {})
         self.slice_column, self.namespaces, self.match_keys = slice_column, dict(namespaces or {}), match_keys
+        self.equal_depth, self.key_column, self.key_by = equal_depth, key_column, dict(key_by or {})
         self.properties = {"preferTimestampNTZ": "true", "fetchsize": str(fetch_rows), **properties}
 
     def named(self, table: str) -> str:
@@ -101,11 +107,6 @@ class JdbcCatalog:
 
     def matching_predicates(self, column: str, keys: list) -> list[str]:
         """Lists of the keys, one for each slice."""
-        def literal(v) -> str:
-            if isinstance(v, bool) or not isinstance(v, (int, str)):
-                raise TypeError(f"a key of type {type(v).__name__}")
-            return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "''") + "'"
-
         size = -(-len(keys) // self.slices) if keys else 1
         parts = [keys[i:i + size] for i in range(0, len(keys), size)]
         return [f"{column} IN ({', '.join(map(literal, p))})" for p in parts] or ["1 = 0"]
@@ -127,12 +128,23 @@ class JdbcCatalog:
 
     def scan(self, table: str, window: Window | None = None, column: str = "updated_at") -> DataFrame:
         if window is not None:
-            return self._read(table, self.predicates(window, column))
+            return self._read(table, self._by_depth(table, self.predicates(window, column), column, window))
         column = self._slice_column(table)
         if column is None:
             return self._read(table, None)
         bounds = self._query(f"SELECT min({column}) AS lo, max({column}) AS hi FROM {self.named(table)}").first()
-        return self._read(table, self.whole_predicates(bounds["lo"], bounds["hi"], column))
+        return self._read(table, self._by_depth(table, self.whole_predicates(bounds["lo"], bounds["hi"], column), column))
+
+    def _by_depth(self, table: str, even: list[str], column: str, window: Window | None = None) -> list[str]:
+        """Slices of about equal numbers of rows, from time and key read by the even ones; those where this is not asked for or there is no key."""
+        key = self.key_by.get(table, self.key_column)
+        if not self.equal_depth or key.lower() not in {field.lower() for field, _ in self.declared(table)}:
+            return even
+        cut = slice_predicates(slice_edges(self._read(table, even), column, key, self.slices), column, key)
+        if window is None:
+            return cut
+        inside = f"{column} >= '{window.lower:%Y-%m-%d %H:%M:%S.%f}' AND {column} < '{window.upper:%Y-%m-%d %H:%M:%S.%f}'"
+        return [f"{inside} AND ({p})" for p in cut if p != f"{column} IS NULL"]
 
     def scan_matching(self, table: str, column: str, keys: DataFrame) -> DataFrame | None:
         """The rows whose ``column`` is among the keys (column ``key``); None where those are more than ``match_keys``."""
