@@ -9,7 +9,8 @@ ends chooses boundaries and types together. Added spans are those of the best la
 
 Weights maximise the likelihood of the pattern matches in the zones of a bounded sample (``sample_docs`` documents
 with digits or ``@``, first by a hash of the id, at most ``sample_zones`` zones). Zones where a match
-was too long are left out, as there the patterns say nothing about what is inside.
+was too long are left out of it, as there the patterns say nothing about what is inside, and so are zones of more than ``LONGEST_EXAMPLE``
+characters, which would outweigh all others; both are searched like any other.
 
 Defined results: NULL is the empty text, which has no spans. Positions count code points, ends are exclusive. Equal rows
 give equal results; an empty table none; without training zones nothing is added.
@@ -32,6 +33,7 @@ __all__ = ["KINDS", "PiiModel", "base_spans", "find_pii", "learn_pii", "redact"]
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 8
+LONGEST_EXAMPLE = 200
 
 Span = tuple[str, int, int]
 
@@ -52,13 +54,13 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def _run_before(text: str, low: int, end: int) -> int:
-    """Where the run of local-part characters that ends at ``end`` begins, not before ``low``."""
+def _run_before(text: str, low: int, end: int, of: str = _LOCAL) -> int:
+    """Where the run of some characters (those of a local part) that ends at ``end`` begins, not before ``low``."""
     size = 64
     while True:
         start = max(low, end - size)
         piece = text[start:end]
-        kept = len(piece.rstrip(_LOCAL))
+        kept = len(piece.rstrip(of))
         if kept or start == low:
             return start + kept
         size *= 4
@@ -98,9 +100,11 @@ def base_spans(text: str) -> list[Span]:
     return _sorted(m[:3] for m in _matches(text) if m[3])
 
 
-_ZONE = re.compile(r"[+(]*[0-9][0-9 ().+-]*")
+# runs are taken whole and only from their beginning, so a text of any length is read once
+_ZONE = re.compile(r"(?<![+(])[+(]*+[0-9][0-9 ().+-]*+")
 _RUN = re.compile(r"[0-9]+")
-_WORD_AT = re.compile(r"[^\s@<>,;:\"'()\[\]]{1,64}@[^\s@<>,;:\"'()\[\]]{1,255}")
+_PLACE = r"\s@<>,;:\"'()\[\]"
+_WORD_AT = re.compile(f"(?<![^{_PLACE}])[^{_PLACE}]++@[^{_PLACE}]++")
 
 
 def zones(text: str) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
@@ -123,11 +127,7 @@ def _edge(c: str) -> str:
 
 def _segment(text: str, atoms: list[tuple[int, int]], i: int, j: int) -> tuple[int, int]:
     """The span of atoms i to j, with a plus or bracket that opens it."""
-    start, end = atoms[i][0], atoms[j - 1][1]
-    low = atoms[i - 1][1] if i else 0
-    while start > low and text[start - 1] in "+(":
-        start -= 1
-    return start, end
+    return _run_before(text, atoms[i - 1][1] if i else 0, atoms[i][0], "+("), atoms[j - 1][1]
 
 
 def features(text: str, atoms: list[tuple[int, int]], i: int, j: int, kind: str) -> list[str] | None:
@@ -263,7 +263,7 @@ def _examples(text: str) -> Iterator[tuple[int, list, list[int]]]:
     long = [(a, b) for _, a, b, _, too_long in found if too_long]
     for sort, start, atoms in zones(text):
         end = atoms[-1][1]
-        if end - start > 200 or any(a < end and start < b for a, b in long):
+        if end - start > LONGEST_EXAMPLE or any(a < end and start < b for a, b in long):
             continue
         segments = list(candidates(text, sort, atoms))
         if segments:

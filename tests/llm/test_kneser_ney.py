@@ -98,3 +98,35 @@ def test_packing_of_columns():
     rows = list(kneser_ney._cut("word", [keys, keys], keys, 7))
     back = np.concatenate([kneser_ney._unpack(d, (np.uint64, np.uint64))[1] for _, _, d in rows])
     assert (back == keys).all() and [p for _, p, _ in rows] == list(range(7))
+
+
+def test_counts_beyond_32_bits_are_kept(tmp_path):
+    root = tmp_path.as_uri()
+    keys, counts = np.array([3, 7, 9], np.uint64), np.array([5_000_000_000, 1, 2 ** 32 - 1], np.int64)
+    for kind, columns in (("bigram", [counts]), ("before", [counts]), ("context", [counts * 2, counts, counts, counts])):
+        for held in (columns, [c % 1000 for c in columns]):
+            filed = kneser_ney._filed(root, kind, 0, [keys, *held])
+            model = kneser_ney.KneserNey(root, 1, words=20, files={(kind, 0): (filed["file"], filed["n"])})
+            found = model.find(kind, np.array([3, 5, 7, 9], np.uint64))
+            assert [list(map(int, f)) for f in found] == [[int(c[0]), 0, int(c[1]), int(c[2])] for c in held]
+    assert len(list(tmp_path.glob("*-wide-*"))) == 3 and kneser_ney._filed(root, "bigram", 1, [keys, counts])["total"] == int(counts.sum())
+
+
+def test_the_whole_query(spark):
+    from zlib import crc32
+
+    from tablesync.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: tokens(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    held = {d: crc32(str(d).encode()) % 10 == 0 for d in docs}
+    counts = Counter(w for d, words in docs.items() if not held[d] for w in words)
+    n, v = sum(counts.values()), len(counts)
+    rows = QUERIES["op7_kneser_ney"](spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        words = docs[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[r["doc_id"]], len(words), sum(w in counts for w in words), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words), rel=1e-9)
+    fresh = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in fresh) > sum(r["base_score"] for r in fresh)

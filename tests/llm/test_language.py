@@ -94,3 +94,11 @@ def test_a_foreign_beginning_is_not_all_that_is_learned(spark):
     rows = [(i, head + " ".join(random.Random(i).choice(["maan", "kivi", "talo", "vesi", "puu", "yksi"]) for _ in range(60)), "fi") for i in range(30)]
     model = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=len(head))
     assert b"kivi" in model.dictionaries["fi"]
+
+
+def test_a_language_of_a_few_letters_is_learned(spark):
+    rows = [(i, t, "en") for i, t in enumerate(texts("en", 30))] + [(99, "ĝis", "eo"), (100, "12 34", "none")]
+    model = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(model.dictionaries) == ["en", "eo"] and len(model.dictionaries["eo"]) >= 8
+    # four bytes are the same size with every dictionary: a tie, rejected; more of them are not
+    assert model.predict("ĝis")[2] and model.predict("ĝis " * 36)[0] == "eo" and model.predict(texts("en", 1, 3)[0])[0] == "en"

@@ -123,3 +123,34 @@ def test_operators_keep_a_solution_whole():
     assert packing._to_bins(packing._to_bytes(one, 200)) == [sorted(b) for b in one]
     better = packing.evolve(sizes, 100, [one], 3, generations=10)
     assert island.fitness(better[0]) >= island.fitness(one)
+
+
+def test_the_whole_query(spark):
+    from zlib import crc32
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from tablesync.llm.queries import QUERIES, tokenizer_files
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    names = sorted(texts)
+    coded = Tokenizer.from_file(str(tokenizer_files()[0])).encode_batch([texts[d] for d in names], add_special_tokens=False)
+    ids = {d: np.array([*c.ids, 2], dtype="<u4") for d, c in zip(names, coded)}
+    pieces, sequences = {}, {}
+    for r in QUERIES["op9_packing"](spark, sf).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sorted(pieces) == names
+    for d, held in pieces.items():
+        held.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in held] == list(range(len(held))) and all(r["length"] == 1024 for r in held[1:] if len(held) > 1)
+        at = 0
+        for r in held:
+            assert r["start"] == at and r["ids_crc32"] == crc32(ids[d][at:at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids[d]) and (len(held) == 1 or at > 1024)
+    for places in sequences.values():
+        places.sort()
+        assert [p[0] for p in places] == [sum(n for _, n in places[:i]) for i in range(len(places))] and sum(n for _, n in places) <= 1024

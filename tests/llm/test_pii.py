@@ -1,13 +1,16 @@
+import hashlib
 import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from tablesync.llm import pii
+from tablesync.llm.queries import QUERIES
 
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -154,3 +157,43 @@ def test_redaction(spark, model):
     df = spark.createDataFrame([(1, f"to {PHONE}", None), (2, None, 3)], "doc_id long, text string, n_chars long")
     out = pii.redact_texts(df, model)
     assert out.schema == df.schema and [tuple(r) for r in out.collect()] == [(1, "to [PHONE]", None), (2, None, 3)]
+
+
+def test_runs_of_any_length_are_read_once(model):
+    runs = ("+" * 10 ** 6, "(" * 10 ** 6, "(+" * 500_000, "x" * 10 ** 6, "x" * 10 ** 6 + "@")
+    with_zones = ("a@" * 500_000, "1" + "(" * 10 ** 6 + "2345678901234 5", "+1 (" * 250_000)  # up to 250,000 zones to decode
+    for seconds, texts in ((1, runs), (20, with_zones)):
+        for text in texts:
+            start = time.perf_counter()
+            pii.redact(text, model)
+            assert time.perf_counter() - start < seconds, text[:20]
+
+
+def test_zones_are_those_of_the_plain_patterns():
+    rng = random.Random(8)
+    for _ in range(2000):
+        text = "".join(rng.choice("+((1 2.-)ax@") for _ in range(rng.randint(1, 30)))
+        plain_zones = [m.span() for m in re.finditer(r"[+(]*[0-9][0-9 ().+-]*", text)]
+        assert [m.span() for m in pii._ZONE.finditer(text)] == plain_zones
+        assert [m.span() for m in pii._WORD_AT.finditer(text)] == [m.span() for m in re.finditer(r"[^\s@()]+@[^\s@()]+", text)]
+
+
+def test_long_addresses_are_redacted_whole(spark):
+    model = pii.learn_pii(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    for local, domain in (("ü" * 100, "mail.de"), ("a.b" * 300, "mail.example.com"), ("x" * 20, "d" * 400 + ".com")):
+        assert pii.redact(f"to {local}@{domain} now", model) == "to [EMAIL] now"
+
+
+def test_the_whole_query(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op6_pii"](spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        base = plain(texts[r["doc_id"]])
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        spans = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)]
+        assert set(base) <= set(spans) and spans == sorted(spans, key=lambda s: (s[1], pii.KINDS.index(s[0]), s[2]))
+        assert all(0 <= a < b <= len(texts[r["doc_id"]]) for _, a, b in spans)

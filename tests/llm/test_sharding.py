@@ -86,3 +86,19 @@ def test_matrix_has_the_margins(spark):
 def test_main_path_is_native(spark):
     plan = shuffle_into_shards(spark.range(100).select(F.col("id").alias("doc_id")), 4)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_the_whole_query(spark):
+    from collections import Counter
+    from zlib import crc32
+
+    from tablesync.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op10_sharding"](spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    assert all((r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(texts[r["doc_id"]]) + 8, crc32(texts[r["doc_id"]]), "rows", None) for r in rows)
+    shards = Counter(r["shard"] for r in rows)
+    assert set(shards) == set(range(24)) and max(shards.values()) - min(shards.values()) <= 1
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, i) for s in range(24) for i in range(shards[s])]
