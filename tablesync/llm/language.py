@@ -106,7 +106,9 @@ def learn_languages(
                 parts.setdefault(lang, []).append(part[: room[lang]])
                 room[lang] -= len(part)
         joined = {lang: b" ".join(p) for lang, p in parts.items()}
-        return LanguageModel({r["lang"]: joined[r["lang"]] for r in counts if len(joined.get(r["lang"], b"")) >= 8}, **options)
+        # a dictionary has 8 bytes at least: shorter content is repeated
+        whole = {lang: content if len(content) >= 8 else (content + b" ") * 8 for lang, content in joined.items()}
+        return LanguageModel({r["lang"]: whole[r["lang"]] for r in counts if r["lang"] in whole}, **options)
 
     pairs = [(r["lang"], r["text"]) for r in rows]
     first = build(pairs)
