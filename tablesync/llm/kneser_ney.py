@@ -43,7 +43,7 @@ PART_BYTES = 16 << 20  # of text; parts grow instead of becoming more than
 MAX_PARTS = 1 << 16
 END = mix(np.array([2], dtype=np.uint64))[0]
 
-#: The columns behind the key of each kind of table.
+#: The columns behind the key of each kind of table; a file with a value beyond them has 64 bits for all.
 VALUES = {
     "word": (np.uint64,),  # count
     "bigram": (np.uint32,),  # count
@@ -157,7 +157,7 @@ class KneserNey:
 
     def find(self, kind: str, keys: np.ndarray) -> list[np.ndarray]:
         """The values of the rising keys, 0 where a key is unknown; of words first their numbers (unknown: one above all)."""
-        out = [np.zeros(len(keys), dtype=k) for k in VALUES[kind]]
+        out = [np.zeros(len(keys), dtype=np.uint64) for _ in VALUES[kind]]
         numbers = np.full(len(keys), self.words + 1, dtype=np.uint64)
         of = _part_of(kind, keys, self.parts, self.words)
         order = np.argsort(of, kind="stable")
@@ -244,10 +244,12 @@ def _store(uri: str):
 
 def _write(root: str, kind: str, columns: list[np.ndarray]) -> str:
     store, folder = _store(root)
-    name = f"{kind}-{uuid.uuid4().hex}"
+    kinds = (np.uint64, *VALUES[kind])
+    wide = any(len(c) and int(c.max()) > np.iinfo(k).max for c, k in zip(columns, kinds))
+    name = f"{kind}-{'wide-' if wide else ''}{uuid.uuid4().hex}"
     with store.open_output_stream(f"{folder}/{name}", compression=None) as out:
-        for c in columns:
-            out.write(c.tobytes())
+        for c, k in zip(columns, kinds):
+            out.write(c.astype(np.uint64 if wide else k).tobytes())
     return name
 
 
@@ -266,6 +268,7 @@ def _filed(root: str, kind: str, part: int, columns: list[np.ndarray]) -> dict:
 def _mapped(root: str, kind: str, file: str, n: int) -> list[np.ndarray]:
     store, folder = _store(root)
     kinds, path = (np.uint64, *VALUES[kind]), f"{folder}/{file}"
+    kinds = (np.uint64,) * len(kinds) if file.startswith(f"{kind}-wide-") else kinds
     if store.type_name == "local":
         raw = np.memmap(path, dtype=np.uint8, mode="r")
     else:
@@ -317,7 +320,7 @@ def learn(docs: DataFrame) -> KneserNey:
         u, w, c = (np.concatenate([f[i] for f in found]) for i in range(3))
         keys, at, (n,) = _grouped(_pair(u, w, words), [c])
         u, w = u[at], w[at]
-        out = [{**_filed(root, *key, [keys, n.astype(np.uint32)]), "data": None}]
+        out = [{**_filed(root, *key, [keys, n]), "data": None}]
         ctx, _, sums = _grouped(u, [n, n == 1, n == 2, n > 2])
         after = _cut("context", [ctx, sums[0].astype(np.uint64), *(s.astype(np.uint32) for s in sums[1:])], ctx, parts, words)
         last, _, (left,) = _grouped(w, [np.ones(len(w), np.int64)])
@@ -330,7 +333,7 @@ def learn(docs: DataFrame) -> KneserNey:
         found = [_unpack(d, (np.uint64, *kinds)) for d in rows["data"]]
         columns = [np.concatenate([f[i] for f in found]) for i in range(1 + len(kinds))]
         keys, _, sums = _grouped(columns[0], columns[1:])
-        return pd.DataFrame([_filed(root, *key, [keys, *(s.astype(k) for s, k in zip(sums, kinds))])], columns=_FILE)
+        return pd.DataFrame([_filed(root, *key, [keys, *sums])], columns=_FILE)
 
     sent = texts.mapInArrow(_pair_counts(model), blobs)
     held = stage(sent.groupBy("kind", "part").applyInPandas(merge_pairs, FILES + ", data binary"), "ngram-parts")
