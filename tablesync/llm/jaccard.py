@@ -216,8 +216,10 @@ def _candidates(entries: DataFrame, percent: int, hold: Scratch) -> DataFrame:
     near = hold(near.select("a", "b").distinct(), "near-components").read()
 
     # a component of very many entries is not gathered, and goes on uncounted
-    few = entries.groupBy("label").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") <= 4 * CHUNK_ENTRIES).select("label")
-    whole = hold(entries.join(few, "label", "left_semi").groupBy("label").agg(
+    many = entries.groupBy("label").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > 4 * CHUNK_ENTRIES).select("label")
+    # staged, so its true size decides the join: where it is a broadcast, entries of a large component go before any exchange
+    many = hold(many, "large-components").read()
+    whole = hold(entries.join(many, "label", "left_anti").groupBy("label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.collect_set("token").alias("tokens")), "component-tokens").read()
 
     sides = near.join(whole.select(F.col("label").alias("a"), F.col("least").alias("a1"), F.col("most").alias("a2"), F.col("tokens").alias("ta")), "a", "left").join(
@@ -233,8 +235,11 @@ def _may_link(components: DataFrame, entries: DataFrame, percent: int, hold: Scr
     the other may have, but none before its last shared position. Components meet in chunks of bounded size.
     """
     held = entries.groupBy("label", "node").agg(F.max("n").alias("n"), F.collect_list("token").alias("t"), F.collect_list("pos").alias("p"))
-    chunks = entries.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ENTRIES).alias("chunks"))
-    held = held.join(chunks, "label").groupBy("label", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk")).agg(
+    chunks = entries.groupBy(F.col("label").alias("large")).agg(F.ceil(F.count(F.lit(1)) / CHUNK_ENTRIES).alias("chunks")).where("chunks > 1")
+    chunks = hold(chunks, "chunk-counts").read()  # its true size decides the join, as above
+    # the hash keeps the grouping from reusing the join's partitioning, which would bring a large component to one task
+    same = (F.xxhash64("label") == F.xxhash64("large")) & (F.col("label") == F.col("large"))
+    held = held.join(chunks, same, "left").groupBy("label", F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))).alias("chunk")).agg(
         F.collect_list(F.struct("node", "n", "t", "p")).alias("sets"))
     held = hold(held, "chunks").read()
 
