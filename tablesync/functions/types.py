@@ -89,12 +89,12 @@ def to_number(c: Column) -> Column:
 
 
 def _or_fail(c: Column, value: Column, what: str) -> Column:
-    """The value; a NULL made of something else fails the job, whatever the ANSI setting."""
-    failure = F.raise_error(F.concat(F.lit(f"{what}: "), c.cast("string")))
-    return F.when(c.isNotNull() & value.isNull(), failure).otherwise(value)
+    """The value; a NULL made of something else fails the job, whatever the ANSI setting. The value is worked out once."""
+    return F.coalesce(value, F.when(c.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: "), c.cast("string")))))
 
 
 _PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+_WITH_POWER = r"^\s*([+-]?)(\d*)\.?(\d*)[eE]([+-]?\d+)\s*$"
 
 
 def whole_or_null(c: Column, dtype: T.DataType | None = None) -> Column:
@@ -102,13 +102,12 @@ def whole_or_null(c: Column, dtype: T.DataType | None = None) -> Column:
     if dtype is None or isinstance(dtype, T.StringType):
         c = c.cast("string")
         # the digits before the point as they stand: no cast that could round them up
-        digits = F.regexp_extract(c, r"^\s*([+-]?\d*)", 1)
-        plain = F.when(digits.rlike(r"\d"), digits).otherwise(F.lit("0")).try_cast("decimal(38,0)")
-        power = F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
-        exact = F.trim(c).try_cast("decimal(38,18)")  # with an exponent, where it has room for the fraction
-        toward_zero = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
-        scaled = F.coalesce(toward_zero.try_cast("decimal(38,0)"), power.try_cast("decimal(38,0)"))
-        c = F.when(c.rlike(_PLAIN_NUMBER), plain).when(c.rlike(_NUMBER), scaled)
+        plain = F.regexp_replace(c, r"(?s)^\s*([+-]?)(\d*).*$", "$10$2")  # a zero between sign and digits, which may be none
+        sign, whole, fraction, power = (F.regexp_extract(c, _WITH_POWER, g) for g in range(1, 5))
+        # an exponent moves the point; 60 digits are too many for any whole number, unless all are zeros
+        point = F.greatest(F.least(F.length(whole) + power.try_cast("bigint"), F.lit(60)), F.lit(0)).cast("int")
+        moved = F.concat(sign, F.lit("0"), F.rpad(F.concat(whole, fraction), point, F.lit("0")))
+        c = F.when(c.rlike(_PLAIN_NUMBER), plain).when(c.rlike(_NUMBER), moved).try_cast("decimal(38,0)")
     return c.try_cast("bigint")
 
 

@@ -142,7 +142,10 @@ def settled(spec: TableSpec, df: DataFrame, catalog: Catalog) -> DataFrame:
     if spec.overwrite:
         df = df.withColumns({c: F.col(source) for c, source in spec.overwrite.items() if c in df.columns})
     types = {f.name: f.dataType for f in df.schema}
-    casts = {c: _cast(kind, c, types[c], spec.text_nulls) for c, kind in spec.casts.items() if c in types}
+    # a flag is 0 or 1, also where its declared type made it text: there is nothing to parse
+    casts = {
+        c: F.col(f"`{c}`").cast("bigint") if kind == "whole" and c in spec.flag_masks else _cast(kind, c, types[c], spec.text_nulls)
+        for c, kind in spec.casts.items() if c in types}
     return df.withColumns(casts) if casts else df
 
 

@@ -158,3 +158,22 @@ def test_align_to_target(spark):
     assert tuple(row) == (1, "5", datetime(2024, 1, 1, 2, 3, 4))
     target = T.StructType.fromDDL("b double, a string")
     assert types.align_to_target(df, target).dtypes == [("a", "string"), ("b", "double"), ("c", "string")]
+
+
+def test_whole_numbers_with_exponents_are_cut_off_exactly(spark):
+    from decimal import Decimal, localcontext
+
+    texts = ["0.9999999999999999999e0", "1e3", "-1.5e1", " +.5 ", "-.5", "12.", "1e400", "1e-400", "0e99", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
+             "922337203685477580799e-2", "5e18", "9.3e18", "-0.00000000000000000000001e23", "1e-99999999999", "123456789012345678.9999999999999999999999e1", "x", "1e", "12d", "nan", ".", ""]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(types.whole_or_null(F.col("t"))).collect()]
+
+    def plain(text):
+        try:
+            with localcontext() as c:
+                c.prec = 600
+                value = Decimal(text.strip()).to_integral_value("ROUND_DOWN")
+        except ArithmeticError:
+            return None
+        return int(value) if value.is_finite() and -(2 ** 63) <= value < 2 ** 63 else None
+
+    assert got == [plain(t) if t != "1e-99999999999" else 0 for t in texts]
