@@ -22,6 +22,7 @@ import base64
 import bisect
 import hashlib
 import math
+import os
 import re
 import uuid
 import zlib
@@ -38,7 +39,7 @@ from tablesync.sources.staging import Staged, shared_folder, stage
 __all__ = ["CaptureIndex", "build_index", "lookup", "url_key", "write_archives"]
 
 DIRECTORY = 1 << 16
-PREFIX = 128
+PREFIX = 1024  # of separators; they are as long as it takes to tell a block from the one before
 BLOCK_LINES = 256
 READ_BYTES = 4 << 20  # neighbouring records are read together up to this size
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -136,7 +137,11 @@ def write_archives(
 
 @dataclass
 class Directory:
-    """A prefix of each block's first key, sorted, and the blocks' names."""
+    """What separates each block from the one before, sorted, and the blocks' names.
+
+    A separator is above the last key before it and not above the first key after it; neighbours that agree in
+    ``PREFIX`` characters have these alone, and a key then asks for a block more.
+    """
 
     separators: list[str]
     names: list[str]
@@ -157,6 +162,15 @@ class CaptureIndex:
     directory: Directory
 
 
+def separators(entries: list) -> list[str]:
+    """The shortest beginning of each block's first key that is above the last key before."""
+    out = []
+    for before, entry in zip([None, *entries], entries):
+        shared = len(os.path.commonprefix([before["last"], entry["first"]])) if before else 0
+        out.append(entry["first"][: shared + 1])
+    return out
+
+
 def build_index(root: str, lines: Staged) -> CaptureIndex:
     """Sort the lines by key into blocks, and take the directory from the blocks' first keys."""
     per_block = max(BLOCK_LINES, math.ceil(lines.rows / DIRECTORY))
@@ -167,7 +181,7 @@ def build_index(root: str, lines: Staged) -> CaptureIndex:
 
         def block() -> pd.DataFrame:
             text = "\n".join("\t".join(map(str, line)) for line in held)
-            return pd.DataFrame({"block": [f"{part:06d}-{number:06d}"], "first": [held[0][0]], "data": [zlib.compress(text.encode("utf-8", "replace"), 6)]})
+            return pd.DataFrame({"block": [f"{part:06d}-{number:06d}"], "first": [held[0][0]], "last": [held[-1][0]], "data": [zlib.compress(text.encode("utf-8", "replace"), 6)]})
 
         for batch in batches:
             for line in batch.itertuples(index=False, name=None):
@@ -178,9 +192,10 @@ def build_index(root: str, lines: Staged) -> CaptureIndex:
         if held:
             yield block()
 
-    blocks = stage(ordered.mapInPandas(pack, "block string, first string, data binary"), "warc-blocks")
-    entries = blocks.read().select(F.substring("first", 1, PREFIX).alias("first"), "block").orderBy("block").collect()
-    return CaptureIndex(root, blocks, Directory([e["first"] for e in entries], [e["block"] for e in entries]))
+    blocks = stage(ordered.mapInPandas(pack, "block string, first string, last string, data binary"), "warc-blocks")
+    ends = [F.substring(c, 1, PREFIX).alias(c) for c in ("first", "last")]
+    entries = blocks.read().select("block", *ends).orderBy("block").collect()  # about DIRECTORY rows and one more a range
+    return CaptureIndex(root, blocks, Directory(separators(entries), [e["block"] for e in entries]))
 
 
 def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:

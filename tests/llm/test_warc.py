@@ -110,3 +110,21 @@ def test_query(spark):
     rows = QUERIES["op1_warc"](spark, "/root/testdata/sf0.001").collect()
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()
     assert sorted((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"]) for r in rows) == [w[:5] for w in sorted(want([tuple(p) for p in pages]))]
+
+
+def test_separators_tell_blocks_of_long_shared_prefixes_apart():
+    import random
+
+    rng = random.Random(6)
+    for shared, cut in ((0, 30), (300, 30), (warc.PREFIX + 50, 8)):
+        keys = sorted("p" * shared + "".join(rng.choice("ab/") for _ in range(rng.randint(0, 12))) for _ in range(600))
+        blocks = [keys[i:i + cut] for i in range(0, len(keys), cut)]
+        entries = [{"first": b[0][:warc.PREFIX], "last": b[-1][:warc.PREFIX]} for b in blocks]
+        directory = warc.Directory(warc.separators(entries), list(range(len(blocks))))
+        asked = 0
+        for key in set(keys) | {k + "a" for k in keys[::7]} | {"", "a", "q"}:
+            found = directory.candidates(key)
+            assert {i for i, b in enumerate(blocks) if key in b} <= set(found)
+            asked += len(found)
+        if shared < warc.PREFIX:
+            assert asked <= 3 * len(set(keys)) + 100 and max(map(len, directory.separators)) <= shared + 13
