@@ -36,7 +36,7 @@ def _(t: Tables) -> DataFrame:
     table.replace(t.orders, RUN_TS)
     delta = t.orders.where(F.col("o_orderdate") >= times.at(datetime(2001, 6, 1))).withColumn(
         "o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
-    table.keyed_replace(delta, "o_orderkey", RUN_TS)
+    table.keyed_replace(delta, "o_orderkey", RUN_TS, skip_unchanged=True)
     return table.read()
 
 

@@ -268,7 +268,8 @@ def _publish(
     rows = align_to_target(rows, target.schema)
     if spec.publish == "full":
         return table.replace(rows, run_ts)
-    return table.keyed_replace(rows, spec.key, run_ts, keys=published_keys(spec, base.read(), target))
+    more = {"skip_unchanged": True} if spec.skip_unchanged and isinstance(table, PartitionedTable) else {}
+    return table.keyed_replace(rows, spec.key, run_ts, keys=published_keys(spec, base.read(), target), **more)
 
 
 def run_jobs(

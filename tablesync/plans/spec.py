@@ -63,6 +63,7 @@ class TableSpec:
     casts: Mapping[str, str] = field(default_factory=dict)  # whole, double, text, time, time_or_null
     text_nulls: bool = False  # text casts spell NULL out
     by_month: bool = True  # group replaces keep the published table by creation month and write touched months only
+    skip_unchanged: bool = False  # keys whose rows did not change leave a group replace, so their months are not rewritten
     buckets: int = 0  # instead bucketed by its key, which a group replace then does not shuffle
     legacy: Mapping[str, object] = field(default_factory=dict)
 

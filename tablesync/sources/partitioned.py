@@ -7,7 +7,7 @@ manifest that names the new folders and, for all other months, the old ones: unc
 it is, and one commit marker is the switch. Readers take the newest committed manifest and never write. A run
 that fails leaves folders no manifest names, which ``expire`` removes.
 
-* Keys whose rows are the same before and after leave the replace; with none left no folder is written.
+* Keys whose rows are the same before and after leave the replace if asked for; with none left no folder is written.
 * An append with a token that a version already holds changes nothing, so a repeated run adds its rows once.
 * A folder is read by its own schema and widened to the least one that holds all (``functions.lattice``), so a column may change its type.
 * A purge drops whole folders by their greatest and least day and rewrites those the bound cuts.
@@ -195,11 +195,11 @@ class PartitionedTable:
         return self._rewrite(version, months, None, None, df, run_ts, tokens)
 
     def keyed_replace(
-        self, delta: DataFrame, key: str, run_ts: datetime, keys: DataFrame | None = None, ignore: Iterable[str] = (),
+        self, delta: DataFrame, key: str, run_ts: datetime, keys: DataFrame | None = None, skip_unchanged: bool = False, ignore: Iterable[str] = (),
     ) -> str:
         """Group replace by key. ``keys`` overrides the key source.
 
-        Keys with the same rows before and after are left as they are, ``ignore`` names columns that do not count as a difference; where
+        With ``skip_unchanged``, keys with the same rows before and after are left as they are; ``ignore`` names columns that do not count as a difference. Where
         no key is left the new version names the folders of the old one and none is written.
         """
         version = self._newest()
@@ -207,7 +207,7 @@ class PartitionedTable:
             return self.replace(delta, run_ts)
         wanted = key_set(delta if keys is None else keys, key)
         found = self.rows_of(wanted, key, version)
-        if found is not None:
+        if found is not None and skip_unchanged:
             schema = wider_schema([found.schema, delta.schema])
             same = unchanged_keys(as_schema(found, schema), as_schema(delta, schema), key, ignore)
             spot = stage_rows(same, f"same-{uuid.uuid4().hex[:8]}")
@@ -218,7 +218,7 @@ class PartitionedTable:
                 return self._replace_groups(version, delta, key, wanted, found, run_ts)
             finally:
                 spot.release()
-        return self._replace_groups(version, delta, key, wanted, None, run_ts)
+        return self._replace_groups(version, delta, key, wanted, found, run_ts)
 
     def _replace_groups(self, version: str, delta: DataFrame, key: str, wanted: DataFrame, found: DataFrame | None, run_ts: datetime) -> str:
         months = delta.select(self._month(delta))

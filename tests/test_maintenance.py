@@ -111,11 +111,11 @@ def test_an_unchanged_delta_writes_no_folder(spark, tmp_path):
     table.replace(rows, RUN)
     before, runs = table.folders(), sorted(p.name for p in (tmp_path / "d/t/rows").iterdir())
     same = rows.where("v % 7 = 0")
-    first = table.keyed_replace(same, "k", RUN)
-    table.keyed_replace(same.withColumn("updated_at", F.lit(2)), "k", RUN, ignore=["updated_at"])
+    first = table.keyed_replace(same, "k", RUN, skip_unchanged=True)
+    table.keyed_replace(same.withColumn("updated_at", F.lit(2)), "k", RUN, skip_unchanged=True, ignore=["updated_at"])
     assert table.folders() == before and sorted(p.name for p in (tmp_path / "d/t/rows").iterdir()) == runs and first in table.versions()
     # one of many rows changes: its month alone is written
-    table.keyed_replace(rows.withColumn("v", F.when(F.col("k") == "k25", -1).otherwise(F.col("v"))), "k", RUN)
+    table.keyed_replace(rows.withColumn("v", F.when(F.col("k") == "k25", -1).otherwise(F.col("v"))), "k", RUN, skip_unchanged=True)
     assert {m for m, f in table.folders().items() if f != before[m]} == {202302} and table.read().where("v = -1").count() == 1
     # a key of the key source without rows goes, one with a NULL key is added
     keys = spark.createDataFrame([("k0",), ("k1",)], "k string")
