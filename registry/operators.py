@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablesync.functions import masks, text, times, types
 from tablesync.operators import aggregates, columns, joins, replace
+from tablesync.operators.heavy import heavy_keys
 from tablesync.operators.window import change_window, change_window_raw, changed_groups, contiguous_window
 from tablesync.plans import SPECS, run_job
 from tablesync.plans.runner import enriched, masked, published_table, settled, snapshot_name
@@ -409,6 +410,30 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+_MANY_ON_ONE = "case when l_partkey % 3 = 0 then -1 else l_partkey end"
+
+
+@query("heavy_keys", f"""
+select part, count(*) as rows from (select {_MANY_ON_ONE} as part, l_linenumber from {{lineitem}})
+group by part having count(*) * 500 >= (select count(*) from {{lineitem}})""")
+def _(t: Tables) -> DataFrame:
+    return heavy_keys(t.lineitem.select(F.expr(_MANY_ON_ONE).alias("part")), ["part"], share=0.002)
+
+
+@query("fan_out_salted", f"""
+select p_partkey, p_name, l_orderkey, l_linenumber from (
+  select p_partkey, p_name from {{part}} union all select -1, 'any' from {{region}} where r_regionkey = 0)
+left join {{lineitem}} on p_partkey = {_MANY_ON_ONE}""")
+def _(t: Tables) -> DataFrame:
+    # a third of all rows has one key: it is found while the rows are written, and dealt over salts
+    any_part = t.region.where("r_regionkey = 0").selectExpr("-1 as p_partkey", "'any' as p_name")
+    base = t.part.select("p_partkey", "p_name").unionAll(any_part)
+    right = t.lineitem.withColumn("part", F.expr(_MANY_ON_ONE).cast(base.schema["p_partkey"].dataType))
+    return joins.staged_fan_out(
+        base, right, {"p_partkey": "part"}, {"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber"},
+        lambda df, label: stage(df, label).read(), hot_rows=1000)
+
+
 @query("fan_out_lazy", """
 select c_custkey, o_orderkey from {customer} left join {orders} on c_custkey = o_custkey""")
 def _(t: Tables) -> DataFrame:

@@ -1,28 +1,29 @@
 """Left joins that survive skew and large right sides.
 
-No join here carries a broadcast hint: Catalyst broadcasts a side only when its size
-estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and the adaptive planner
-does so again from measured sizes. Past that bound the joins shuffle, and a hot key is
+No join of tables here carries a broadcast hint (the list of hot keys, which is bounded, does): Catalyst
+broadcasts a side only when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and the adaptive
+planner does so again from measured sizes. Past that bound the joins shuffle, and a hot key is
 split by the adaptive skew join. That rule can split the left side of a left join but
 never its right side, hence the two shapes below:
 
 * ``lookup``: many rows to one. A hot (or NULL) key sits on the left, which can be split.
 * ``fan_out``: one row to many, a plain left join, which reads each side once. A hot key sits on the
-  right. Given ``staging``, the sides are written first, the right one cut to the base keys, and where a counted
-  key is hot the join is an inner join (both sides can be split) plus the unmatched rows, both
-  over the written tables.
+  right. Given ``staging``, the sides are written first, the right one cut to the base keys. The pass that writes it also
+  finds the hot keys (``heavy``), and those alone take a salted inner join, which the adaptive planner can split further.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .heavy import has_key_text, key_text, observe_keys
 from .keys import fits_broadcast, match
 
-__all__ = ["lookup", "fan_out", "replace_by_lookup", "preagg_join", "only_keys_of"]
+__all__ = ["lookup", "fan_out", "staged_fan_out", "replace_by_lookup", "preagg_join", "only_keys_of"]
 
 
 def _q(name: str) -> Column:
@@ -86,14 +87,58 @@ def fan_out(
 ) -> DataFrame:
     """One base row per match; unmatched base rows stay once, with NULL.
 
-    ``staging`` writes a frame and gives it back as read from there.
+    ``staging`` writes a frame and gives it back as read from there. ``hot_rows``: what a task should get of one key; a key is hot from
+    there on, or from ``7 / TRACKED`` of all rows where that is more.
     """
     _check_names(base, take)
     side, keys = _right_side(right, on, take)
     if staging is None or fits_broadcast(side):
         return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
+    return staged_fan_out(base, right, on, take, staging, hot_rows)
+
+
+def staged_fan_out(
+    base: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
+    staging: Callable[[DataFrame, str], DataFrame], hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``fan_out`` for a right side of any size: both sides are written, keys hot on the right are salted."""
+    _check_names(base, take)
+    side, keys = _right_side(right, on, take)
     base = staging(base, "base")
-    side = staging(only_keys_of(side, keys, base, on), "right")
+    side = only_keys_of(side, keys, base, on)
+    same = all(base.schema[left].dataType == side.schema[key].dataType for left, key in zip(on, keys))
+    if not (same and has_key_text(side, keys)):
+        return _fan_out_counted(base, staging(side, "right"), on, take, keys, hot_rows)
+    watched, heavy = observe_keys(side, keys)
+    side = staging(watched, "right")
+    hot = [(text, math.ceil(rows / hot_rows)) for text, rows in heavy(hot_rows)]
+    if not hot:
+        return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
+    return _fan_out_salted(base, side, on, keys, hot)
+
+
+def _fan_out_salted(base: DataFrame, side: DataFrame, on: Mapping[str, str], keys: list[str], hot: list[tuple[str, int]]) -> DataFrame:
+    """Rows of hot keys and all others apart, over the written tables.
+
+    A hot key does occur on the right, so its rows are an inner join, in which both sides can be split: the right one is dealt over
+    salts, a base row is there once for each salt of its key.
+    """
+    listed = F.broadcast(base.sparkSession.createDataFrame(hot, "_hot string, _salts int"))  # at most TRACKED keys
+    texts = key_text([_q(c) for c in on]), key_text([F.col(k) for k in keys])
+    calm = [df.join(listed, text == F.col("_hot"), "left_anti") for df, text in zip((base, side), texts)]
+    others = calm[0].join(calm[1], _condition(base, side, on, keys), "left").drop(*keys)
+    left = base.join(listed, texts[0] == F.col("_hot")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    # the number of a row of a written table is the same however often a task runs
+    right = side.withColumn("_id", F.monotonically_increasing_id()).join(listed, texts[1] == F.col("_hot"))
+    right = right.withColumn("_slot", F.pmod("_id", F.col("_salts")).cast("int")).drop("_id", "_hot", "_salts")
+    dealt = left.drop("_hot", "_salts").join(right, _condition(base, side, on, keys) & (F.col("_salt") == F.col("_slot")), "inner")
+    return others.unionByName(dealt.drop("_salt", "_slot", *keys))
+
+
+def _fan_out_counted(
+    base: DataFrame, side: DataFrame, on: Mapping[str, str], take: Mapping[str, str], keys: list[str], hot_rows: int
+) -> DataFrame:
+    """For keys whose text is no stand-in: counted, and where one is hot an inner join plus the unmatched rows."""
     counts = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))  # partial map-side: a hot key moves once a task
     if (counts.agg(F.max("_rows")).first()[0] or 0) < hot_rows:
         return base.join(side, _condition(base, side, on, keys), "left").drop(*keys)
