@@ -1,16 +1,18 @@
 """Benchmark passages in documents: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-1. The corpus counts of the items' word n-grams are taken in one pass. The seeds of an item are its n-grams that are at
-   most ``common`` times as frequent as its median one. The measure is the item's own, so an item copied into
-   very many documents keeps its seeds.
-2. A second pass emits passages: the words around seeds that are near each other.
+1. The corpus counts of the items' word n-grams are taken in one pass. An n-gram here is spaced: up to ``skip`` words may stand
+   between two of its words, in the item as in the document, so a word inserted, changed or left out every few words
+   leaves n-grams in common. The seeds of an item are its n-grams that are at most ``common`` times as frequent as its median one.
+   The measure is the item's own, so an item copied into very many documents keeps its seeds.
+2. A second pass emits passages: the words around seeds that are near each other. Near is up to the length of the items, which are
+   taken by classes of length (up to 64 words, 256, 1,024 and so on), so a long item does not widen the passages of short ones.
 3. Passages and items are joined by seeds, and aligned where they share ``support`` of the item's n-grams (one at
    least): 2 for an equal word, -1 for a changed, an extra or a missing one. A row comes out where the score is at least ``threshold`` of a full copy's, so edited copies are found.
 4. Sequences of ``run`` words of an item are seeds however frequent they are, and one of them is enough to compare. What the
    alignments leave is searched for them, so ``run`` equal words give a row in an item of any length; its score is their share of the item.
 
-Both passes look words up in a bitmap of fixed size; its false hits are dropped by the joins. Nothing is
-capped: a bitmap that fills up costs time, not results.
+Both passes look words up in bitmaps of fixed size, two for each class of length there is (the classes are a logarithm of the longest
+item); false hits are dropped by the joins. Nothing is capped: a bitmap that fills up costs time, not results.
 
 Words are runs of letters and digits in lower case; marks do not count. Defined results: NULL and empty texts have no
 passages; items of fewer words than an n-gram are not looked for; an item or document that occurs twice gives its rows
@@ -20,16 +22,17 @@ twice; rows without id are kept under NULL; empty tables give no rows; further c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, product
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.sources.staging import stage
 
-from .words import combine, word_chunks
+from .words import combine, mix, word_chunks
 
 __all__ = ["align", "bitmap", "find_passages", "in_bitmap"]
 
@@ -65,6 +68,21 @@ def _grams(words: np.ndarray, n: int) -> np.ndarray:
     return combine([words[i:i + m] for i in range(n)]) if m else np.empty(0, np.uint64)
 
 
+_PLACES = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, dtype=np.uint64))  # an odd factor for each place of an n-gram
+
+
+def spaced_grams(words: np.ndarray, n: int, skip: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(words spanned, hashes by first word) for every way to leave out up to ``skip`` words between two of an n-gram's."""
+    weighed = [words * _PLACES[i] for i in range(n)]
+    for steps in product(range(1, skip + 2), repeat=n - 1):
+        at = [0, *accumulate(steps)]
+        m = max(0, len(words) - at[-1])
+        total = weighed[0][:m].copy()
+        for part, i in zip(weighed[1:], at[1:]):
+            total += part[i:i + m]
+        yield at[-1] + 1, mix(total)
+
+
 def _item_words(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,64 +94,75 @@ def _item_words(items: DataFrame) -> DataFrame:
     return items.select(F.col("item_id").cast("long"), F.lower("text").alias("text")).mapInArrow(run, "item_id long, words binary")
 
 
-def _item_grams(items: DataFrame, n: int) -> DataFrame:
+def _item_grams(items: DataFrame, n: int, skip: int | None) -> DataFrame:
+    """(row, reach, gram) of the distinct n-grams of an item; ``skip`` None: of words one after the other."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, words in zip(batch["row"], batch["words"]):
-                grams = np.unique(_grams(np.frombuffer(words, dtype=np.uint64), n)).view(np.int64)
-                yield pd.DataFrame({"row": np.full(len(grams), row), "gram": grams})
+            for row, reach, data in zip(batch["row"], batch["reach"], batch["words"]):
+                words = np.frombuffer(data, dtype=np.uint64)
+                parts = [_grams(words, n)] if skip is None else [g for _, g in spaced_grams(words, n, skip)]
+                grams = np.unique(np.concatenate(parts)).view(np.int64)
+                yield pd.DataFrame({"row": np.full(len(grams), row), "reach": np.full(len(grams), reach), "gram": grams})
 
-    return items.select("row", "words").mapInPandas(run, "row long, gram long")
+    return items.select("row", "reach", "words").mapInPandas(run, "row long, reach long, gram long")
 
 
-def _counted(docs: DataFrame, known: bytes, n: int) -> DataFrame:
+def _counted(docs: DataFrame, known: bytes, n: int, skip: int) -> DataFrame:
     """(gram, n): how often the n-grams that the bitmap knows occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in word_chunks(batch.column("text"), bare=True):
-                grams = _grams(chunk.hashes, n)  # those across two texts are counted as well: too few to change a rank
-                found, times = np.unique(grams[in_bitmap(known, grams)], return_counts=True)
+                # those across two texts are counted as well: too few to change a rank
+                hits = [grams[in_bitmap(known, grams)] for _, grams in spaced_grams(chunk.hashes, n, skip)]
+                found, times = np.unique(np.concatenate(hits), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["gram", "n"])
 
     return docs.select(F.lower("text").alias("text")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _passages(docs: DataFrame, seeds: bytes, n: int, runs: bytes, run_words: int, reach: int, least: int) -> DataFrame:
-    """(doc_id, start, grams, words): words around seeds and runs that lie at most ``reach`` words apart."""
+def _passages(docs: DataFrame, classes: list[tuple[int, int, bytes, bytes]], n: int, skip: int, run_words: int) -> DataFrame:
+    """(doc_id, reach, start, grams, words): words around seeds and runs that lie at most ``reach`` words apart.
+
+    ``classes``: reach, least number of seeds, bitmaps of seeds and of runs.
+    """
+
+    def near(chunk, grams: list[tuple[int, bool, np.ndarray]], reach: int, least: int, seeds: bytes, runs: bytes) -> Iterator[tuple]:
+        parts = []
+        for size, long, all_grams in grams:
+            hits = np.flatnonzero(in_bitmap(runs if long else seeds, all_grams))
+            owner = np.searchsorted(chunk.bounds, hits, "right") - 1
+            inner = hits + size <= chunk.bounds[np.minimum(owner + 1, len(chunk.bounds) - 1)]
+            parts.append((hits[inner], owner[inner], hits[inner] + size, all_grams[hits[inner]], np.full(inner.sum(), long)))
+        hits, owner, ends, found, long = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(hits, kind="stable")
+        hits, owner, ends, found, long = hits[order], owner[order], ends[order], found[order], long[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(hits) > reach) | (np.diff(owner) != 0)])) if len(hits) else []
+        for a, b in zip(new, [*new[1:], len(hits)]):
+            some = np.unique(found[a:b])
+            if len(some) >= least or long[a:b].any():
+                row = owner[a]
+                lo = max(chunk.bounds[row], hits[a] - reach)
+                hi = min(chunk.bounds[row + 1], ends[a:b].max() + reach)
+                yield chunk.first + row, reach, lo - chunk.bounds[row], some.view(np.int64), chunk.hashes[lo:hi].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
             for chunk in word_chunks(batch.column("text"), bare=True):
-                parts = []
-                for size, known in ((n, seeds), (run_words, runs)):
-                    grams = _grams(chunk.hashes, size)
-                    hits = np.flatnonzero(in_bitmap(known, grams))
-                    owner = np.searchsorted(chunk.bounds, hits, "right") - 1
-                    inner = hits + size <= chunk.bounds[np.minimum(owner + 1, len(chunk.bounds) - 1)]
-                    parts.append((hits[inner], owner[inner], grams[hits[inner]], np.full(inner.sum(), size == run_words)))
-                hits, owner, grams, long = (np.concatenate(p) for p in zip(*parts))
-                order = np.argsort(hits, kind="stable")
-                hits, owner, grams, long = hits[order], owner[order], grams[order], long[order]
-                new = np.flatnonzero(np.concatenate([[True], (np.diff(hits) > reach) | (np.diff(owner) != 0)])) if len(hits) else []
-                out = []
-                for a, b in zip(new, [*new[1:], len(hits)]):
-                    some = np.unique(grams[a:b])
-                    if len(some) >= least or long[a:b].any():
-                        row = owner[a]
-                        lo = max(chunk.bounds[row], hits[a] - reach)
-                        hi = min(chunk.bounds[row + 1], hits[b - 1] + n + reach)
-                        out.append((chunk.first + row, lo - chunk.bounds[row], some.view(np.int64), chunk.hashes[lo:hi].tobytes()))
+                grams = [(size, False, g) for size, g in spaced_grams(chunk.hashes, n, skip)]
+                grams.append((run_words, True, _grams(chunk.hashes, run_words)))
+                out = [found for one in classes for found in near(chunk, grams, *one)]
                 if out:
-                    rows, starts, some, words = zip(*out)
+                    rows, reach, starts, some, words = zip(*out)
                     yield pa.RecordBatch.from_arrays([
-                        ids.take(pa.array(rows)), pa.array(np.array(starts, dtype=np.int64)),
+                        ids.take(pa.array(rows)), pa.array(np.array(reach, dtype=np.int64)), pa.array(np.array(starts, dtype=np.int64)),
                         pa.array([list(s) for s in some], pa.list_(pa.int64())), pa.array(words, pa.binary())],
-                        names=["doc_id", "start", "grams", "words"])
+                        names=["doc_id", "reach", "start", "grams", "words"])
 
     return docs.select(F.col("doc_id").cast("long"), F.lower("text").alias("text")).mapInArrow(
-        run, "doc_id long, start long, grams array<long>, words binary")
+        run, "doc_id long, reach long, start long, grams array<long>, words binary")
 
 
 def _best_end(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -184,25 +213,33 @@ def equal_runs(item: np.ndarray, words: np.ndarray, run: int) -> list[tuple[floa
     return found
 
 
+def _reach() -> Column:
+    """The class of an item's length: the least of 64, 256, 1,024 ... that is no less."""
+    length = F.octet_length("words") / 8
+    return F.pow(F.lit(4.0), F.greatest(F.lit(3.0), F.ceil(F.log2(F.greatest(length, F.lit(1.0))) / 2))).cast("long")
+
+
 def find_passages(
     docs: DataFrame, items: DataFrame, n: int = 3, common: float = 8.0, support: float = 0.08, threshold: float = 0.5, run: int = 13,
+    skip: int = 1,
 ) -> DataFrame:
     """(doc_id, item_id, start_word, end_word, score) of the passages of ``items`` (item_id, text) in ``docs`` (doc_id, text)."""
-    listed = stage(_item_words(items).withColumn("row", F.monotonically_increasing_id()), "items").read()
-    grams = stage(_item_grams(listed, n), "item-grams").read()
-    counts = _counted(docs, bitmap(grams, "gram"), n)
-    counted = stage(grams.join(counts, "gram", "left").select("row", "gram", F.coalesce("n", F.lit(0)).alias("n")), "item-counts").read()
+    listed = stage(_item_words(items).withColumn("row", F.monotonically_increasing_id()).withColumn("reach", _reach()), "items").read()
+    grams = stage(_item_grams(listed, n, skip), "item-grams").read()
+    counts = _counted(docs, bitmap(grams, "gram"), n, skip)
+    counted = stage(grams.join(counts, "gram", "left").select("row", "reach", "gram", F.coalesce("n", F.lit(0)).alias("n")), "item-counts").read()
     usual = counted.groupBy("row").agg(F.median("n").alias("usual"), F.count(F.lit(1)).alias("of"))
     needed = F.greatest(F.lit(1), F.floor(F.col("of") * support)).alias("needed")
     rare = F.col("n") <= F.greatest(F.lit(1.0), F.col("usual")) * common
-    seeds = stage(counted.join(usual, "row").where(rare).select("row", "gram", needed), "seeds").read()
-    reach = int(listed.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
-    least = int(seeds.agg(F.min("needed")).first()[0] or 1)
-    runs = stage(_item_grams(listed, run), "item-runs").read()
-    found = stage(_passages(docs, bitmap(seeds, "gram"), n, bitmap(runs, "gram"), run, reach, least), "passages").read()
-    found = found.withColumn("passage", F.monotonically_increasing_id())
-    known = seeds.withColumn("long", F.lit(False)).unionByName(runs.select("row", "gram", F.lit(0).cast("long").alias("needed"), F.lit(True).alias("long")))
-    pairs = found.select("passage", F.explode("grams").alias("gram")).join(known, "gram").groupBy("passage", "row").agg(
+    seeds = stage(counted.join(usual, "row").where(rare).select("row", "reach", "gram", needed), "seeds").read()
+    runs = stage(_item_grams(listed, run, None), "item-runs").read()
+    least = seeds.groupBy("reach").agg(F.min("needed").alias("least")).orderBy("reach").collect()  # a logarithm of the longest item
+    classes = [(r["reach"], r["least"], bitmap(seeds.where(F.col("reach") == r["reach"]), "gram"),
+                bitmap(runs.where(F.col("reach") == r["reach"]), "gram")) for r in least]
+    found = stage(_passages(docs, classes, n, skip, run), "passages").read().withColumn("passage", F.monotonically_increasing_id())
+    known = seeds.withColumn("long", F.lit(False)).unionByName(
+        runs.select("row", "reach", "gram", F.lit(0).cast("long").alias("needed"), F.lit(True).alias("long")))
+    pairs = found.select("passage", "reach", F.explode("grams").alias("gram")).join(known, ["gram", "reach"]).groupBy("passage", "row").agg(
         F.count_if(~F.col("long")).alias("shared"), F.max("needed").alias("needed"), F.bool_or("long").alias("long")).where(
         "long or shared >= needed").select("passage", "row")
     pairs = stage(pairs, "pairs").read()

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablesync.llm import decontamination as dec
 
@@ -144,3 +145,56 @@ def test_bitmap(spark):
         low = {int(v) % 2**bits for v in (*values, 0, -1)}
         assert dec.in_bitmap(data, others).tolist() == [int(o) % 2**bits in low for o in others]
     assert not dec.in_bitmap(dec.bitmap(df.limit(0), "h", 16), values.view(np.uint64)).any()
+
+
+def spread_out(rng, words, kind, every):
+    out = []
+    for i, w in enumerate(words):
+        hit = i % every == every - 1
+        out += [] if hit and kind == "left out" else [rng.choice(VOCABULARY) + "x"] if hit and kind == "changed" else [w]
+        out += [rng.choice(VOCABULARY) + "y"] if hit and kind == "inserted" else []
+    return out
+
+
+def test_recall_against_all_pairs(spark):
+    """Every pair that aligning all documents with all items finds is found by the seeds."""
+    rng = random.Random(12)
+    items = {i: sentence(rng, rng.randint(15, 59)) for i in range(20)}
+    docs = {}
+    for kind, every in [("inserted", 1), ("inserted", 2), ("inserted", 3), ("changed", 3), ("changed", 4), ("left out", 3), ("left out", 5)]:
+        for i in range(8):
+            docs[len(docs)] = sentence(rng, 25) + spread_out(rng, items[i], kind, every) + sentence(rng, 10)
+    for share in (0.2, 0.4, 0.6):
+        for i in range(20):
+            docs[len(docs)] = sentence(rng, 30) + edited(rng, items[i], share)
+    docs[len(docs)] = sentence(rng, 200)
+    number = {w: i + 1 for i, w in enumerate({w for words in (*docs.values(), *items.values()) for w in words})}
+    as_array = lambda words: np.array([number[w] for w in words], dtype=np.uint64)
+    want = {(d, i) for d, words in docs.items() for i, item in items.items() if dec.align(as_array(item), as_array(words), 0.5)}
+    rows = search(spark, [(d, " ".join(w)) for d, w in docs.items()], [(i, " ".join(w)) for i, w in items.items()])
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want and len(want) > 90
+
+
+def test_a_long_item_does_not_widen_the_passages_of_others(spark):
+    rng = random.Random(13)
+    short, long = sentence(rng, 20), sentence(rng, 3000)
+    text = sentence(rng, 4000) + short + sentence(rng, 4000)
+    rows = search(spark, [(1, " ".join(text)), (2, " ".join(long))], [(1, " ".join(short)), (2, " ".join(long))])
+    assert sorted(map(tuple, rows)) == [(1, 1, 4000, 4020, 1.0), (2, 2, 0, 3000, 1.0)]
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in ((1, short), (2, long), (3, sentence(rng, 65)), (4, ["a"] * 64))], "item_id long, text string")
+    assert [r[0] for r in dec._item_words(items).select(dec._reach()).collect()] == [64, 4096, 256, 64]
+    grams = dec._item_grams(dec._item_words(items).selectExpr("item_id as row", "words").withColumn("reach", dec._reach()), 3, 1)
+    classes = [(reach, 2, dec.bitmap(grams.where(F.col("reach") == reach), "gram"), bytes(8)) for reach in (64, 4096)]
+    found = dec._passages(spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string"), classes, 3, 1, 13)
+    assert max(len(r["words"]) for r in found.where("reach = 64").collect()) // 8 <= 20 + 6 * 64
+
+
+def test_spaced_grams():
+    words = np.arange(1, 30, dtype=np.uint64)
+    by_span = list(dec.spaced_grams(words, 3, 1))
+    assert [(size, len(g)) for size, g in by_span] == [(3, 27), (4, 26), (4, 26), (5, 25)]
+    assert len(np.unique(np.concatenate([g for _, g in by_span]))) == 27 + 26 + 26 + 25
+    without = np.delete(words, 10)  # what spans a word left out in one text stands side by side in the other
+    shared = np.intersect1d(np.concatenate([g for _, g in dec.spaced_grams(without, 3, 1)]), by_span[1][1])
+    assert len(shared) >= 22
+    assert [len(g) for _, g in dec.spaced_grams(words[:2], 3, 1)] == [0, 0, 0, 0]
