@@ -4,11 +4,14 @@ Every line is good or bad. Its features are counts of the line (length, letter c
 words, ...) cut into bins, those of the line before and after it, and the labels of neighbouring lines. Forward-backward
 gives each line's probability of being good; a document's score is their mean weighted by line length.
 
-Labels come for documents, so a training line has its document's label. Weights are learned from a bounded
+Labels come for documents, so a training line has its document's label. Weights and the four transitions maximise one
+penalised conditional likelihood, in which both labels, and documents of any number of lines, count alike. As no training document
+changes its label, the data alone would forbid changes; the penalty ``hold`` of the transitions keeps them possible, since a bad
+passage may stand in a good document. Weights are learned from a bounded
 sample: up to ``sample_docs`` documents of each label, first by a hash of the id, without those of
 more than ``sample_lines`` lines; of an id's different texts the one with the least hash. Scoring covers every line of every text.
 
-Defined results: NULL, empty and blank texts have no lines and get the share of good documents in the sample
+Defined results: NULL, empty and blank texts have no lines and get the share of good documents among all labels
 (0.5 without labels). A document with contradicting labels is not learned from. Equal texts get equal scores.
 """
 
@@ -70,9 +73,15 @@ def _padded(bounds: np.ndarray, cells: int = 1 << 20) -> Iterator[tuple[np.ndarr
         i = j
 
 
-def forward_backward(unary: np.ndarray, move: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(good) of each cell, and the expected label pairs. ``unary``: log-odds of good; ``move``: log-weights of label pairs."""
+def forward_backward(
+    unary: np.ndarray, move: np.ndarray, mask: np.ndarray, weight: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """P(good) of each cell, and the expected label pairs, sequences counted by ``weight``.
+
+    ``unary``: log-odds of good; ``move``: log-weights of label pairs.
+    """
     d, width = unary.shape
+    weight = np.ones(d) if weight is None else weight
     trans = np.exp(move)
     u = np.clip(unary, -30, 30)
     emit = np.stack([1 / (1 + np.exp(u)), 1 / (1 + np.exp(-u))], axis=2)
@@ -94,7 +103,7 @@ def forward_backward(unary: np.ndarray, move: np.ndarray, mask: np.ndarray) -> t
             right = emit[:, t] * back
             joint = ahead[t - 1][:, :, None] * trans * right[:, None, :]
             joint /= joint.sum((1, 2), keepdims=True)
-            pairs += joint[on].sum(0)
+            pairs += np.tensordot(weight[on], joint[on], 1)
             left = right @ trans.T
             back = np.where(on[:, None], left / left.sum(1, keepdims=True), back)
     return good, pairs
@@ -161,51 +170,60 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, prior: float, rounds: int
     return max(float(a), 0.1), float(b)
 
 
-def fit(features: np.ndarray, bounds: np.ndarray, labels: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 0.003) -> QualityModel:
-    """Maximise the conditional likelihood of line labels by Adam; ``labels`` per sequence."""
-    docs = len(bounds) - 1
-    prior = float(labels.mean()) if docs else 0.5
-    edges = np.stack([np.quantile(f, (0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98)) for f in features.T]) if len(features) else np.empty((0, 0))
-    n, cuts = edges.shape
-    model = QualityModel(edges, np.zeros((3, n, cuts + 1)), 0.0, np.zeros((2, 2)), prior)
+class _Likelihood:
+    """The gradient of the penalised likelihood of the line labels in all weights: lines', neighbours', the bias, four transitions."""
+
+    def __init__(self, edges: np.ndarray, features: np.ndarray, bounds: np.ndarray, labels: np.ndarray, decay: float, hold: float):
+        self.edges, self.bounds, self.labels = edges, bounds, labels
+        self.shape = (3, len(edges), edges.shape[1] + 1)
+        self.bins = self.model(np.zeros(np.prod(self.shape) + 5), 0.5).bins(features)
+        sizes = np.diff(bounds)
+        share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
+        self.of_doc = share / np.maximum(sizes, 1)
+        self.of_line, self.truth = np.repeat(self.of_doc, sizes), np.repeat(labels, sizes).astype(float)
+        # every training pair keeps its label
+        self.pairs = np.diag([(self.of_doc * np.maximum(sizes - 1, 0) * (labels == y)).sum() for y in (0, 1)])
+        self.layouts = [(index, mask, self.of_doc[np.searchsorted(bounds, index[:, 0], "right") - 1]) for index, mask in _padded(bounds)]
+        first = np.zeros(len(self.bins) + 1, dtype=bool)
+        first[bounds[:-1]] = True
+        self.inner = np.flatnonzero(~first[1:-1])
+        self.flat = self.bins + np.arange(len(edges)) * self.shape[2]
+        self.penalty = np.concatenate([np.full(np.prod(self.shape) + 1, decay), np.full(4, hold)])
+
+    def model(self, theta: np.ndarray, prior: float) -> QualityModel:
+        return QualityModel(self.edges, theta[:-5].reshape(self.shape).copy(), float(theta[-5]), theta[-4:].reshape(2, 2).copy(), prior)
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
+        model = self.model(theta, 0.5)
+        unary = model.unary(self.bins, self.bounds)
+        good, expected = np.empty(len(unary)), np.zeros((2, 2))
+        for index, mask, weight in self.layouts:
+            p, pairs = forward_backward(unary[index], model.move, mask, weight)
+            good[index[mask]] = p[mask]
+            expected += pairs
+        error = (self.truth - good) * self.of_line
+        n, size = self.shape[1], self.shape[1] * self.shape[2]
+        parts = (self.flat, error), (self.flat[self.inner], error[self.inner + 1]), (self.flat[self.inner + 1], error[self.inner])
+        lines = [np.bincount(rows.ravel(), np.repeat(errors, n), size) for rows, errors in parts]
+        return np.concatenate([*lines, [error.sum()], (self.pairs - expected).ravel()]) - self.penalty * theta
+
+
+def fit(
+    features: np.ndarray, bounds: np.ndarray, labels: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 0.0005, hold: float = 0.05,
+) -> QualityModel:
+    """Maximise the penalised conditional likelihood of line labels by Adam; ``labels`` per sequence."""
+    prior = float(labels.mean()) if len(bounds) > 1 else 0.5
     if not len(features) or prior in (0.0, 1.0):
         return QualityModel(np.empty((0, 0)), np.zeros((3, 0, 0)), 0.0, np.zeros((2, 2)), prior)
-    bins = model.bins(features)
-    sizes = np.diff(bounds)
-    truth = np.repeat(labels, sizes).astype(float)
-    # both labels, and documents of any number of lines, count alike
-    share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
-    weight = np.repeat(share / np.maximum(sizes, 1), sizes)
-    layouts = [(index, mask, np.diff(bounds)[np.searchsorted(bounds, index[:, 0], "right") - 1]) for index, mask in _padded(bounds)]
-    flat = bins + np.arange(n) * (cuts + 1)
-    first = np.zeros(len(bins) + 1, dtype=bool)
-    first[bounds[:-1]] = True
-    inner = np.flatnonzero(~first[1:-1])
-    theta = np.zeros(3 * n * (cuts + 1) + 2)
+    edges = np.stack([np.quantile(f, (0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98)) for f in features.T])
+    likelihood = _Likelihood(edges, features, bounds, labels, decay, hold)
+    theta = np.zeros_like(likelihood.penalty)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        model.weights = theta[:-2].reshape(3, n, cuts + 1)
-        model.bias, model.move = theta[-2], np.array([[theta[-1], 0.0], [0.0, theta[-1]]])
-        unary = model.unary(bins, bounds)
-        good, same = np.empty(len(unary)), 0.0
-        for index, mask, _ in layouts:
-            p, pairs = forward_backward(unary[index], model.move, mask)
-            good[index[mask]] = p[mask]
-            same += pairs[0, 1] + pairs[1, 0]  # every training pair keeps its label
-        error = (truth - good) * weight
-        grad = np.zeros_like(theta)
-        size = n * (cuts + 1)
-        for part, rows, errors in ((0, flat, error), (1, flat[inner], error[inner + 1]), (2, flat[inner + 1], error[inner])):
-            grad[part * size:(part + 1) * size] = np.bincount(rows.ravel(), np.repeat(errors, n), size)
-        grad[-2] = error.sum()
-        grad[-1] = same / max(len(unary), 1)
-        grad -= decay * theta / np.sqrt(step)
+        grad = likelihood.gradient(theta)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + rate / np.sqrt(1 + step / 30) * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-        theta[-1] = min(theta[-1], 1.5)  # a bad passage may stand in a good document
-    model.weights, model.bias = theta[:-2].reshape(3, n, cuts + 1).copy(), float(theta[-2])
-    model.move = np.array([[theta[-1], 0.0], [0.0, theta[-1]]])
-    return model
+    return likelihood.model(theta, prior)
 
 
 def learn_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = 1500, sample_lines: int = 400) -> QualityModel:

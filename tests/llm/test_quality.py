@@ -111,3 +111,29 @@ def test_one_text_of_an_id_is_learned_from(spark, monkeypatch):
     models = [quality.learn_quality(spark.createDataFrame(r, "doc_id long, text string"), labels) for r in (rows, rows[::-1])]
     assert seen == [[0, 1] * 5] * 2
     assert models[0].weights.tolist() == models[1].weights.tolist()
+
+
+def test_gradient_is_that_of_the_likelihood():
+    """Against the difference quotient of the likelihood over all labellings, documents weighted as documented."""
+    rng = np.random.default_rng(6)
+    features, bounds, labels = rng.normal(size=(13, 2)), np.array([0, 4, 5, 9, 9, 13]), np.array([1, 0, 0, 1, 1])
+    edges = np.stack([np.quantile(f, (0.2, 0.7)) for f in features.T])
+    likelihood = quality._Likelihood(edges, features, bounds, labels, 0.01, 0.05)
+    theta = rng.normal(0, 0.7, len(likelihood.penalty))
+
+    def value(theta):
+        model = likelihood.model(theta, 0.5)
+        unary = model.unary(model.bins(features), bounds)
+        total = -(likelihood.penalty * theta ** 2).sum() / 2
+        for lo, hi, y in zip(bounds, bounds[1:], labels):
+            if hi > lo:
+                def score(ys, u=unary[lo:hi]):
+                    return sum(x for x, one in zip(u, ys) if one) + sum(model.move[a, b] for a, b in zip(ys, ys[1:]))
+
+                every = np.log(sum(np.exp(score(ys)) for ys in itertools.product((0, 1), repeat=hi - lo)))
+                total += 0.5 / (labels == y).sum() / (hi - lo) * (score([y] * (hi - lo)) - every)
+        return total
+
+    step = 1e-5 * np.eye(len(theta))
+    numeric = [(value(theta + e) - value(theta - e)) / 2e-5 for e in step]
+    assert likelihood.gradient(theta) == pytest.approx(numeric, abs=1e-7)
