@@ -1,0 +1,117 @@
+"""Queries without SQL against plain Python over the whole table, as far as their contract fixes the result."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from tokenizers import Tokenizer
+
+from tablesync.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def result(spark, name):
+    return queries.QUERIES[name](spark, SF).collect()
+
+
+def fold(doc_id, buckets):
+    return zlib.crc32(str(doc_id).encode()) % buckets
+
+
+def digits(text):
+    return [int(c) for c in text if c in "0123456789"]
+
+
+def luhn(text):
+    doubled = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits(text)))]
+    return 14 <= len(doubled) <= 19 and sum(doubled) % 10 == 0
+
+
+KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(p) <= 255 for p in t.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", luhn),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 10 <= len(digits(t)) <= 15),
+}
+
+
+def test_op6_counts_digest_and_spans(spark, docs):
+    rows, order = result(spark, "op6_pii"), list(KINDS)
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        text = docs[r["doc_id"]]
+        base = [(m.start(), order.index(kind), m.end(), kind)
+                for kind, (pattern, holds) in KINDS.items() for m in re.finditer(pattern, text) if holds(m.group())]
+        listed = [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(base)]
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(k == b[3] for b in base) for k in KINDS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert not Counter(listed) - Counter(spans)
+        places = [(int(s.split(":")[1]), order.index(s.split(":")[0])) for s in spans]
+        assert places == sorted(places) and all(0 <= int(s.split(":")[1]) < int(s.split(":")[2]) <= len(text) for s in spans)
+
+
+def test_op7_counts_and_base_scores(spark, docs):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = {d: [*re.findall(r"[^\x20\x09-\x0D]+", t.translate(lower)), None] for d, t in docs.items()}
+    counts = Counter(w for d, words in tokens.items() if fold(d, 10) for w in words)
+    total, distinct = sum(counts.values()), len(counts)
+    rows = result(spark, "op7_kneser_ney")
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        words = tokens[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (
+            fold(r["doc_id"], 10) == 0, len(words), sum(counts[w] > 0 for w in words), total)
+        base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in words)
+        assert r["base_score"] == pytest.approx(base) and -math.inf < r["score"] < 0
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_op9_pieces_and_places(spark, docs):
+    tokenizer = Tokenizer.from_file(str(queries.tokenizer_files()[0]))
+    rows = result(spark, "op9_packing")
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(by_doc) == set(docs)
+    for doc_id, pieces in by_doc.items():
+        ids = [*tokenizer.encode(docs[doc_id], add_special_tokens=False).ids, 2]
+        pieces.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in pieces] == list(range(-(-len(ids) // 1024)))
+        at = 0
+        for r in pieces:
+            own = ids[r["start"]:r["start"] + r["length"]]
+            assert r["start"] == at and 0 < r["length"] <= 1024
+            assert r["ids_crc32"] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own))
+            at += r["length"]
+        assert at == len(ids) and all(r["length"] == 1024 for r in pieces[1:])
+    for places in by_sequence.values():
+        places.sort()
+        ends = [a + n for a, n in places]
+        assert [a for a, _ in places] == [0, *ends[:-1]] and ends[-1] <= 1024
+    least = -(-sum(r["length"] for r in rows) // 1024)
+    assert least <= len(by_sequence) <= least * 1.02 + 1
+
+
+def test_op10_sizes_shards_and_slots(spark, docs):
+    rows = result(spark, "op10_sharding")
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    slots = defaultdict(list)
+    for r in rows:
+        data = docs[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 8, zlib.crc32(data), "rows", None)
+        slots[r["shard"]].append(r["slot"])
+    assert set(slots) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(slots[k]) for k in range(24)]
+    assert max(sizes) - min(sizes) <= 1
