@@ -11,8 +11,8 @@
 4. Sequences of ``run`` words of an item are seeds however frequent they are, and one of them is enough to compare. What the
    alignments leave is searched for them, so ``run`` equal words give a row in an item of any length; its score is their share of the item.
 
-Both passes look words up in bitmaps of fixed size, two for each class of length there is (the classes are a logarithm of the longest
-item); false hits are dropped by the joins. Nothing is capped: a bitmap that fills up costs time, not results.
+Both passes look words up in bitmaps sized by the number of n-grams (64 MB at most), two for each class of length there is
+(the classes are a logarithm of the longest item); false hits are dropped by the joins. Nothing is capped: a bitmap that fills up costs time, not results.
 
 Words are runs of letters and digits in lower case; marks do not count. Defined results: NULL and empty texts have no
 passages; items of fewer words than an n-gram are not looked for; an item or document that occurs twice gives its rows
@@ -34,13 +34,20 @@ from tablesync.sources.staging import stage
 
 from .words import combine, mix, word_chunks
 
-__all__ = ["align", "bitmap", "find_passages", "in_bitmap"]
+__all__ = ["align", "bitmap", "bitmap_bits", "find_passages", "in_bitmap"]
 
-BITS = 26
+LEAST_BITS, USUAL_BITS, MOST_BITS = 16, 26, 29  # sizes of a bitmap as powers of two: 8 KB, 8 MB, 64 MB
 
 
-def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> bytes:
-    """A set of 64-bit values as a bitmap of fixed size, put together by segments of 8 KB and collected as those."""
+def bitmap_bits(n: int) -> int:
+    """The size for ``n`` values: 256 bits a value up to 8 MB, 8 bits a value beyond, 64 MB at most."""
+    roomy, tight = ((max(n, 1) * per - 1).bit_length() for per in (256, 8))
+    return min(max(LEAST_BITS, min(roomy, USUAL_BITS), tight), MOST_BITS)
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int | None = None) -> bytes:
+    """A set of 64-bit values as a bitmap sized by their number, put together by segments of 8 KB and collected as those."""
+    bits = bitmap_bits(hashes.count()) if bits is None else bits
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int"))
     words = hashes.select(F.shiftright(low, 6).alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))

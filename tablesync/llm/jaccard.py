@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .decontamination import bitmap, in_bitmap
+from .decontamination import bitmap, bitmap_bits, in_bitmap
 from .graph import components
 from .scratch import Scratch
 from .words import mix, shingle_sets, word_chunks
@@ -48,7 +48,6 @@ COUNT_TOKENS = 1_000_000  # shingles a task counts at once
 HASHES, SLOTS = 18, 4  # minimum hashes of a set; those that families are formed by
 CHUNK_ENTRIES = 1 << 14  # first shingles of a component's sets handled at once
 BLOCK_NODES, BLOCK_TOKENS = 256, 1 << 19  # compared in one task at once
-BITS = 26
 
 
 def _node(tokens: np.ndarray) -> np.int64:
@@ -158,7 +157,7 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, k
 def _set_table(docs: DataFrame, width: int, nodes: DataFrame, reps: DataFrame, hold: Scratch) -> DataFrame:
     """(node, tokens binary) of the given nodes, from one document of each."""
     ids = nodes.join(reps, "node").select(F.coalesce("rep", F.lit(0)).alias("rep"))
-    wanted = bitmap(ids, "rep")
+    wanted = bitmap(ids, "rep", bitmap_bits(nodes.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
@@ -328,7 +327,7 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 80, slots
     frequent = _frequent(sketch)
     several = _postings(docs, width, percent, frequent, None).groupBy("token").agg(
         F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("token")
-    known = bitmap(hold(several, "several").read(), "token", BITS)
+    known = bitmap(hold(several, "several").read(), "token")
     hits = _postings(docs, width, percent, frequent, known).distinct().join(labels, "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
     hits = hold(hits, "postings").read()

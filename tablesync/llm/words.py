@@ -16,8 +16,8 @@ import pyarrow.compute as pc
 
 __all__ = ["Words", "combine", "mix", "shingle_sets", "word_chunks"]
 
-CHUNK_BYTES = 4 << 20  # texts handled at once; a longer text is a chunk of its own
-SPAN_BYTES = 1 << 20  # bytes whose prefix sums are held at once
+CHUNK_BYTES = 1 << 20  # texts handled at once; a longer text is a chunk of its own
+SPAN_BYTES = 1 << 18  # bytes whose prefix sums are held at once
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -91,7 +91,7 @@ class Words:
 
 
 def word_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES, bare: bool = False) -> Iterator[Words]:
-    """The words of a text column, some megabytes at a time. A NULL text has none. ``bare``: ASCII marks end words, too."""
+    """The words of a text column, about a megabyte at a time. A NULL text has none. ``bare``: ASCII marks end words, too."""
     is_word = _IS_ALNUM if bare else _IS_WORD
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

@@ -134,6 +134,11 @@ def test_very_long_text(spark):
     assert [(r["start_word"], r["end_word"], r["score"]) for r in rows] == [(50_000, 50_040, 1.0)]
 
 
+def test_bitmap_sizes():
+    sizes = [dec.bitmap_bits(n) for n in (0, 1, 1 << 8, 1 << 10, 1 << 18, 1 << 23, (1 << 23) + 1, 1 << 26, 1 << 40)]
+    assert sizes == [16, 16, 16, 18, 26, 26, 27, 29, 29]
+
+
 def test_bitmap(spark):
     rng = np.random.default_rng(5)
     values = rng.integers(-2**63, 2**63, 3000)
