@@ -36,13 +36,12 @@ from .words import combine, mix, word_chunks
 
 __all__ = ["align", "bitmap", "bitmap_bits", "find_passages", "in_bitmap"]
 
-LEAST_BITS, USUAL_BITS, MOST_BITS = 16, 26, 29  # sizes of a bitmap as powers of two: 8 KB, 8 MB, 64 MB
+LEAST_BITS, MOST_BITS = 26, 29  # sizes of a bitmap as powers of two: 8 MB, 64 MB
 
 
 def bitmap_bits(n: int) -> int:
-    """The size for ``n`` values: 256 bits a value up to 8 MB, 8 bits a value beyond, 64 MB at most."""
-    roomy, tight = ((max(n, 1) * per - 1).bit_length() for per in (256, 8))
-    return min(max(LEAST_BITS, min(roomy, USUAL_BITS), tight), MOST_BITS)
+    """The size for ``n`` values: 8 MB, beyond 8 million values 8 bits each, 64 MB at most. A smaller one has more false hits."""
+    return min(max(LEAST_BITS, (8 * n).bit_length()), MOST_BITS)
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int | None = None) -> bytes:

@@ -135,8 +135,8 @@ def test_very_long_text(spark):
 
 
 def test_bitmap_sizes():
-    sizes = [dec.bitmap_bits(n) for n in (0, 1, 1 << 8, 1 << 10, 1 << 18, 1 << 23, (1 << 23) + 1, 1 << 26, 1 << 40)]
-    assert sizes == [16, 16, 16, 18, 26, 26, 27, 29, 29]
+    sizes = [dec.bitmap_bits(n) for n in (0, 1, (1 << 23) - 1, 1 << 23, 1 << 24, 1 << 25, 1 << 40)]
+    assert sizes == [26, 26, 26, 27, 28, 29, 29]
 
 
 def test_bitmap(spark):
