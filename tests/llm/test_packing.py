@@ -1,4 +1,7 @@
+import base64
+import itertools
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -29,6 +32,46 @@ def test_ids_are_the_tokenizers_own():
         assert fast(text) == slow(text) == own.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_where_blanks_meet():
+    from tokenizers import Tokenizer
+
+    fast, own = packing.Encoder(*tokenizer_files()), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    texts = ["".join(t) for n in range(6) for t in itertools.product(" \n\ta'1.", repeat=n)]
+    texts += ["".join(rng.choices("abcdefgé1.", k=n)) for n in (1999, 2000, 5000, 60000)] + ["a" * 60000, "x" + "\n " * 1500 + "y", "ab  " * 900 + "."]
+    for text, coded in zip(texts, own.encode_batch(texts, add_special_tokens=False)):
+        assert fast(text) == coded.ids, text[:40]
+
+
+def tiktoken_alone(pattern):
+    import tiktoken
+
+    with open(tokenizer_files()[1], "rb") as lines:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+
+
+def test_other_patterns_are_taken_as_they_are():
+    pattern = r"\p{L}+|[^\p{L}]+"
+    fast, own = packing.Encoder(*tokenizer_files()[:2], pattern), tiktoken_alone(pattern)
+    for text in ("one, two", "a \n\n b", "x  y", ""):
+        assert fast(text) == own(text)
+
+
+def test_choosing_a_library_costs_less_than_it_saves(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").where("text <> ''").limit(400).collect()]
+    fast, given = packing.Encoder(*tokenizer_files()), tiktoken_alone(tokenizer_files()[2])
+
+    def seconds(encode):
+        began = time.thread_time()
+        for text in texts:
+            encode(text)
+        return time.thread_time() - began
+
+    times = [(seconds(fast), seconds(given)) for _ in range(7)]
+    assert min(t for t, _ in times) < min(t for _, t in times)
+
+
 @pytest.mark.parametrize("capacity", [64, 1024])
 def test_pieces_cover_every_text(spark, capacity):
     encode = packing.Encoder(*tokenizer_files())
