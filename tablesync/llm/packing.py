@@ -23,7 +23,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,30 +49,36 @@ class Encoder:
     """Token ids of a text as the tokenizer file gives them. ``ranks`` and ``pattern`` name the same vocabulary for tiktoken."""
 
     def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
+        self._tokenizer, self._ranks, self._pattern = tokenizer, ranks, pattern if ranks else None
+
+    def _tiktoken(self, pattern: str):
+        import tiktoken
 
-        self._load = lambda: Tokenizer.from_file(tokenizer)
-        self._slow, self._fast, self._plain = None, None, None
-        if ranks and pattern:
-            import tiktoken
+        with open(self._ranks, "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
-            with open(ranks, "rb") as lines:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    # each is loaded by the first text that needs it
+    @cached_property
+    def _plain(self):
+        return self._tiktoken(_PLAIN)
 
-            def encoding(pattern: str):
-                return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    @cached_property
+    def _fast(self):
+        return self._tiktoken(self._pattern)
+
+    @cached_property
+    def _slow(self):
+        from tokenizers import Tokenizer
 
-            self._fast = encoding(pattern)
-            self._plain = encoding(_PLAIN) if pattern == _GPT2 else None
+        return Tokenizer.from_file(self._tokenizer)
 
     def __call__(self, text: str) -> list[int]:
-        if self._fast and "<|" not in text and not _UNUSUAL.search(text):
-            if self._plain and not _BLANKS.search(text):
+        if self._pattern and "<|" not in text and not _UNUSUAL.search(text):
+            if self._pattern == _GPT2 and not _BLANKS.search(text):
                 return self._plain(text)
             if not _LONG_RUN.search(text):
                 return self._fast(text)
-        if self._slow is None:
-            self._slow = self._load()
         return self._slow.encode(text, add_special_tokens=False).ids
 
 
