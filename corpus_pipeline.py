@@ -7,6 +7,9 @@ rows one does. A benchmark passage is looked up by a hash of id and text, which
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,20 @@ __all__ = ["ORACLE_SQL", "STAGES", "run"]
 
 ORACLE_SQL = None
 GOOD = 0.7
+BATCH_BYTES = "2m"  # of rows that go to a Python worker at once; Spark's own bound, 64 MB, is held by the executor, the worker and as Python objects
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(apply: Stage) -> Stage:
+    """The stage with batches of ``BATCH_BYTES``, set for the session, as what a stage returns is computed later."""
+
+    @wraps(apply)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return apply(spark, docs, sf_dir)
+
+    return run
 
 
 def _row_key() -> Column:
@@ -33,6 +50,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key().alias("key"))
 
 
+@_in_small_batches
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts; it learns as in the query of the operator."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -41,6 +59,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, model, GOOD)
 
 
+@_in_small_batches
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
     # spread numbers: the hash of a long is a bijection, and the join of sets tells ids apart by their low bits
@@ -51,6 +70,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.join(kept, "key", "left_semi").select("row.*")
 
 
+@_in_small_batches
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -58,12 +78,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _with_key(docs).join(stage(found, "contaminated").read(), "key", "left_anti").select("row.*")
 
 
+@_in_small_batches
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind; ``n_chars`` follows."""
     out = pii.redact_texts(docs, pii.learn_pii(docs.select("doc_id", "text")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+@_in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and place."""
     return packing.pack(packing.pieces(docs, *tokenizer_files()), capacity=1024)

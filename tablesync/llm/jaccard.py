@@ -77,7 +77,7 @@ def _sketches(width: int):
 
         def flush() -> pd.DataFrame:
             places = (np.concatenate(held) & np.uint64(buckets - 1)).astype(np.int64)
-            np.add(counts, np.bincount(places, minlength=buckets), out=counts, casting="unsafe")
+            np.add.at(counts, places, np.uint32(1))  # in place: counting apart takes 32 MB more
             return pd.DataFrame(docs, columns=["doc_id", "n", "node", "mins"]).assign(segment=None, counts=None)
 
         for doc_id, tokens in _sets(batches, width):

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,24 @@ def test_run_is_the_stages_one_after_another(spark, folder):
     assert sorted(map(repr, rows.select(*names).collect())) == sorted(map(repr, docs.select(*names).collect()))
 
 
+def test_stages_hand_out_bounded_batches(spark, folder, settings):
+    """No stage gives a Python worker more than about two megabytes at once, and a group is still handed over whole."""
+    settings(**{"spark__sql__execution__arrow__maxBytesPerBatch": "64m"})
+    wide = spark.range(0, 600, 1, 1).select("id", F.repeat(F.lit("word "), 4000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    for name, apply in pipeline.STAGES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+        apply(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        seen = [r["bytes"] for r in wide.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(seen) > 12_000_000 and max(seen) < 2_500_000, name
+    groups = wide.groupBy(F.lit("all").alias("key")).applyInPandas(lambda rows: pd.DataFrame({"n": [len(rows)]}), "n long").collect()
+    assert [r["n"] for r in groups] == [600]
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
