@@ -12,7 +12,7 @@ from tablesync.functions.lattice import reinfer, wider, wider_schema
 from tablesync.operators.arrival import ARRIVAL, keep_first_arrived, with_arrival
 from tablesync.operators.fingerprints import unchanged_keys
 from tablesync.operators.keys import key_set
-from tablesync.operators.reconcile import differing_keys, differing_ranges
+from tablesync.operators.reconcile import KeyRange, _within, differing_keys, differing_ranges
 from tablesync.operators.replace import purge_trailing_days
 from tablesync.operators.slices import slice_edges, slice_predicates
 from tablesync.operators.window import Window
@@ -345,6 +345,29 @@ def test_reconciling_bags_nulls_ties_and_empty_sides(spark):
     assert {r.status for r in differing_keys(none, target, "k").collect()} == {"extra"} and differing_keys(none, none, "k").collect() == []
 
 
+def test_differences_everywhere_are_found(spark):
+    # thousands of ranges differ at once, more than the planner's stack holds one after the other
+    source = spark.range(30_000).selectExpr("id as k", "id % 11 as v")
+    target = source.where("k % 9 <> 4").selectExpr("k", "if(k % 7 = 3, v + 1, v) as v").unionByName(spark.range(30_000, 30_500).selectExpr("id as k", "0L as v"))
+    found = {r.k: r.status for r in differing_keys(source, target, "k", small=20).collect()}
+    want = {k: "missing" if k % 9 == 4 else "changed" for k in range(30_000) if k % 9 == 4 or k % 7 == 3}
+    assert found == {**want, **dict.fromkeys(range(30_000, 30_500), "extra")}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz"])
+@pytest.mark.parametrize("first", [None, 7])
+def test_rows_within_many_ranges(spark, kind, first):
+    told = {"bigint": lambda n: n, "string": lambda n: f"k{n:06d}", "timestamp_ntz": lambda n: RUN + timedelta(hours=n)}[kind]
+    text = {"bigint": "id", "string": "concat('k', lpad(id, 6, '0'))", "timestamp_ntz": "timestamp_ntz '2024-01-06 02:00:00' + make_interval(0, 0, 0, 0, cast(id as int))"}[kind]
+    rows = spark.range(4000).selectExpr("id", f"case when id % 100 <> 99 then {text} end as k")
+    # some touch the one before; one is open below, one above, and one has the rows without a key
+    spans = [(20 * i, 20 * i + (20 if i % 3 == 0 else 11)) for i in range(1, 150)]
+    ranges = [KeyRange(None if first is None else told(first), told(15)), *[KeyRange(told(a), told(b)) for a, b in spans], KeyRange(told(3900), None)]
+    want = {n for n in range(4000) if n % 100 != 99 and ((first or 0) <= n < 15 or n >= 3900 or any(a <= n < b for a, b in spans))}
+    assert {r.id for r in _within(rows, "k", ranges).collect()} == want
+    assert {r.id for r in _within(rows, "k", [KeyRange(blank=True), *ranges]).collect()} == want | set(range(99, 4000, 100))
+
+
 # --- the ledger ----------------------------------------------------------------------
 
 
