@@ -22,10 +22,10 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Would Catalyst itself broadcast this side?"""
+def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
+    """Would Catalyst itself broadcast this side, if it were ``times`` as large as estimated?"""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 < estimated_bytes(df) <= limit
+    return 0 < estimated_bytes(df) * times <= limit
 
 
 def match(left: Sequence[Column], right: Sequence[Column], spread: bool = False) -> Column:

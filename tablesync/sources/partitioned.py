@@ -40,7 +40,7 @@ from .storage import delete_dir, exists, list_dirs
 
 __all__ = ["Folder", "PartitionedTable"]
 
-MONTH = "created_month"
+MONTH, NO_MONTH = "created_month", "__HIVE_DEFAULT_PARTITION__"
 
 
 KEEP_TOKENS = 400  # appends whose tokens a manifest remembers
@@ -151,21 +151,22 @@ class PartitionedTable:
         have = {c.lower(): c for c in df.columns}
         key, day = (have.get((c or "").lower()) for c in (self.key, self.day_column))
         written = self.spark.read.schema(schema).option("basePath", f"{self.rows_path}/{run}").parquet(*[f"{self.rows_path}/{run}/{n}" for n in names])
-        place = F.regexp_extract("_metadata.file_path", rf"/({run}/{MONTH}=[^/]*)/[^/]*$", 1).alias("_folder")
-        counts = [F.count(F.lit(1)).alias("rows")]
+        place = F.concat(F.lit(f"{run}/{MONTH}="), F.coalesce(F.col(MONTH).cast("string"), F.lit(NO_MONTH))).alias("_folder")
+        counts = [F.count(F.lit(1)).alias("rows"), *([F.count(f"`{key}`").alias("keys")] if key else [])]
         if day:
             text = F.col(f"`{day}`").cast("string")
             counts += [F.min(text).alias("least"), F.max(text).alias("greatest"), F.sum(text.isNull().cast("long")).alias("blank")]
         seen = {r["_folder"]: r.asDict() for r in written.select("*", place).groupBy("_folder").agg(*counts).collect()}  # a row per month
         slots: dict[str, int] = {}
         if key:
-            filter_of(written.select(f"`{key}`", place), "_folder", key).write.parquet(f"{self.filters_path}/{run}")
+            held = self.spark.createDataFrame([(name, told["keys"]) for name, told in seen.items()], "folder string, n bigint")
+            filter_of(written.select(f"`{key}`", place), "_folder", key, counts=held).write.parquet(f"{self.filters_path}/{run}")
             sizes = self.spark.read.schema(FILTER).parquet(f"{self.filters_path}/{run}").groupBy("folder").agg(F.max("slots").alias("slots"))
             slots = {r["folder"]: r["slots"] for r in sizes.collect()}
         made = {}
         for name in names:
             value = name.removeprefix(f"{MONTH}=")
-            month, told = None if value == "__HIVE_DEFAULT_PARTITION__" else int(value), seen.get(f"{run}/{name}", {})
+            month, told = None if value == NO_MONTH else int(value), seen.get(f"{run}/{name}", {})
             made[month] = Folder(
                 month, f"{run}/{name}", schema.json(), told.get("rows"), slots.get(f"{run}/{name}", 0) if key else None, key,
                 told.get("least"), told.get("greatest"), told.get("blank"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tablesync.functions.lattice import reinfer, wider, wider_schema
 from tablesync.operators.arrival import ARRIVAL, keep_first_arrived, with_arrival
 from tablesync.operators.fingerprints import unchanged_keys
-from tablesync.operators.keys import key_set
+from tablesync.operators.keys import estimated_bytes, key_set
 from tablesync.operators.reconcile import KeyRange, _within, differing_keys, differing_ranges
 from tablesync.operators.replace import purge_trailing_days
 from tablesync.operators.slices import slice_edges, slice_predicates
@@ -21,7 +21,7 @@ from tablesync.plans.ledger import RunLedger, gaps, merged, overlaps
 from tablesync.plans.runner import delta as delta_of
 from tablesync.plans.runner import published_table
 from tablesync.sources.catalog import FrameCatalog, JdbcCatalog, ParquetCatalog
-from tablesync.sources.keyfilter import SCHEMA, filter_of, folders_hit
+from tablesync.sources.keyfilter import SCHEMA, WORDS, _asked, _told, filter_of, folders_hit
 from tablesync.sources.partitioned import PartitionedTable
 from tablesync.sources.staging import stage
 
@@ -63,6 +63,42 @@ def test_filters_merge_and_know_keys_under_wider_types(spark):
         assert folders_hit(union, spark.sql(f"select {key} as _key"), sizes) == ["f"]
 
 
+def test_a_folder_is_no_single_task(spark, settings):
+    # two folders: a join by folder would leave each folder's words where its keys are
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(4000).selectExpr("concat('f', id % 2) as folder", "concat('k', id) as k")
+    filters = filter_of(rows, "folder", "k")
+    dealt = [r["count"] for r in filters.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(dealt) == 8 and max(dealt) < 0.25 * sum(dealt)
+    counts = spark.createDataFrame([("f0", 2000), ("f1", 2000)], "folder string, n long")
+    assert bag(filter_of(rows, "folder", "k", counts=counts)) == bag(filters)
+
+
+def test_the_words_of_many_keys_are_not_broadcast(spark, settings):
+    keys = spark.range(1000).selectExpr("concat('k', id) as _key")
+    filters = filter_of(spark.range(50_000).selectExpr("'f' as folder", "concat('k', id) as k"), "folder", "k")
+    slots = filters.first()["slots"]
+
+    def plan():
+        return filters.join(_asked(keys, [slots]), ["slots", "slot"])._jdf.queryExecution().sparkPlan().toString()
+
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    size = estimated_bytes(_asked(keys, [slots]))
+    for limit, broadcast in ((size - 1, False), (size + 1, False), (WORDS * size - 1, False), (WORDS * size, True)):
+        settings(spark__sql__autoBroadcastJoinThreshold=limit)
+        assert ("BroadcastHashJoin" in plan()) == broadcast, limit
+    settings(spark__sql__autoBroadcastJoinThreshold=size + 1)
+    assert folders_hit(filters, keys, [slots]) == ["f"] and folders_hit(filters, keys.unionByName(keys), [slots]) == ["f"]
+
+
+def test_texts_of_numbers_are_known(spark):
+    texts = ["1", "01", "1.0", " 1 ", "\t1\n", "+1", "-1", ".5", "5.", "1e3", "1E+3", "1d", "1F", "0x1p3", "0X1.8P-1", "nan", "NaN", "-nan", "inf", "-Infinity", "+INF", "infinit", "1e", "e1",
+             ".", "+", "", " ", "1 2", "k1", "i1", "1-2", "1_000", "١", "1\u00a0", "\u20031", "1dd", "0x1", "1e400", "9" * 400, "9" * 5000 + "x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(F.col("t").try_cast("double").cast("string"), F.col("t"))
+    assert [r.t for r in rows.select("t", _told(F.col("t")).alias("a"), plain.alias("b")).where("not a <=> b").collect()] == []
+
+
 def test_a_replace_opens_only_the_folders_hit(spark, tmp_path):
     table = PartitionedTable(spark, str(tmp_path), "d", "t", key="k")
     table.replace(months(spark), RUN)
