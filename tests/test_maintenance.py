@@ -74,6 +74,11 @@ def test_a_folder_is_no_single_task(spark, settings):
     assert bag(filter_of(rows, "folder", "k", counts=counts)) == bag(filters)
 
 
+def test_the_text_of_a_key_is_made_once(spark):
+    filters = filter_of(spark.range(9).selectExpr("'f' as folder", "concat('i', id) as k"), "folder", "k")
+    assert filters._jdf.queryExecution().optimizedPlan().toString().lower().count("try_cast(") == 1
+
+
 def test_the_words_of_many_keys_are_not_broadcast(spark, settings):
     keys = spark.range(1000).selectExpr("concat('k', id) as _key")
     filters = filter_of(spark.range(50_000).selectExpr("'f' as folder", "concat('k', id) as k"), "folder", "k")
