@@ -35,6 +35,7 @@ from ..operators.replace import append_rows, purge_trailing_days
 from .keyfilter import SCHEMA as FILTER
 from .keyfilter import filter_of, folders_hit
 from .published import next_version
+from .staging import shuffles_freed
 from .staging import stage as stage_rows
 from .storage import delete_dir, exists, list_dirs
 
@@ -144,7 +145,8 @@ class PartitionedTable:
         run = uuid.uuid4().hex
         schema = _nullable(df.schema)
         # rebalance: one month's rows come together, and a large month is split again
-        df.withColumn(MONTH, self._month(df)).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{self.rows_path}/{run}")
+        with shuffles_freed(self.spark):
+            df.withColumn(MONTH, self._month(df)).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{self.rows_path}/{run}")
         names = list_dirs(self.spark, f"{self.rows_path}/{run}")
         if not names:
             return {}
@@ -160,7 +162,8 @@ class PartitionedTable:
         slots: dict[str, int] = {}
         if key:
             held = self.spark.createDataFrame([(name, told["keys"]) for name, told in seen.items()], "folder string, n bigint")
-            filter_of(written.select(f"`{key}`", place), "_folder", key, counts=held).write.parquet(f"{self.filters_path}/{run}")
+            with shuffles_freed(self.spark):
+                filter_of(written.select(f"`{key}`", place), "_folder", key, counts=held).write.parquet(f"{self.filters_path}/{run}")
             sizes = self.spark.read.schema(FILTER).parquet(f"{self.filters_path}/{run}").groupBy("folder").agg(F.max("slots").alias("slots"))
             slots = {r["folder"]: r["slots"] for r in sizes.collect()}
         made = {}
@@ -225,7 +228,8 @@ class PartitionedTable:
         months = delta.select(self._month(delta))
         if found is not None:
             months = months.unionByName(with_keys(found, wanted, key).select(self._month(found)))
-        touched = {r[0] for r in months.distinct().collect()}  # a row per month at most
+        with shuffles_freed(self.spark):
+            touched = {r[0] for r in months.distinct().collect()}  # a row per month at most
         if not touched:  # a version of its own, made of the folders that are there
             return self._commit(self.manifest(version), self.schema(version), run_ts, self.tokens(version))
         return self._rewrite(version, touched, key, wanted, delta, run_ts, self.tokens(version))
@@ -240,7 +244,8 @@ class PartitionedTable:
             runs = sorted({f.folder.split("/")[0] for f in known if f.slots})
             filters = self.spark.read.schema(FILTER).parquet(*[f"{self.filters_path}/{run}" for run in runs])
             current = [f.folder for f in known]
-            hit = folders_hit(filters.where(F.col("folder").isin(current)), wanted, sizes)
+            with shuffles_freed(self.spark):
+                hit = folders_hit(filters.where(F.col("folder").isin(current)), wanted, sizes)
         return [f for f in held.values() if f not in known or f.folder in hit]
 
     def rows_of(self, wanted: DataFrame, key: str, version: str | None = None) -> DataFrame | None:

@@ -10,7 +10,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,10 +21,33 @@ from pyspark.sql import functions as F
 
 from .storage import delete_dir
 
-__all__ = ["Staged", "shared_folder", "stage"]
+__all__ = ["Staged", "shared_folder", "shuffles_freed", "stage"]
 
 _SETTING = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
+_FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: dict[str, int] = {}  # jobs that free shuffles, by session
+_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is run inside deletes its shuffle files when it ends; else they lie on the disks until the driver collects its garbage.
+
+    For frames that are run once: one that is run again writes its shuffles again.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        _freeing[session] = _freeing.get(session, 0) + 1
+        if _freeing[session] == 1:
+            spark.conf.set(_FREES, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            _freeing[session] -= 1
+            if not _freeing[session]:
+                spark.conf.unset(_FREES)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -57,5 +83,6 @@ def stage(df: DataFrame, label: str) -> Staged:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    with shuffles_freed(spark):
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return Staged(spark, path, seen.get["rows"])

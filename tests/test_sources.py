@@ -1,3 +1,4 @@
+import time
 from datetime import date, datetime
 from pathlib import Path
 from types import SimpleNamespace
@@ -31,6 +32,23 @@ def test_staged_table(spark):
     assert stage(spark.range(0), "none").rows == 0
 
 
+def test_staging_leaves_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before, frees = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    table = PartitionedTable(spark, str(tmp_path), "d", "t", key="k")
+    table.replace(spark.range(1000).selectExpr("id as k", "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, cast(id % 3 as int)) as created_at"), RUN)
+    table.keyed_replace(table.read().where("k % 2 = 0"), "k", RUN)
+    assert spark.conf.get(frees, None) is None and table.read().count() == 1000
+    left = time.time() + 10  # they are deleted in the background
+    while shuffles() - before and time.time() < left:
+        time.sleep(0.2)
+    # but for the counts of a row a month or task
+    assert len(shuffles() - before) <= 16
+
+
 def test_shared_folder_follows_the_session(spark):
     def session(master, **conf):
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
