@@ -74,6 +74,21 @@ def test_a_folder_is_no_single_task(spark, settings):
     assert bag(filter_of(rows, "folder", "k", counts=counts)) == bag(filters)
 
 
+def test_the_filter_of_one_month_is_written_by_many_tasks(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    table = PartitionedTable(spark, str(tmp_path), "d", "t", key="k")
+    rows = spark.range(3000).selectExpr("if(id % 10 = 0, null, concat('k', id)) as k", "if(id < 2900, timestamp_ntz '2024-01-05 00:00:00', null) as created_at")
+    table.replace(rows, RUN)
+    files = [f for run in (tmp_path / "d/t/filters").iterdir() for f in run.glob("part-*.parquet")]
+    assert len(files) == 8
+    held = table.manifest()
+    assert {m: f.rows for m, f in held.items()} == {202401: 2900, None: 100} and held[202401].slots == 2048 and held[None].slots == 128
+    assert {f.folder.split("created_month=")[1] for f in held.values()} == {"202401", "__HIVE_DEFAULT_PARTITION__"}
+    asked = {"k1": [202401], "k2999": [None], "k10": []}
+    for key, months in asked.items():
+        assert [f.month for f in table.folders_of(spark.createDataFrame([(key,)], "_key string"), "k")] == months
+
+
 def test_the_text_of_a_key_is_made_once(spark):
     filters = filter_of(spark.range(9).selectExpr("'f' as folder", "concat('i', id) as k"), "folder", "k")
     assert filters._jdf.queryExecution().optimizedPlan().toString().lower().count("try_cast(") == 1
